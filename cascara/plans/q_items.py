@@ -1 +1,144 @@
-"""(filled in below)"""
+"""Queries for item popularity and frequent item-set mining (I1-I6, W1, F6,
+F7, A9). Baskets: per order the distinct part brands. Thresholds are shares
+of the basket count, so they scale with the data."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from cascara.functions import split_on
+from cascara.operators import itemsets as I
+from cascara.operators import tables as T
+from cascara.plans import standins as S
+from cascara.plans.catalog import query, r6
+
+ITEM_SHARE = 0.12    # item frequent when in more than 12 % of baskets
+SET_SHARE = 0.004    # set frequent when in more than 0.4 % of baskets
+WANTED = ["Brand#4", "Brand#19"]
+
+
+def _baskets(spark, d):
+    b = S.brand_baskets(spark, d)
+    return b.select("basket_id", split_on("items_str", "-").alias("items"))
+
+
+def _thresholds(b):
+    n = b.agg(F.count(F.lit(1))).scalar()
+    return F.lit(ITEM_SHARE) * n, F.lit(SET_SHARE) * n
+
+
+_BASE = f"""
+WITH bk AS (
+  SELECT l_orderkey AS basket_id, string_agg(DISTINCT p_brand, '-' ORDER BY p_brand) AS items_str
+  FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY l_orderkey),
+occ AS (SELECT basket_id, unnest(list_distinct(string_split(items_str, '-'))) AS item FROM bk),
+nb AS (SELECT count(*) AS n FROM bk),
+ic AS (SELECT item, count(*) AS c FROM occ GROUP BY item),
+fi AS (SELECT item, c, row_number() OVER (ORDER BY c DESC, item) AS rk FROM ic
+       WHERE c > CAST({ITEM_SHARE} AS DOUBLE) * (SELECT n FROM nb)),
+fo AS (SELECT basket_id, item, rk FROM occ JOIN fi USING (item)),
+p2 AS (SELECT a.item || '-' || b.item AS label, count(*) AS c
+       FROM fo a JOIN fo b ON a.basket_id = b.basket_id AND a.rk < b.rk
+       GROUP BY a.item, b.item HAVING count(*) > CAST({SET_SHARE} AS DOUBLE) * (SELECT n FROM nb)),
+p3 AS (SELECT a.item || '-' || b.item || '-' || c.item AS label, count(*) AS c
+       FROM fo a JOIN fo b ON a.basket_id = b.basket_id AND a.rk < b.rk
+                 JOIN fo c ON c.basket_id = a.basket_id AND b.rk < c.rk
+       GROUP BY a.item, b.item, c.item
+       HAVING count(*) > CAST({SET_SHARE} AS DOUBLE) * (SELECT n FROM nb)),
+p4 AS (SELECT a.item || '-' || b.item || '-' || c.item || '-' || e.item AS label, count(*) AS c
+       FROM fo a JOIN fo b ON a.basket_id = b.basket_id AND a.rk < b.rk
+                 JOIN fo c ON c.basket_id = a.basket_id AND b.rk < c.rk
+                 JOIN fo e ON e.basket_id = a.basket_id AND c.rk < e.rk
+       GROUP BY a.item, b.item, c.item, e.item
+       HAVING count(*) > CAST({SET_SHARE} AS DOUBLE) * (SELECT n FROM nb))
+"""
+
+
+@query("item_counts", _BASE + "SELECT item, CAST(c AS BIGINT) AS count FROM ic")
+def q_item_counts(spark, d):
+    return I.item_counts(_baskets(spark, d), "items")
+
+
+@query("frequent_items", _BASE + "SELECT item, CAST(c AS BIGINT) AS count FROM fi")
+def q_frequent_items(spark, d):
+    b = _baskets(spark, d)
+    t_item, _ = _thresholds(b)
+    return I.frequent_items(I.item_counts(b, "items", sort=False), t_item)
+
+
+@query("item_rank", _BASE + "SELECT item, CAST(c AS BIGINT) AS count, CAST(rk AS INTEGER) AS rank FROM fi")
+def q_item_rank(spark, d):
+    b = _baskets(spark, d)
+    t_item, _ = _thresholds(b)
+    return I.rank_items(I.frequent_items(I.item_counts(b, "items", sort=False), t_item))
+
+
+@query("filter_contains_all", f"""
+WITH bk AS (
+  SELECT l_orderkey, list_distinct(list(p_brand)) AS items
+  FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY l_orderkey)
+SELECT CAST(count(*) FILTER (WHERE len(items) >= 2 AND list_contains(items, '{WANTED[0]}')
+                             AND list_contains(items, '{WANTED[1]}')) AS BIGINT) AS count FROM bk
+""")
+def q_contains_all(spark, d):
+    return I.count_containing_all(_baskets(spark, d), "items", WANTED)
+
+
+@query("filter_set_size", """
+WITH bk AS (
+  SELECT l_orderkey AS basket_id, count(DISTINCT p_brand) AS n_items
+  FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY l_orderkey)
+SELECT basket_id, CAST(n_items AS INTEGER) AS n_items FROM bk WHERE n_items >= 2
+""")
+def q_set_size(spark, d):
+    b = I.baskets_of_size(_baskets(spark, d), "items", 2)
+    return b.select("basket_id", F.size("items").alias("n_items"))
+
+
+@query("share_multi", """
+WITH bk AS (
+  SELECT l_orderkey AS basket_id, count(DISTINCT p_brand) AS n_items
+  FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY l_orderkey)
+SELECT round(avg(CASE WHEN n_items >= 2 THEN 1.0 ELSE 0.0 END), 6) AS share FROM bk
+""")
+def q_share_multi(spark, d):
+    out = T.share(_baskets(spark, d), F.size("items") >= 2)
+    return out.select(r6("share").alias("share"))
+
+
+def _mined(spark, d, min_len, max_len):
+    b = _baskets(spark, d)
+    t_item, t_set = _thresholds(b)
+    out = I.frequent_itemsets(b, "items", t_item, t_set, max_len=max_len, min_len=min_len)
+    return out.select("level", "label", "count")
+
+
+@query("frequent_pairs", _BASE + "SELECT 2 AS level, label, CAST(c AS BIGINT) AS count FROM p2")
+def q_pairs(spark, d):
+    return _mined(spark, d, 2, 2)
+
+
+@query("frequent_triples", _BASE + "SELECT 3 AS level, label, CAST(c AS BIGINT) AS count FROM p3")
+def q_triples(spark, d):
+    return _mined(spark, d, 3, 3)
+
+
+_ALL = _BASE + """
+SELECT 2 AS level, label, CAST(c AS BIGINT) AS count FROM p2
+UNION ALL SELECT 3, label, CAST(c AS BIGINT) FROM p3
+UNION ALL SELECT 4, label, CAST(c AS BIGINT) FROM p4
+"""
+
+
+@query("frequent_itemsets", _ALL)
+def q_itemsets(spark, d):
+    return _mined(spark, d, 2, 4)
+
+
+@query("frequent_itemsets_fp", _ALL)
+def q_itemsets_fp(spark, d):
+    b = _baskets(spark, d)
+    t_item, t_set = _thresholds(b)
+    t_item_v, t_set_v = spark.range(1).select(t_item, t_set).first()
+    out = I.frequent_itemsets_fpgrowth(b, "items", t_item_v, t_set_v)
+    return out.select("level", "label", "count")
