@@ -80,8 +80,11 @@ def silhouette(df: DataFrame, x: str | Column, cluster: str | Column, dim: int)
         F.sum(_dot(F.col("x"), F.col("x"))).alias("q"),
     )
     table = stats.agg(F.collect_list(F.struct("c", "n", "s", "q"))).scalar()
+    # The subquery is bound to a column first: higher-order functions may not
+    # contain subqueries themselves.
+    pts = pts.withColumn("_stats", table)
     xx = _dot(F.col("x"), F.col("x"))
-    dists = F.transform(table, lambda t: F.struct(
+    dists = F.transform("_stats", lambda t: F.struct(
         t["c"].alias("c"), t["n"].alias("n"),
         (xx - 2 * _dot(F.col("x"), t["s"]) / t["n"] + t["q"] / t["n"]).alias("d")))
     own = F.filter(dists, lambda t: t["c"] == F.col("c"))[0]

@@ -1 +1,92 @@
-"""(filled in below)"""
+"""Source and sink round trips (S1-S4, K1-K3). Each query writes a table (or
+a result) below the shared folder and reads it back; the oracle computes the
+same rows from the parquet table directly."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from cascara.operators import text as X
+from cascara.plans import standins as S
+from cascara.plans.catalog import query, r6
+from cascara.plans.q_tables import TOP_MIN_COUNT, TOP_TAG
+from cascara.session import scratch_path
+from cascara.sources import load_table, read_csv, read_text_lines, write_csv, write_text
+from cascara.operators import tables as TB
+
+LINE_SCHEMA = T.StructType([
+    T.StructField("l_orderkey", T.LongType()),
+    T.StructField("l_partkey", T.LongType()),
+    T.StructField("l_quantity", T.DoubleType()),
+    T.StructField("l_linenumber", T.IntegerType()),
+])
+PART_SCHEMA = T.StructType([
+    T.StructField("p_partkey", T.LongType()),
+    T.StructField("p_name", T.StringType()),
+    T.StructField("p_brand", T.StringType()),
+    T.StructField("p_size", T.IntegerType()),
+])
+
+
+@query("src_text_lines", "SELECT unnest(string_split(text, chr(10))) AS value FROM documents")
+def q_src_text(spark, d):
+    path = scratch_path(spark, "docs-text")
+    write_text(load_table(spark, d, "documents").select("text"), path)
+    return read_text_lines(spark, path)
+
+
+@query("sink_text_roundtrip", """
+SELECT token, CAST(count(*) AS BIGINT) AS count
+FROM (SELECT unnest(string_split(event_type || ' #' || event_type || ' #u' || CAST(user_id AS VARCHAR), ' '))
+             AS token FROM events) WHERE starts_with(token, '#') GROUP BY token
+""")
+def q_sink_text(spark, d):
+    path = scratch_path(spark, "tag-counts")
+    write_text(X.prefix_token_counts(S.tagged_events(spark, d)), path, sep="\t")
+    parts = F.split(F.col("value"), "\t", 2)
+    return read_text_lines(spark, path).select(
+        parts[0].alias("token"), parts[1].cast("bigint").alias("count"))
+
+
+@query("src_csv_schema", "SELECT l_orderkey, l_partkey, l_quantity, l_linenumber FROM lineitem")
+def q_src_csv_schema(spark, d):
+    path = scratch_path(spark, "lines-csv")
+    li = load_table(spark, d, "lineitem").select(*LINE_SCHEMA.fieldNames())
+    write_csv(li, path, header=False)
+    return read_csv(spark, path, schema=LINE_SCHEMA, header=False)
+
+
+@query("src_csv_header", "SELECT p_partkey, p_name, p_brand, p_size FROM part")
+def q_src_csv_header(spark, d):
+    path = scratch_path(spark, "part-csv")
+    write_csv(load_table(spark, d, "part").select(*PART_SCHEMA.fieldNames()), path, header=True)
+    return read_csv(spark, path, schema=PART_SCHEMA, header=True)
+
+
+@query("src_csv_infer", "SELECT p_partkey, p_name, p_brand, p_size FROM part")
+def q_src_csv_infer(spark, d):
+    path = scratch_path(spark, "part-csv-infer")
+    write_csv(load_table(spark, d, "part").select(*PART_SCHEMA.fieldNames()), path, header=True)
+    df = read_csv(spark, path, header=True, infer=True)
+    # Inferred integer widths depend on the values; align with the table's.
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in PART_SCHEMA])
+
+
+@query("sink_csv_roundtrip", """
+WITH s AS (
+  SELECT l_partkey AS item_id, sum(l_quantity) AS rating_sum, count(*) AS rating_count
+  FROM lineitem GROUP BY l_partkey HAVING count(*) > 10)
+SELECT s.item_id, round(rating_sum / rating_count, 6) AS avg_rating,
+       CAST(rating_count AS BIGINT) AS rating_count, p_name AS title
+FROM s JOIN part ON part.p_partkey = s.item_id
+WHERE list_contains(string_split(p_name, ' '), 'ring')
+""")
+def q_sink_csv(spark, d):
+    path = scratch_path(spark, "top-rated-csv")
+    top = TB.top_rated(S.ratings(spark, d), S.items_with_tags(spark, d), "item_id", "rating",
+                       "title", F.col("tags"), TOP_TAG, TOP_MIN_COUNT)
+    write_csv(top, path, header=True)
+    schema = "item_id bigint, avg_rating double, rating_count bigint, title string"
+    back = spark.read.schema(schema).option("header", True).csv(path)
+    return back.withColumn("avg_rating", r6("avg_rating"))

@@ -1 +1,173 @@
-"""(filled in below)"""
+"""Queries for clustering, recommendation and decision trees (C1-C8, R1-R3,
+D1-D3). Profiles and silhouette on given labels have SQL oracles; fitted
+models are checked by row counts only."""
+
+from __future__ import annotations
+
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import functions as F
+
+from cascara.operators import cluster as C
+from cascara.operators import features as E
+from cascara.operators import recommend as R
+from cascara.operators import segments as G
+from cascara.operators import tree as D
+from cascara.plans import standins as S
+from cascara.plans.catalog import query, r6
+from cascara.plans.q_segments import ONE_HOT_PREFIX, TOP_K, profiles
+from cascara.sources import load_table
+
+EMB_DIM = 64
+K_CLUSTERS = 8
+SEED = 123
+PCA_K = 5
+TREE_FEATURES = ["n_chars", "words", "lines"]
+
+
+# --- profiles and silhouette on given labels (oracle) -------------------------
+
+@query("cluster_profile", "SELECT label AS cluster_id, CAST(count(*) AS BIGINT) AS size, "
+       "round(avg(CASE WHEN embedding[1] > 0 THEN 1.0 ELSE 0.0 END), 6) AS flag_ratio, "
+       + ", ".join(f"round(avg(embedding[{i + 1}]), 6) AS e{i}" for i in range(EMB_DIM))
+       + " FROM embeddings GROUP BY label")
+def q_cluster_profile(spark, d):
+    emb = load_table(spark, d, "embeddings")
+    feats = {f"e{i}": F.col("embedding")[i] for i in range(EMB_DIM)}
+    prof = C.cluster_profile(emb, "label", F.col("embedding")[0] > 0, feats)
+    return prof.select("cluster_id", "size", *[r6(c).alias(c) for c in ["flag_ratio", *feats]])
+
+
+_SIL_SQL = """
+WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v
+           FROM embeddings),
+pp AS (SELECT a.vec_id AS i, a.label AS ci, b.label AS cj,
+              sum(power(list_distance(a.v, b.v), 2)) AS s, count(*) AS n
+       FROM e a JOIN e b ON a.vec_id <> b.vec_id GROUP BY 1, 2, 3),
+per AS (SELECT i, max(CASE WHEN cj = ci THEN s / n END) AS a,
+               min(CASE WHEN cj <> ci THEN s / n END) AS b FROM pp GROUP BY i)
+SELECT round(avg(CASE WHEN a IS NULL THEN 0.0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette
+FROM per
+"""
+
+
+@query("silhouette_labels", _SIL_SQL)
+def q_silhouette(spark, d):
+    emb = load_table(spark, d, "embeddings")
+    return C.silhouette(emb, "embedding", "label", EMB_DIM).select(r6("silhouette").alias("silhouette"))
+
+
+@query("silhouette_evaluator", _SIL_SQL)
+def q_silhouette_ev(spark, d):
+    emb = load_table(spark, d, "embeddings").select(
+        array_to_vector("embedding").alias("features"), F.col("label").cast("double").alias("prediction"))
+    value = C.silhouette_evaluator(emb)
+    return spark.createDataFrame([(round(value, 6),)], "silhouette double")
+
+
+# --- k-means / PCA on one-hot supplier features (rows only) -------------------
+
+def onehot_features(spark, d):
+    pop = G.non_extreme_multi(profiles(spark, d), "numports")
+    names = E.top_k_names(pop, "items", TOP_K)
+    oh = E.one_hot_items(pop, "items", names, ONE_HOT_PREFIX, name_by="rank")
+    cols = [f"{ONE_HOT_PREFIX}{i}" for i in range(1, len(names) + 1)]
+    return E.assemble(oh.select("id", "flag", *cols), cols), cols
+
+
+@query("kmeans_assign")
+def q_kmeans(spark, d):
+    feats, _ = onehot_features(spark, d)
+    return C.kmeans_assign(feats, K_CLUSTERS, SEED).select("id", "prediction")
+
+
+@query("cluster_sizes")
+def q_cluster_sizes(spark, d):
+    feats, _ = onehot_features(spark, d)
+    return C.cluster_sizes(C.kmeans_assign(feats, K_CLUSTERS, SEED))
+
+
+@query("cluster_profile_kmeans")
+def q_profile_kmeans(spark, d):
+    feats, cols = onehot_features(spark, d)
+    pred = C.kmeans_assign(feats, K_CLUSTERS, SEED)
+    return C.cluster_profile(pred, "prediction", "flag", {c: F.col(c) for c in cols})
+
+
+@query("pca_reduce")
+def q_pca(spark, d):
+    feats, _ = onehot_features(spark, d)
+    out = C.pca_reduce(feats, PCA_K)
+    return out.select("id", vector_to_array("pca_features").alias("pca_features"))
+
+
+@query("cluster_profile_pca")
+def q_profile_pca(spark, d):
+    feats, cols = onehot_features(spark, d)
+    reduced = C.pca_reduce(feats, PCA_K)
+    pred = C.kmeans_assign(reduced, K_CLUSTERS, SEED, features="pca_features")
+    # Centres in the original one-hot space: feature means per PCA cluster.
+    return C.cluster_profile(pred, "prediction", "flag", {c: F.col(c) for c in cols})
+
+
+@query("cluster_compare")
+def q_compare(spark, d):
+    feats, _ = onehot_features(spark, d)
+    rows = []
+    for variant, data, fcol in (("onehot", feats, "features"),
+                                ("pca", C.pca_reduce(feats, PCA_K), "pca_features")):
+        pred = C.kmeans_assign(data, K_CLUSTERS, SEED, features=fcol)
+        sil = C.silhouette_evaluator(pred, fcol)
+        prof = C.cluster_profile(pred, "prediction", "flag", {})
+        stats = prof.agg(F.count(F.lit(1)).alias("n"), F.max("flag_ratio").alias("m")).first()
+        rows.append((variant, int(stats["n"]), float(sil), float(stats["m"] or 0.0)))
+    return spark.createDataFrame(rows, "variant string, clusters int, silhouette double, "
+                                       "max_flag_ratio double")
+
+
+# --- recommendation -------------------------------------------------------------
+
+@query("rmse_baseline", """
+WITH r AS (SELECT o_custkey AS "user", l_partkey AS item, CAST(avg(l_quantity) AS FLOAT) AS rating
+           FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY o_custkey, l_partkey),
+m AS (SELECT item, avg(rating) AS prediction FROM r GROUP BY item)
+SELECT round(sqrt(avg((prediction - rating) * (prediction - rating))), 6) AS rmse
+FROM r JOIN m USING (item)
+""")
+def q_rmse_baseline(spark, d):
+    r = S.user_item_ratings(spark, d)
+    means = r.groupBy("item").agg(F.avg("rating").alias("prediction"))
+    return R.rmse(r.join(means, "item")).select(r6("rmse").alias("rmse"))
+
+
+@query("als_fit")
+def q_als_fit(spark, d):
+    r = S.user_item_ratings(spark, d)
+    train, _, test = R.hash_split(r, ["user", "item"])
+    model = R.als_fit(train, 7, 0.2, 15)
+    return model.transform(test).select("user", "item", "rating", "prediction")
+
+
+@query("als_grid")
+def q_als_grid(spark, d):
+    return R.als_grid(S.user_item_ratings(spark, d))
+
+
+# --- decision trees ---------------------------------------------------------------
+
+@query("tree_classify")
+def q_tree_classify(spark, d):
+    rows = S.tree_rows(spark, d)
+    model = D.tree_fit(rows, TREE_FEATURES, max_depth=5)
+    return model.transform(rows).select("doc_id", "label", "prediction")
+
+
+@query("tree_tune")
+def q_tree_tune(spark, d):
+    _, metrics = D.tree_tune(S.tree_rows(spark, d), TREE_FEATURES)
+    return metrics
+
+
+@query("tree_nodes")
+def q_tree_nodes(spark, d):
+    best, _ = D.tree_tune(S.tree_rows(spark, d), TREE_FEATURES)
+    return D.tree_nodes(best, TREE_FEATURES)
