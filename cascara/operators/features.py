@@ -38,7 +38,7 @@ def one_hot_items(
     ``prefix + <1-based rank>``."""
     arr = _col(items)
     cols = [
-        F.array_contains(arr, F.lit(n)).alias(f"{prefix}{n if name_by == 'item' else i + 1}")
+        F.array_contains(arr, F.lit(n).cast("string")).alias(f"{prefix}{n if name_by == 'item' else i + 1}")
         for i, n in enumerate(names)
     ]
     return rows.select("*", *cols)

@@ -24,6 +24,7 @@ The number of frequent items ``F`` is checked before it is used: up to
 ``literal_limit`` names it is inlined as a constant array (no shuffle to build
 signatures); above that, baskets are exploded and joined to the ranked item
 table (broadcast only up to ``broadcast_limit`` rows) and regrouped per basket.
+Every broadcast in this module is behind such a counted-size check.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 
 from cascara.functions import contains_all
 from cascara.operators.ranking import global_row_number
-from cascara.session import ensure_checkpoint_dir
+from cascara.session import materialize
 
 
 def _col(c: str | Column) -> Column:
@@ -87,12 +88,18 @@ def baskets_of_size(baskets: DataFrame, items: str | Column, min_size: int) -> D
 
 # --- level-wise mining ---------------------------------------------------------
 
-def _signatures(baskets: DataFrame, items: Column, ranked: DataFrame, n_freq: int,
-                literal_limit: int, broadcast_limit: int) -> DataFrame:
+def _value(spark, t) -> float:
+    """A threshold as a number; a Column (e.g. a share of a scalar subquery)
+    is evaluated once here instead of in every level's job."""
+    if isinstance(t, Column):
+        return float(spark.range(1).select(t.cast("double")).first()[0])
+    return float(t)
+
+
+def _signatures(baskets: DataFrame, items: Column, ranked: DataFrame, names: list[str] | None,
+                n_freq: int, broadcast_limit: int) -> DataFrame:
     """Per basket: the ascending array of ranks of its frequent items."""
-    if n_freq <= literal_limit:
-        # Bounded: at most ``literal_limit`` names reach the driver.
-        names = [r["item"] for r in ranked.orderBy("rank").select("item").collect()]
+    if names is not None:
         lookup = F.array(*[F.lit(x) for x in names]) if names else F.array().cast("array<string>")
         ranks = F.transform(F.array_distinct(items), lambda x: F.array_position(lookup, x).cast("int"))
         return baskets.select(F.array_sort(F.filter(ranks, lambda r: r > 0)).alias("sig"))
@@ -117,21 +124,29 @@ def frequent_itemsets(
     count is ``> set_threshold``.
 
     Returns (level int, items array<string> in rank order, label string
-    'a-b-c', count bigint). Runs one job per level (plus the item count);
-    intermediate tables are checkpointed to the shared checkpoint folder.
+    'a-b-c', count bigint). Runs one job for the item counts, one for the
+    signatures and one or two per level; each intermediate table is written
+    below the shared folder (lineage cut, survives executor loss).
     """
     spark = baskets.sparkSession
-    ensure_checkpoint_dir(spark)
     items = _col(items)
+    t_item, t_set = _value(spark, item_threshold), _value(spark, set_threshold)
 
-    counts = item_counts(baskets, items, sort=False)
-    ranked = rank_items(frequent_items(counts, item_threshold)).checkpoint()
-    n_freq = ranked.count()
+    frequent = materialize(frequent_items(item_counts(baskets, items, sort=False), t_item),
+                           "frequent-items")
+    n_freq = frequent.count()
+    if n_freq <= literal_limit:
+        # Bounded: at most ``literal_limit`` names reach the driver.
+        ordered = frequent.orderBy(F.desc("count"), "item").select("item").collect()
+        names = [r["item"] for r in ordered]
+        ranked = None
+    else:
+        names = None
+        ranked = materialize(rank_items(frequent), "ranked-items")
 
-    sig = _signatures(baskets, items, ranked, n_freq, literal_limit, broadcast_limit)
-    sigs = (sig.where(F.size("sig") >= 2)
-            .groupBy("sig").agg(F.count(F.lit(1)).alias("n"))
-            .checkpoint())
+    sig = _signatures(baskets, items, ranked, names, n_freq, broadcast_limit)
+    sigs = materialize(sig.where(F.size("sig") >= 2)
+                       .groupBy("sig").agg(F.count(F.lit(1)).alias("n")), "signatures")
 
     # Level 1 occurrences: every rank of every signature with its position.
     occ = sigs.select("sig", "n", F.posexplode("sig").alias("last", "r")).select(
@@ -145,16 +160,15 @@ def frequent_itemsets(
         )
         ext = ext.select("sig", "n", F.concat("set", F.array(F.col("sig")[F.col("last")])).alias("set"),
                          "last")
-        found = (ext.groupBy("set").agg(F.sum("n").alias("count"))
-                 .where(F.col("count") > _thr(set_threshold))
-                 .checkpoint())
+        found = materialize(ext.groupBy("set").agg(F.sum("n").alias("count"))
+                            .where(F.col("count") > t_set), f"level{level}")
         n_found = found.count()
         if level >= min_len:
             levels.append(found.withColumn("level", F.lit(level)))
         if n_found == 0 or level == max_len:
             break
-        occ = _sized_join(ext, found.select("set"), "set", "left_semi", n_found,
-                          broadcast_limit).checkpoint()
+        occ = materialize(_sized_join(ext, found.select("set"), "set", "left_semi", n_found,
+                                      broadcast_limit), f"occ{level}")
 
     if not levels:
         return spark.createDataFrame(
@@ -162,11 +176,17 @@ def frequent_itemsets(
     sets = levels[0]
     for extra in levels[1:]:
         sets = sets.unionByName(extra)
-    # Ranks -> names; only frequent sets (already reduced) are relabelled.
+    if names is not None:
+        lookup = F.array(*[F.lit(x) for x in names])
+        named = F.transform("set", lambda r: F.element_at(lookup, r))
+        return sets.select(
+            F.col("level").cast("int").alias("level"), named.alias("items"),
+            F.concat_ws("-", named).alias("label"), F.col("count").cast("bigint").alias("count"))
+    # Ranks -> names by a join; only the (already reduced) frequent sets.
     pos = sets.select("level", "set", "count", F.posexplode("set").alias("p", "rank"))
-    named = _sized_join(pos, ranked.select("rank", "item"), "rank", "inner", n_freq,
-                        broadcast_limit)
-    out = named.groupBy("level", "set", "count").agg(
+    joined = _sized_join(pos, ranked.select("rank", "item"), "rank", "inner", n_freq,
+                         broadcast_limit)
+    out = joined.groupBy("level", "set", "count").agg(
         F.array_sort(F.collect_list(F.struct("p", "item"))).alias("_pi"))
     return out.select(
         F.col("level").cast("int").alias("level"),

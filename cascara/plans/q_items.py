@@ -11,6 +11,7 @@ from cascara.operators import itemsets as I
 from cascara.operators import tables as T
 from cascara.plans import standins as S
 from cascara.plans.catalog import query, r6
+from cascara.session import materialize
 
 ITEM_SHARE = 0.12    # item frequent when in more than 12 % of baskets
 SET_SHARE = 0.004    # set frequent when in more than 0.4 % of baskets
@@ -107,7 +108,9 @@ def q_share_multi(spark, d):
 
 
 def _mined(spark, d, min_len, max_len):
-    b = _baskets(spark, d)
+    # The derived baskets play the role of the reference's input file: they
+    # are written once and scanned by every pass of the miner.
+    b = materialize(_baskets(spark, d), "baskets")
     t_item, t_set = _thresholds(b)
     out = I.frequent_itemsets(b, "items", t_item, t_set, max_len=max_len, min_len=min_len)
     return out.select("level", "label", "count")
@@ -137,7 +140,7 @@ def q_itemsets(spark, d):
 
 @query("frequent_itemsets_fp", _ALL)
 def q_itemsets_fp(spark, d):
-    b = _baskets(spark, d)
+    b = materialize(_baskets(spark, d), "baskets")
     t_item, t_set = _thresholds(b)
     t_item_v, t_set_v = spark.range(1).select(t_item, t_set).first()
     out = I.frequent_itemsets_fpgrowth(b, "items", t_item_v, t_set_v)

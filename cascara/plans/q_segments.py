@@ -75,6 +75,9 @@ _ONE_HOT_SQL = _PROF + "SELECT id, " + ", ".join(
 def q_one_hot(spark, d):
     pop = G.non_extreme_multi(profiles(spark, d), "numports")
     names = E.top_k_names(pop, "items", TOP_K)
+    # Fewer than k distinct items: the missing ranks become NULL columns, as
+    # in the SQL form, so the result always has k feature columns.
+    names = names + [None] * (TOP_K - len(names))
     oh = E.one_hot_items(pop, "items", names, ONE_HOT_PREFIX, name_by="rank")
     return oh.select("id", *[f"{ONE_HOT_PREFIX}{i}" for i in range(1, TOP_K + 1)])
 

@@ -81,3 +81,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, not yet existing path below the shared folder."""
     return os.path.join(_base_dir(spark), "scratch", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df, name: str):
+    """Cut lineage by writing ``df`` as parquet below the shared folder and
+    reading it back: one job, files survive executor loss, and the read side
+    carries real size statistics for AQE's join choices.
+
+    (``DataFrame.checkpoint()`` on an unpersisted plan computes it twice: once
+    for the action and again for the checkpoint write.)
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
