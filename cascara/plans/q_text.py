@@ -68,3 +68,23 @@ def q_count_diff_oj(spark, d):
 def q_new_keys(spark, d):
     d1, d2 = S.first_days(spark, d)
     return X.new_keys_only(S.tagged_events(spark, d), "day", d1, d2)
+
+
+@query("stream_prefix_token_counts", f"""
+SELECT token, CAST(count(*) AS BIGINT) AS count
+FROM (SELECT unnest({_TOK.format(c='value')}) AS token FROM ({_TAGGED}))
+WHERE starts_with(token, '#') GROUP BY token
+""")
+def q_stream_prefix_counts(spark, d):
+    import os
+
+    from pyspark.sql import functions as F
+
+    from cascara.streaming import prefix_counts_stream, run_available
+
+    schema = spark.read.parquet(os.path.join(d, "events.parquet")).schema
+    # A file stream watches a folder; the glob keeps it to the events table.
+    ev = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
+    lines = ev.select(F.concat_ws(" ", "event_type", F.concat(F.lit("#"), "event_type"),
+                                  F.concat(F.lit("#u"), F.col("user_id").cast("string"))).alias("value"))
+    return run_available(prefix_counts_stream(lines), "stream-tags")
