@@ -7,6 +7,8 @@ lines still ships one partial row per map task, not one row per occurrence.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,6 +42,22 @@ def prefix_token_counts(
     return _counted(tokens, sort)
 
 
+def _two_days(lines: DataFrame, day_col: str, day1, day2, ts_col: str | None) -> DataFrame:
+    """Rows of the two days. With literal dates and the timestamp column the
+    filter is also stated as a timestamp range, which reaches the parquet
+    scan (row groups of other days are skipped)."""
+    d1, d2 = (v if isinstance(v, Column) else F.lit(v) for v in (day1, day2))
+    out = lines.where(F.col(day_col).isin(d1, d2))
+    if ts_col and all(isinstance(v, dt.date) and not isinstance(v, dt.datetime)
+                      for v in (day1, day2)):
+        ts_type = dict(lines.dtypes)[ts_col]
+        lo = dt.datetime.combine(min(day1, day2), dt.time())
+        hi = dt.datetime.combine(max(day1, day2) + dt.timedelta(days=1), dt.time())
+        ts = F.col(ts_col)
+        out = out.where((ts >= F.lit(lo).cast(ts_type)) & (ts < F.lit(hi).cast(ts_type)))
+    return out
+
+
 def count_diff(
     lines: DataFrame,
     day_col: str,
@@ -48,6 +66,7 @@ def count_diff(
     text_col: str = "value",
     prefix: str = "#",
     sort: bool = True,
+    ts_col: str | None = None,
 ) -> DataFrame:
     """B3 in one scan: per prefixed token, count on ``day1``, on ``day2`` and
     ``diff = count_day2 - count_day1`` (a side without the token counts 0).
@@ -58,7 +77,7 @@ def count_diff(
     d1, d2 = (v if isinstance(v, Column) else F.lit(v) for v in (day1, day2))
     day = F.col(day_col)
     tokens = (
-        lines.where(day.isin(d1, d2))
+        _two_days(lines, day_col, day1, day2, ts_col)
         .select(day.alias("_day"), F.explode(strip_split(text_col)).alias("token"))
         .where(F.col("token").startswith(prefix))
     )
@@ -71,14 +90,15 @@ def count_diff(
 
 def count_diff_outer_join(
     lines: DataFrame, day_col: str, day1, day2, text_col: str = "value", prefix: str = "#",
-    sort: bool = True,
+    sort: bool = True, ts_col: str | None = None,
 ) -> DataFrame:
     """B3 as the reference states it: two B2 results, full outer join, missing
     side as 0. Kept to assert equality with :func:`count_diff`; it scans and
     shuffles twice, so prefer the single-scan form."""
     d1, d2 = (v if isinstance(v, Column) else F.lit(v) for v in (day1, day2))
-    one = prefix_token_counts(lines.where(F.col(day_col) == d1), text_col, prefix, sort=False)
-    two = prefix_token_counts(lines.where(F.col(day_col) == d2), text_col, prefix, sort=False)
+    both = _two_days(lines, day_col, day1, day2, ts_col)
+    one = prefix_token_counts(both.where(F.col(day_col) == d1), text_col, prefix, sort=False)
+    two = prefix_token_counts(both.where(F.col(day_col) == d2), text_col, prefix, sort=False)
     out = (
         one.withColumnRenamed("count", "c1")
         .join(two.withColumnRenamed("count", "c2"), "token", "full")
@@ -93,11 +113,12 @@ def count_diff_outer_join(
 
 
 def new_keys_only(
-    lines: DataFrame, day_col: str, day1, day2, text_col: str = "value", prefix: str = "#"
+    lines: DataFrame, day_col: str, day1, day2, text_col: str = "value", prefix: str = "#",
+    ts_col: str | None = None,
 ) -> DataFrame:
     """Tokens present on ``day2`` and absent on ``day1`` (the outer-join
     rows whose left side is NULL), from the same single aggregate."""
-    diff = count_diff(lines, day_col, day1, day2, text_col, prefix, sort=False)
+    diff = count_diff(lines, day_col, day1, day2, text_col, prefix, sort=False, ts_col=ts_col)
     return diff.where((F.col("count_day1") == 0) & (F.col("count_day2") > 0)).select(
         "token", "count_day2"
     )

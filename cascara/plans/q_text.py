@@ -54,20 +54,20 @@ c AS (
 @query("count_diff", _DIFF + "SELECT token, count_day1, count_day2, count_day2 - count_day1 AS diff FROM c")
 def q_count_diff(spark, d):
     d1, d2 = S.first_days(spark, d)
-    return X.count_diff(S.tagged_events(spark, d), "day", d1, d2)
+    return X.count_diff(S.tagged_events(spark, d), "day", d1, d2, ts_col="ts")
 
 
 @query("count_diff_outer_join",
        _DIFF + "SELECT token, count_day1, count_day2, count_day2 - count_day1 AS diff FROM c")
 def q_count_diff_oj(spark, d):
     d1, d2 = S.first_days(spark, d)
-    return X.count_diff_outer_join(S.tagged_events(spark, d), "day", d1, d2)
+    return X.count_diff_outer_join(S.tagged_events(spark, d), "day", d1, d2, ts_col="ts")
 
 
 @query("new_keys_only", _DIFF + "SELECT token, count_day2 FROM c WHERE count_day1 = 0 AND count_day2 > 0")
 def q_new_keys(spark, d):
     d1, d2 = S.first_days(spark, d)
-    return X.new_keys_only(S.tagged_events(spark, d), "day", d1, d2)
+    return X.new_keys_only(S.tagged_events(spark, d), "day", d1, d2, ts_col="ts")
 
 
 @query("stream_prefix_token_counts", f"""

@@ -4,6 +4,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +23,7 @@ def tagged_events(spark: SparkSession, d: str) -> DataFrame:
     """Tagged text with a day: ``type #type #u<user>`` per event."""
     ev = load_table(spark, d, "events")
     return ev.select(
+        "ts",
         F.to_date("ts").alias("day"),
         F.concat_ws(" ", "event_type", F.concat(F.lit("#"), "event_type"),
                     F.concat(F.lit("#u"), F.col("user_id").cast("string"))).alias("value"),
@@ -28,9 +31,10 @@ def tagged_events(spark: SparkSession, d: str) -> DataFrame:
 
 
 def first_days(spark: SparkSession, d: str):
-    """The first two calendar days of ``events`` as scalar subqueries."""
-    first = load_table(spark, d, "events").agg(F.min(F.to_date("ts"))).scalar()
-    return first, F.date_add(first, 1)
+    """The first two calendar days of ``events`` as dates (one scalar reaches
+    the driver), so the day filter can be pushed into the scan."""
+    first = load_table(spark, d, "events").agg(F.min(F.to_date("ts"))).first()[0]
+    return first, first + dt.timedelta(days=1)
 
 
 def ratings(spark: SparkSession, d: str) -> DataFrame:
