@@ -82,15 +82,20 @@ def silhouette(df: DataFrame, x: str | Column, cluster: str | Column, dim: int)
     table = stats.agg(F.collect_list(F.struct("c", "n", "s", "q"))).scalar()
     # The subquery is bound to a column first: higher-order functions may not
     # contain subqueries themselves.
-    pts = pts.withColumn("_stats", table)
-    xx = _dot(F.col("x"), F.col("x"))
-    dists = F.transform("_stats", lambda t: F.struct(
+    pts = pts.withColumn("_stats", table).withColumn("_xx", _dot(F.col("x"), F.col("x")))
+    xx = F.col("_xx")
+    # Separate projections, each consumed more than once, so the optimizer
+    # keeps them as columns instead of inlining the distance array repeatedly.
+    pts = pts.withColumn("_d", F.transform("_stats", lambda t: F.struct(
         t["c"].alias("c"), t["n"].alias("n"),
-        (xx - 2 * _dot(F.col("x"), t["s"]) / t["n"] + t["q"] / t["n"]).alias("d")))
-    own = F.filter(dists, lambda t: t["c"] == F.col("c"))[0]
-    others = F.filter(dists, lambda t: t["c"] != F.col("c"))
+        (xx - 2 * _dot(F.col("x"), t["s"]) / t["n"] + t["q"] / t["n"]).alias("d"))))
+    pts = pts.select(
+        F.filter("_d", lambda t: t["c"] == F.col("c"))[0].alias("_own"),
+        F.array_min(F.transform(F.filter("_d", lambda t: t["c"] != F.col("c")),
+                                lambda t: t["d"])).alias("_b"))
+    own = F.col("_own")
     a = own["d"] * own["n"] / (own["n"] - 1)
-    b = F.array_min(F.transform(others, lambda t: t["d"]))
+    b = F.col("_b")
     s = F.when(own["n"] <= 1, F.lit(0.0)).otherwise((b - a) / F.greatest(a, b))
     return pts.select(s.alias("s")).agg(F.avg("s").alias("silhouette"))
 
