@@ -90,3 +90,10 @@ def q_one_hot_check(spark, d):
     names = E.top_k_names(pop, "items", TOP_K)
     oh = E.one_hot_items(pop, "items", names, ONE_HOT_PREFIX, name_by="rank")
     return E.one_hot_check(oh, pop, "items", names, ONE_HOT_PREFIX, name_by="rank")
+
+
+@query("filter_boolean", _PROF + "SELECT id, numports FROM prof WHERE flag")
+def q_filter_boolean(spark, d):
+    from cascara.operators import tables as T
+
+    return T.filter_all(profiles(spark, d), F.col("flag")).select("id", "numports")

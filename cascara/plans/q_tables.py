@@ -164,3 +164,13 @@ FROM (SELECT unnest(string_split(p_name, ' ')) AS tag FROM part) GROUP BY tag
 """)
 def q_tag_counts(spark, d):
     return T.tag_counts(S.items_with_tags(spark, d), F.col("tags"))
+
+
+@query("split_to_array", """
+SELECT p_partkey AS item_id, CAST(generate_subscripts(string_split(p_name, ' '), 1) - 1 AS INTEGER) AS pos,
+       unnest(string_split(p_name, ' ')) AS tag
+FROM part
+""")
+def q_split_to_array(spark, d):
+    it = S.items_with_tags(spark, d)
+    return it.select("item_id", F.posexplode("tags").alias("pos", "tag"))
