@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cascara.operators.recommend import hash_split
-from cascara.session import ensure_checkpoint_dir, scratch_path
+from cascara.session import ensure_checkpoint_dir, materialize, scratch_path
 
 
 def tree_pipeline(features: list[str], label: str = "label", max_depth: int = 5,
@@ -42,7 +42,7 @@ def tree_tune(
     min_instances, accuracy, leaves, is_best)."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    train, val = (p.checkpoint() for p in hash_split(df, [key], (80, 20), seed))
+    train, val = (materialize(p, "tree-split") for p in hash_split(df, [key], (80, 20), seed))
     ev = MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction",
                                            metricName="accuracy")
 

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from cascara.operators import text as X
 from cascara.plans import standins as S
-from cascara.plans.catalog import query, r6
+from cascara.plans.registry import query, r6
 from cascara.plans.q_tables import TOP_MIN_COUNT, TOP_TAG
 from cascara.session import scratch_path
 from cascara.sources import load_table, read_csv, read_text_lines, write_csv, write_text

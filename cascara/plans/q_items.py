@@ -10,7 +10,7 @@ from cascara.functions import split_on
 from cascara.operators import itemsets as I
 from cascara.operators import tables as T
 from cascara.plans import standins as S
-from cascara.plans.catalog import query, r6
+from cascara.plans.registry import query, r6
 from cascara.session import materialize
 
 ITEM_SHARE = 0.12    # item frequent when in more than 12 % of baskets

@@ -9,7 +9,7 @@ from cascara.functions import split_on
 from cascara.operators import features as E
 from cascara.operators import segments as G
 from cascara.plans import standins as S
-from cascara.plans.catalog import query
+from cascara.plans.registry import query
 
 TOP_K = 20
 ONE_HOT_PREFIX = "s_"

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cascara.operators import tables as T
 from cascara.plans import standins as S
-from cascara.plans.catalog import query, r6
+from cascara.plans.registry import query, r6
 from cascara.sources import load_table
 
 TOP_TAG = "ring"

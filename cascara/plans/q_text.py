@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from cascara.operators import text as X
 from cascara.plans import standins as S
-from cascara.plans.catalog import query
+from cascara.plans.registry import query
 
 # DuckDB spelling of "strip, then split on single spaces" for the stand-in
 # text, which holds no whitespace other than spaces and newlines.

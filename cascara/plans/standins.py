@@ -10,12 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cascara.functions import split_on
+from cascara.session import spread
 from cascara.sources import load_table
 
 
 def doc_lines(spark: SparkSession, d: str) -> DataFrame:
     """Text lines: every document split on newline, one row per line."""
-    docs = load_table(spark, d, "documents").select("text")
+    docs = spread(load_table(spark, d, "documents").select("text"))
     return docs.select(F.explode(F.split("text", "\n", -1)).alias("value"))
 
 

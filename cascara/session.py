@@ -95,3 +95,15 @@ def materialize(df, name: str):
     path = scratch_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
+
+
+def spread(df):
+    """Round-robin ``df`` over the cluster's cores when its scan yields fewer
+    partitions than cores (e.g. a single unsplittable file), so CPU-heavy
+    per-row work that follows is not confined to a few tasks. A scan that is
+    already wide (the normal case on large inputs) is returned unchanged, so
+    no shuffle is added at scale."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
