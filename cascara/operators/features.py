@@ -54,7 +54,10 @@ def one_hot_check(onehot: DataFrame, rows: DataFrame, items: str | Column,
     trues = wide.select(F.inline(F.array(*[
         F.struct(F.lit(i + 1).alias("rank"), F.lit(n).alias("item"),
                  F.col(f"t{i}").alias("true_count")) for i, n in enumerate(names)])))
-    counts = item_counts(rows, items, sort=False).withColumnRenamed("count", "item_count")
+    # Only the k named items are counted: the filter sits below the aggregate.
+    occ = rows.select(F.explode(F.array_distinct(_col(items))).alias("item"))
+    counts = (occ.where(F.col("item").isin([n for n in names if n is not None]))
+              .groupBy("item").agg(F.count(F.lit(1)).alias("item_count")))
     return trues.join(counts, "item", "left").select(
         "rank", "item", "true_count", F.coalesce("item_count", F.lit(0)).alias("item_count"))
 

@@ -132,34 +132,34 @@ def frequent_itemsets(
     items = _col(items)
     t_item, t_set = _value(spark, item_threshold), _value(spark, set_threshold)
 
-    frequent = materialize(frequent_items(item_counts(baskets, items, sort=False), t_item),
-                           "frequent-items")
-    n_freq = frequent.count()
-    if n_freq <= literal_limit:
-        # Bounded: at most ``literal_limit`` names reach the driver.
-        ordered = frequent.orderBy(F.desc("count"), "item").select("item").collect()
-        names = [r["item"] for r in ordered]
-        ranked = None
+    frequent = frequent_items(item_counts(baskets, items, sort=False), t_item)
+    # At most literal_limit + 1 rows reach the driver (TakeOrderedAndProject);
+    # more than literal_limit frequent items switch to the join path.
+    top = frequent.orderBy(F.desc("count"), "item").limit(literal_limit + 1).collect()
+    if len(top) <= literal_limit:
+        names, ranked, n_freq = [r["item"] for r in top], None, len(top)
     else:
         names = None
         ranked = materialize(rank_items(frequent), "ranked-items")
+        n_freq = ranked.count()
 
     sig = _signatures(baskets, items, ranked, names, n_freq, broadcast_limit)
     sigs = materialize(sig.where(F.size("sig") >= 2)
                        .groupBy("sig").agg(F.count(F.lit(1)).alias("n")), "signatures")
 
-    # Level 1 occurrences: every rank of every signature with its position.
-    occ = sigs.select("sig", "n", F.posexplode("sig").alias("last", "r")).select(
-        "sig", "n", F.array("r").alias("set"), "last")
+    # An occurrence is a set found in a signature plus the signature's ranks
+    # after the set's last member (its "tail"): only the tail can extend it,
+    # so the whole signature is not carried along.
+    occ = sigs.select("n", F.posexplode("sig").alias("p", "r"), "sig").select(
+        "n", F.array("r").alias("set"),
+        F.slice("sig", F.col("p") + 2, F.size("sig")).alias("tail"))
     levels = []
     for level in range(2, max_len + 1):
-        # Only occurrences that are not at the end of their signature extend.
-        ext = occ.where(F.col("last") < F.size("sig") - 1).select(
-            "sig", "n", "set",
-            F.explode(F.sequence(F.col("last") + 1, F.size("sig") - 1)).alias("last"),
-        )
-        ext = ext.select("sig", "n", F.concat("set", F.array(F.col("sig")[F.col("last")])).alias("set"),
-                         "last")
+        ext = occ.where(F.size("tail") > 0).select(
+            "n", "set", "tail", F.posexplode("tail").alias("p", "r"))
+        ext = ext.select(
+            "n", F.concat("set", F.array("r")).alias("set"),
+            F.slice("tail", F.col("p") + 2, F.size("tail")).alias("tail"))
         found = materialize(ext.groupBy("set").agg(F.sum("n").alias("count"))
                             .where(F.col("count") > t_set), f"level{level}")
         n_found = found.count()
