@@ -96,6 +96,19 @@ def _value(spark, t) -> float:
     return float(t)
 
 
+def _frequent_ranked(baskets: DataFrame, items: Column, t_item: float, literal_limit: int):
+    """Frequent items in rank order. Returns (names, None, F) when at most
+    ``literal_limit`` items are frequent (only then do names reach the
+    driver, via TakeOrderedAndProject of literal_limit + 1 rows), else
+    (None, ranked table written below the shared folder, F)."""
+    frequent = frequent_items(item_counts(baskets, items, sort=False), t_item)
+    top = frequent.orderBy(F.desc("count"), "item").limit(literal_limit + 1).collect()
+    if len(top) <= literal_limit:
+        return [r["item"] for r in top], None, len(top)
+    ranked = materialize(rank_items(frequent), "ranked-items")
+    return None, ranked, ranked.count()
+
+
 def _signatures(baskets: DataFrame, items: Column, ranked: DataFrame, names: list[str] | None,
                 n_freq: int, broadcast_limit: int) -> DataFrame:
     """Per basket: the ascending array of ranks of its frequent items."""
@@ -132,17 +145,7 @@ def frequent_itemsets(
     items = _col(items)
     t_item, t_set = _value(spark, item_threshold), _value(spark, set_threshold)
 
-    frequent = frequent_items(item_counts(baskets, items, sort=False), t_item)
-    # At most literal_limit + 1 rows reach the driver (TakeOrderedAndProject);
-    # more than literal_limit frequent items switch to the join path.
-    top = frequent.orderBy(F.desc("count"), "item").limit(literal_limit + 1).collect()
-    if len(top) <= literal_limit:
-        names, ranked, n_freq = [r["item"] for r in top], None, len(top)
-    else:
-        names = None
-        ranked = materialize(rank_items(frequent), "ranked-items")
-        n_freq = ranked.count()
-
+    names, ranked, n_freq = _frequent_ranked(baskets, items, t_item, literal_limit)
     sig = _signatures(baskets, items, ranked, names, n_freq, broadcast_limit)
     sigs = materialize(sig.where(F.size("sig") >= 2)
                        .groupBy("sig").agg(F.count(F.lit(1)).alias("n")), "signatures")
@@ -176,14 +179,20 @@ def frequent_itemsets(
     sets = levels[0]
     for extra in levels[1:]:
         sets = sets.unionByName(extra)
+    return _label(sets, "set", names, ranked, n_freq, broadcast_limit)
+
+
+def _label(sets: DataFrame, set_col: str, names: list[str] | None, ranked: DataFrame | None,
+           n_freq: int, broadcast_limit: int) -> DataFrame:
+    """(level, set of ranks, count) -> (level, items, label, count)."""
     if names is not None:
-        lookup = F.array(*[F.lit(x) for x in names])
-        named = F.transform("set", lambda r: F.element_at(lookup, r))
+        lookup = F.array(*[F.lit(x) for x in names]) if names else F.array().cast("array<string>")
+        named = F.transform(set_col, lambda r: F.element_at(lookup, r))
         return sets.select(
             F.col("level").cast("int").alias("level"), named.alias("items"),
             F.concat_ws("-", named).alias("label"), F.col("count").cast("bigint").alias("count"))
-    # Ranks -> names by a join; only the (already reduced) frequent sets.
-    pos = sets.select("level", "set", "count", F.posexplode("set").alias("p", "rank"))
+    pos = sets.select("level", F.col(set_col).alias("set"), "count",
+                      F.posexplode(set_col).alias("p", "rank"))
     joined = _sized_join(pos, ranked.select("rank", "item"), "rank", "inner", n_freq,
                          broadcast_limit)
     out = joined.groupBy("level", "set", "count").agg(
@@ -196,33 +205,27 @@ def frequent_itemsets(
     )
 
 
-def frequent_itemsets_fpgrowth(baskets: DataFrame, items: str | Column, item_threshold: float,
-                               set_threshold: float) -> DataFrame:
+def frequent_itemsets_fpgrowth(baskets: DataFrame, items: str | Column, item_threshold,
+                               set_threshold, literal_limit: int = 1000,
+                               broadcast_limit: int = 200_000) -> DataFrame:
     """Cross-check of :func:`frequent_itemsets` with MLlib's parallel
-    FP-growth, restricted to frequent items. ``minSupport = (t + 0.5) / n``
-    over the trimmed baskets makes the smallest accepted count ``floor(t) + 1``
-    (strict ``>``). Thresholds must be numbers here. FP-growth has
-    no length limit, so it returns sets of every length."""
+    FP-growth on the same frequent-item signatures (ranks). With n trimmed
+    baskets, ``minSupport = (m - 0.5) / n`` where ``m = floor(t) + 1`` makes
+    the smallest accepted count m (strict ``>``). FP-growth has no length
+    limit, so it returns sets of every length."""
     from pyspark.ml.fpm import FPGrowth
 
+    spark = baskets.sparkSession
     items = _col(items)
-    ranked = rank_items(frequent_items(item_counts(baskets, items, sort=False), item_threshold))
-    names = [r["item"] for r in ranked.orderBy("rank").select("item").collect()]
-    keep = F.array(*[F.lit(x) for x in names])
-    trimmed = baskets.select(F.array_intersect(F.array_distinct(items), keep).alias("items"))
-    trimmed = trimmed.where(F.size("items") >= 2)
+    t_item, t_set = _value(spark, item_threshold), _value(spark, set_threshold)
+    names, ranked, n_freq = _frequent_ranked(baskets, items, t_item, literal_limit)
+    sig = _signatures(baskets, items, ranked, names, n_freq, broadcast_limit)
+    trimmed = materialize(sig.where(F.size("sig") >= 2), "fp-signatures")
     n = trimmed.count()
-    min_count = int(set_threshold) + 1 if set_threshold >= 0 else 0
-    model = FPGrowth(itemsCol="items", minSupport=(min_count - 0.5) / max(n, 1),
+    min_count = int(t_set) + 1 if t_set >= 0 else 0
+    model = FPGrowth(itemsCol="sig", minSupport=(min_count - 0.5) / max(n, 1),
                      minConfidence=1.0).fit(trimmed)
-    sets = model.freqItemsets.where(F.size("items") >= 2)
-    ordered = F.transform(
-        F.array_sort(F.transform("items", lambda x: F.struct(F.array_position(keep, x).alias("r"),
-                                                             x.alias("i")))),
-        lambda s: s["i"])
-    return sets.select(
-        F.size("items").cast("int").alias("level"),
-        ordered.alias("items"),
-        F.concat_ws("-", ordered).alias("label"),
-        F.col("freq").cast("bigint").alias("count"),
-    )
+    sets = model.freqItemsets.where(F.size("items") >= 2).select(
+        F.size("items").alias("level"), F.array_sort("items").alias("set"),
+        F.col("freq").alias("count"))
+    return _label(sets, "set", names, ranked, n_freq, broadcast_limit)

@@ -90,3 +90,22 @@ def q_sink_csv(spark, d):
     schema = "item_id bigint, avg_rating double, rating_count bigint, title string"
     back = spark.read.schema(schema).option("header", True).csv(path)
     return back.withColumn("avg_rating", r6("avg_rating"))
+
+
+@query("cluster_profile_csv", "SELECT label AS cluster_id, CAST(count(*) AS BIGINT) AS size, "
+       "round(avg(CASE WHEN embedding[1] > 0 THEN 1.0 ELSE 0.0 END), 6) AS flag_ratio, "
+       "round(avg(embedding[1]), 6) AS e0, round(avg(embedding[2]), 6) AS e1 "
+       "FROM embeddings GROUP BY label")
+def q_cluster_profile_csv(spark, d):
+    """K4 re-aimed: the per-cluster summary is written by the executors as a
+    CSV with header (not from a driver-side frame) and read back."""
+    from cascara.operators import cluster as C
+
+    emb = load_table(spark, d, "embeddings")
+    prof = C.cluster_profile(emb, "label", F.col("embedding")[0] > 0,
+                             {"e0": F.col("embedding")[0], "e1": F.col("embedding")[1]})
+    path = scratch_path(spark, "cluster-profile-csv")
+    write_csv(prof, path, header=True)
+    schema = "cluster_id int, size bigint, flag_ratio double, e0 double, e1 double"
+    back = spark.read.schema(schema).option("header", True).csv(path)
+    return back.select("cluster_id", "size", *[r6(c).alias(c) for c in ("flag_ratio", "e0", "e1")])

@@ -142,6 +142,5 @@ def q_itemsets(spark, d):
 def q_itemsets_fp(spark, d):
     b = materialize(_baskets(spark, d), "baskets")
     t_item, t_set = _thresholds(b)
-    t_item_v, t_set_v = spark.range(1).select(t_item, t_set).first()
-    out = I.frequent_itemsets_fpgrowth(b, "items", t_item_v, t_set_v)
+    out = I.frequent_itemsets_fpgrowth(b, "items", t_item, t_set)
     return out.select("level", "label", "count")

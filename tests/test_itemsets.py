@@ -72,11 +72,12 @@ def test_duplicates_count_once(spark):
     assert counts == {"a": 2, "b": 2}
 
 
-def test_fpgrowth_cross_check(spark):
+@pytest.mark.parametrize("literal_limit", [1000, 0])
+def test_fpgrowth_cross_check(spark, literal_limit):
     df = _df(spark, BASKETS)
     lw = {r["label"]: r["count"] for r in I.frequent_itemsets(df, "items", 2, 1, max_len=10).collect()}
-    fp = {r["label"]: r["count"] for r in I.frequent_itemsets_fpgrowth(df, "items", 2, 1).collect()}
-    assert lw == fp
+    fp = I.frequent_itemsets_fpgrowth(df, "items", 2, 1, literal_limit=literal_limit)
+    assert lw == {r["label"]: r["count"] for r in fp.collect()}
 
 
 def test_contains_all_count(spark):

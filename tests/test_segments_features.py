@@ -38,3 +38,13 @@ def test_one_hot_true_counts_equal_item_counts(spark):
     assert all(r["true_count"] == r["item_count"] for r in chk)
     vec = E.assemble(oh, ["Porta", "Portb", "Portc"]).first()["features"]
     assert list(vec.toArray()) == [1.0, 1.0, 0.0]
+
+
+def test_stored_size_and_array_length_agree_on_stand_in(spark):
+    from conftest import SF_SMALL
+    from cascara.plans.q_segments import profiles
+
+    prof = profiles(spark, SF_SMALL)
+    a = sorted(tuple(r) for r in G.segment_rows(prof, "numports").select("id", "segment").collect())
+    b = sorted(tuple(r) for r in G.segment_rows(prof, F.size("items")).select("id", "segment").collect())
+    assert a == b and len(a) > 0
