@@ -15,10 +15,12 @@ Plan per level, with no driver loop over candidates:
    a multiplicity) before any candidate is generated, so correlated data
    collapses to few rows and one huge basket costs only its frequent items.
 3. Level L extends every frequent (L-1)-set occurrence of a signature by each
-   later rank of that signature (the a-priori join step with the prefix rule),
+   later rank of that signature (the a-priori join step with the prefix rule;
+   an occurrence carries only the signature's tail after its last member),
    sums multiplicities per set and keeps those above the threshold. The
-   occurrence table of the level is semi-joined to the survivors and
-   checkpointed to cut lineage.
+   occurrence table of the level is semi-joined to the survivors and written
+   as parquet below the shared folder, which cuts lineage and survives
+   executor loss.
 
 The number of frequent items ``F`` is checked before it is used: up to
 ``literal_limit`` names it is inlined as a constant array (no shuffle to build
