@@ -118,7 +118,7 @@ HIST_EDGES = [0, 10, 20, 30, 40, 50]
 @query("histogram_fixed", """
 WITH b AS (SELECT * FROM (VALUES (0, 0.0, 10.0), (1, 10.0, 20.0), (2, 20.0, 30.0),
                                  (3, 30.0, 40.0), (4, 40.0, 50.0)) v(bin, lower, upper))
-SELECT b.bin, b.lower, b.upper,
+SELECT b.bin, CAST(b.lower AS DOUBLE) AS lower, CAST(b.upper AS DOUBLE) AS upper,
        CAST(count(l.l_quantity) AS BIGINT) AS count
 FROM b LEFT JOIN lineitem l
   ON l.l_quantity >= b.lower AND (l.l_quantity < b.upper OR (b.bin = 4 AND l.l_quantity = b.upper))
