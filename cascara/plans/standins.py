@@ -55,22 +55,26 @@ def brand_baskets(spark: SparkSession, d: str) -> DataFrame:
     """Baskets for mining: per order the distinct brands joined by '-'.
 
     lineitem x part is a large-large equi-join at scale (sort-merge, AQE may
-    broadcast part when it is small); the regroup is per order and bounded by
-    its lines.
+    broadcast part when it is small). (order, brand) pairs are made distinct
+    before the per-order collect, so even a hot order ships each brand once.
     """
     li = load_table(spark, d, "lineitem").select("l_orderkey", "l_partkey")
     part = load_table(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
-    return (li.join(part, "l_partkey")
-            .groupBy(F.col("l_orderkey").alias("basket_id"))
-            .agg(F.concat_ws("-", F.array_sort(F.collect_set("p_brand"))).alias("items_str")))
+    pairs = li.join(part, "l_partkey").select("l_orderkey", "p_brand").distinct()
+    return (pairs.groupBy(F.col("l_orderkey").alias("basket_id"))
+            .agg(F.concat_ws("-", F.array_sort(F.collect_list("p_brand"))).alias("items_str")))
 
 
 def part_profiles(spark: SparkSession, d: str) -> DataFrame:
     """Set-valued profile rows: per part, the distinct suppliers as a '-'
     string, its size (``numports``) and a flag (``p_type = 'PROMO'``)."""
     li = load_table(spark, d, "lineitem").select("l_partkey", "l_suppkey")
-    sets = li.groupBy(F.col("l_partkey").alias("id")).agg(
-        F.array_sort(F.collect_set(F.col("l_suppkey").cast("string"))).alias("_s"))
+    # Distinct (part, supplier) first: that aggregate is keyed by both columns,
+    # so a part holding a third of all lines still spreads over reducers and
+    # combines map-side; the per-part collect then receives each supplier once.
+    pairs = li.distinct()
+    sets = pairs.groupBy(F.col("l_partkey").alias("id")).agg(
+        F.array_sort(F.collect_list(F.col("l_suppkey").cast("string"))).alias("_s"))
     part = load_table(spark, d, "part").select(
         F.col("p_partkey").alias("id"), (F.col("p_type") == "PROMO").alias("flag"))
     return sets.join(part, "id").select(
