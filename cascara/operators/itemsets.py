@@ -186,25 +186,31 @@ def frequent_itemsets(
 
 def _label(sets: DataFrame, set_col: str, names: list[str] | None, ranked: DataFrame | None,
            n_freq: int, broadcast_limit: int) -> DataFrame:
-    """(level, set of ranks, count) -> (level, items, label, count)."""
+    """(level, set of ranks, count) -> (level, items, label, count), ordered
+    by level, then lexicographically by ranks (the order in which nested
+    loops over ranks i < j < k would emit the sets)."""
     if names is not None:
         lookup = F.array(*[F.lit(x) for x in names]) if names else F.array().cast("array<string>")
         named = F.transform(set_col, lambda r: F.element_at(lookup, r))
-        return sets.select(
+        out = sets.select(
+            F.col(set_col).alias("_set"),
             F.col("level").cast("int").alias("level"), named.alias("items"),
             F.concat_ws("-", named).alias("label"), F.col("count").cast("bigint").alias("count"))
-    pos = sets.select("level", F.col(set_col).alias("set"), "count",
-                      F.posexplode(set_col).alias("p", "rank"))
-    joined = _sized_join(pos, ranked.select("rank", "item"), "rank", "inner", n_freq,
-                         broadcast_limit)
-    out = joined.groupBy("level", "set", "count").agg(
-        F.array_sort(F.collect_list(F.struct("p", "item"))).alias("_pi"))
-    return out.select(
-        F.col("level").cast("int").alias("level"),
-        F.transform("_pi", lambda s: s["item"]).alias("items"),
-        F.concat_ws("-", F.transform("_pi", lambda s: s["item"])).alias("label"),
-        F.col("count").cast("bigint").alias("count"),
-    )
+    else:
+        pos = sets.select("level", F.col(set_col).alias("_set"), "count",
+                          F.posexplode(set_col).alias("p", "rank"))
+        joined = _sized_join(pos, ranked.select("rank", "item"), "rank", "inner", n_freq,
+                             broadcast_limit)
+        grouped = joined.groupBy("level", "_set", "count").agg(
+            F.array_sort(F.collect_list(F.struct("p", "item"))).alias("_pi"))
+        out = grouped.select(
+            "_set",
+            F.col("level").cast("int").alias("level"),
+            F.transform("_pi", lambda s: s["item"]).alias("items"),
+            F.concat_ws("-", F.transform("_pi", lambda s: s["item"])).alias("label"),
+            F.col("count").cast("bigint").alias("count"),
+        )
+    return out.orderBy("level", "_set").drop("_set")
 
 
 def frequent_itemsets_fpgrowth(baskets: DataFrame, items: str | Column, item_threshold,

@@ -51,6 +51,17 @@ def test_strict_thresholds_and_ties(spark):
     assert "443" not in got and all(cnt[x] > t for x in got)
 
 
+@pytest.mark.parametrize("literal_limit", [1000, 0])
+def test_emitted_in_lexicographic_rank_order_of_frequent_items(spark, literal_limit):
+    df = _df(spark, BASKETS)
+    got = I.frequent_itemsets(df, "items", 1, 0, max_len=3, literal_limit=literal_limit).collect()
+    ranked = {r["item"]: r["rank"] for r in I.rank_items(
+        I.frequent_items(I.item_counts(df, "items", sort=False), 1)).collect()}
+    keys = [(r["level"], [ranked[x] for x in r["items"]]) for r in got]
+    assert keys == sorted(keys)
+    assert all(x in ranked for r in got for x in r["items"])
+
+
 def test_properties_of_levels(spark):
     df = _df(spark, BASKETS)
     got = I.frequent_itemsets(df, "items", 1, 0, max_len=3).collect()
