@@ -68,9 +68,10 @@ def _leaves(tree: DecisionTreeClassificationModel) -> int:
 def tree_nodes(model: PipelineModel | DecisionTreeClassificationModel,
                feature_names: list[str]) -> DataFrame:
     """D3: the fitted tree as rows, read back from the model's saved node
-    table: node_id, prediction, impurity, gain, left_child, right_child,
-    feature, threshold, is_leaf, class_counts. The model is written below the
-    shared folder (the write is an action)."""
+    table: node_id, type (root/left/right), name (node text), is_prediction,
+    prediction, impurity, gain, left_child, right_child, feature, threshold,
+    class_counts. The model is written below the shared folder (the write is
+    an action)."""
     tree = model.stages[-1] if isinstance(model, PipelineModel) else model
     spark = SparkSession.getActiveSession()
     path = scratch_path(spark, "tree")
@@ -78,17 +79,30 @@ def tree_nodes(model: PipelineModel | DecisionTreeClassificationModel,
     nodes = spark.read.parquet(f"{path}/data")
     names = F.array(*[F.lit(n) for n in feature_names])
     is_leaf = F.col("leftChild") < 0
-    return nodes.select(
+    feature = F.element_at(names, F.col("split.featureIndex") + 1)
+    threshold = F.col("split.leftCategoriesOrThreshold")[0]
+    stats = F.array_join(F.transform("impurityStats", lambda x: x.cast("string")), ", ")
+    # Node text as in the exported tree: "feature <= t" for a split,
+    # "prediction: ([n0, n1])" for a leaf.
+    name = F.when(is_leaf, F.concat(F.col("prediction").cast("string"), F.lit(": (["), stats,
+                                    F.lit("])")))
+    name = name.otherwise(F.concat(feature, F.lit(" <= "), threshold.cast("string")))
+    # Position of every node under its parent (the tree has 2^depth nodes at most).
+    inner = nodes.where(~is_leaf)
+    sides = inner.select(F.col("leftChild").alias("id"), F.lit("left").alias("type")).unionByName(
+        inner.select(F.col("rightChild").alias("id"), F.lit("right").alias("type")))
+    placed = nodes.join(sides, "id", "left")
+    return placed.select(
         F.col("id").alias("node_id"),
+        F.coalesce("type", F.lit("root")).alias("type"),
+        name.alias("name"),
+        is_leaf.alias("is_prediction"),
         F.col("prediction"),
         F.col("impurity"),
         F.when(is_leaf, None).otherwise(F.col("gain")).alias("gain"),
         F.when(is_leaf, None).otherwise(F.col("leftChild")).alias("left_child"),
         F.when(is_leaf, None).otherwise(F.col("rightChild")).alias("right_child"),
-        F.when(is_leaf, None).otherwise(
-            F.element_at(names, F.col("split.featureIndex") + 1)).alias("feature"),
-        F.when(is_leaf, None).otherwise(
-            F.col("split.leftCategoriesOrThreshold")[0]).alias("threshold"),
-        is_leaf.alias("is_leaf"),
+        F.when(is_leaf, None).otherwise(feature).alias("feature"),
+        F.when(is_leaf, None).otherwise(threshold).alias("threshold"),
         F.col("impurityStats").alias("class_counts"),
     )
