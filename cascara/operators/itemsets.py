@@ -10,8 +10,8 @@ Plan per level, with no driver loop over candidates:
 
 1. Item counts: ``explode`` + ``groupBy`` with partial aggregation, so a hot
    item present in a third of all baskets is combined map-side.
-2. Each basket is reduced to its *signature*: the sorted ranks of its frequent
-   items. Identical signatures are then pre-aggregated (``groupBy(sig)`` with
+2. Each basket is reduced to its *signature*: its frequent items in rank
+   order. Identical signatures are then pre-aggregated (``groupBy(sig)`` with
    a multiplicity) before any candidate is generated, so correlated data
    collapses to few rows and one huge basket costs only its frequent items.
 3. Level L extends every frequent (L-1)-set occurrence of a signature by each
@@ -113,16 +113,20 @@ def _frequent_ranked(baskets: DataFrame, items: Column, t_item: float, literal_l
 
 def _signatures(baskets: DataFrame, items: Column, ranked: DataFrame, names: list[str] | None,
                 n_freq: int, broadcast_limit: int) -> DataFrame:
-    """Per basket: the ascending array of ranks of its frequent items."""
+    """Per basket: its frequent items in rank order.
+
+    Literal path: ``array_intersect(ranked_names, basket)`` keeps the order
+    of its first argument and costs O(F + basket length) per basket. Join
+    path: explode, join the ranked table, regroup per basket."""
     if names is not None:
         lookup = F.array(*[F.lit(x) for x in names]) if names else F.array().cast("array<string>")
-        ranks = F.transform(F.array_distinct(items), lambda x: F.array_position(lookup, x).cast("int"))
-        return baskets.select(F.array_sort(F.filter(ranks, lambda r: r > 0)).alias("sig"))
+        return baskets.select(F.array_intersect(lookup, items).alias("sig"))
     keyed = baskets.select(F.monotonically_increasing_id().alias("_bid"),
                            F.array_distinct(items).alias("_items"))
     occ = keyed.select("_bid", F.explode("_items").alias("item"))
     hits = _sized_join(occ, ranked.select("item", "rank"), "item", "inner", n_freq, broadcast_limit)
-    return hits.groupBy("_bid").agg(F.array_sort(F.collect_list("rank")).alias("sig"))
+    by_rank = F.array_sort(F.collect_list(F.struct("rank", "item")))
+    return hits.groupBy("_bid").agg(F.transform(by_rank, lambda p: p["item"]).alias("sig"))
 
 
 def frequent_itemsets(
@@ -149,8 +153,10 @@ def frequent_itemsets(
 
     names, ranked, n_freq = _frequent_ranked(baskets, items, t_item, literal_limit)
     sig = _signatures(baskets, items, ranked, names, n_freq, broadcast_limit)
-    sigs = materialize(sig.where(F.size("sig") >= 2)
-                       .groupBy("sig").agg(F.count(F.lit(1)).alias("n")), "signatures")
+    sigs = sig.where(F.size("sig") >= 2).groupBy("sig").agg(F.count(F.lit(1)).alias("n"))
+    if max_len > 2:
+        # Read again by the next level's semi-join: written once.
+        sigs = materialize(sigs, "signatures")
 
     # An occurrence is a set found in a signature plus the signature's ranks
     # after the set's last member (its "tail"): only the tail can extend it,
@@ -186,31 +192,28 @@ def frequent_itemsets(
 
 def _label(sets: DataFrame, set_col: str, names: list[str] | None, ranked: DataFrame | None,
            n_freq: int, broadcast_limit: int) -> DataFrame:
-    """(level, set of ranks, count) -> (level, items, label, count), ordered
-    by level, then lexicographically by ranks (the order in which nested
-    loops over ranks i < j < k would emit the sets)."""
+    """(level, set, count) -> (level, items, label, count) with items in rank
+    order, rows ordered by level, then lexicographically by ranks (the order
+    in which nested loops over ranks i < j < k would emit the sets). Only
+    the (already reduced) result sets are ranked here."""
     if names is not None:
         lookup = F.array(*[F.lit(x) for x in names]) if names else F.array().cast("array<string>")
-        named = F.transform(set_col, lambda r: F.element_at(lookup, r))
-        out = sets.select(
-            F.col(set_col).alias("_set"),
-            F.col("level").cast("int").alias("level"), named.alias("items"),
-            F.concat_ws("-", named).alias("label"), F.col("count").cast("bigint").alias("count"))
+        pairs = F.array_sort(F.transform(set_col, lambda x: F.struct(
+            F.array_position(lookup, x).cast("int").alias("rank"), x.alias("item"))))
+        keyed = sets.select("level", "count", pairs.alias("_pairs"))
     else:
-        pos = sets.select("level", F.col(set_col).alias("_set"), "count",
-                          F.posexplode(set_col).alias("p", "rank"))
-        joined = _sized_join(pos, ranked.select("rank", "item"), "rank", "inner", n_freq,
+        occ = sets.select("level", "count", F.col(set_col).alias("_set"),
+                          F.explode(set_col).alias("item"))
+        joined = _sized_join(occ, ranked.select("item", "rank"), "item", "inner", n_freq,
                              broadcast_limit)
-        grouped = joined.groupBy("level", "_set", "count").agg(
-            F.array_sort(F.collect_list(F.struct("p", "item"))).alias("_pi"))
-        out = grouped.select(
-            "_set",
-            F.col("level").cast("int").alias("level"),
-            F.transform("_pi", lambda s: s["item"]).alias("items"),
-            F.concat_ws("-", F.transform("_pi", lambda s: s["item"])).alias("label"),
-            F.col("count").cast("bigint").alias("count"),
-        )
-    return out.orderBy("level", "_set").drop("_set")
+        keyed = joined.groupBy("level", "_set", "count").agg(
+            F.array_sort(F.collect_list(F.struct("rank", "item"))).alias("_pairs"))
+    named = F.transform("_pairs", lambda p: p["item"])
+    out = keyed.select(
+        F.transform("_pairs", lambda p: p["rank"]).alias("_ranks"),
+        F.col("level").cast("int").alias("level"), named.alias("items"),
+        F.concat_ws("-", named).alias("label"), F.col("count").cast("bigint").alias("count"))
+    return out.orderBy("level", "_ranks").drop("_ranks")
 
 
 def frequent_itemsets_fpgrowth(baskets: DataFrame, items: str | Column, item_threshold,
