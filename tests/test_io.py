@@ -36,3 +36,22 @@ def test_csv_roundtrip_header_and_infer(spark):
     back = read_csv(spark, path, header=True, infer=True)
     assert dict(back.dtypes) == {"a": "int", "b": "string", "c": "double"}
     assert [tuple(r) for r in back.collect()] == [(1, "x,y", 2.5)]
+
+
+def test_day_files_with_source_path_feed_count_diff(spark):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from cascara.operators.text import count_diff
+
+    base = scratch_path(spark, "days")
+    for day, lines in (("2024-01-01", ["#a #b", "#b x"]), ("2024-01-02", ["#b #c #c"])):
+        spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1) \
+            .write.text(f"{base}/day={day}-file")
+    df = read_text_lines(spark, [f"{base}/day=2024-01-01-file", f"{base}/day=2024-01-02-file"],
+                         source_col="src")
+    df = df.withColumn("day", F.to_date(F.regexp_extract("src", r"day=(\d{4}-\d{2}-\d{2})", 1)))
+    got = {r["token"]: (r["count_day1"], r["count_day2"], r["diff"]) for r in
+           count_diff(df, "day", dt.date(2024, 1, 1), dt.date(2024, 1, 2)).collect()}
+    assert got == {"#a": (1, 0, -1), "#b": (2, 1, -1), "#c": (0, 2, 2)}
