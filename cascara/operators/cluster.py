@@ -51,6 +51,15 @@ def cluster_profile(pred: DataFrame, cluster: str | Column, flag: str | Column |
     return pred.groupBy(_col(cluster).alias("cluster_id")).agg(*aggs)
 
 
+def cluster_centres(pred: DataFrame, cluster: str | Column, features: str = "features") -> DataFrame:
+    """C5 on a vector column (any width, e.g. a sparse one-hot of large k):
+    (cluster_id, size, centre) with ``Summarizer.mean`` in one aggregate."""
+    from pyspark.ml.stat import Summarizer
+
+    return pred.groupBy(_col(cluster).alias("cluster_id")).agg(
+        F.count(F.lit(1)).alias("size"), Summarizer.mean(F.col(features)).alias("centre"))
+
+
 def silhouette_evaluator(pred: DataFrame, features: str = "features",
                          prediction: str = "prediction") -> float:
     """C3 via MLlib (squared Euclidean). Action."""

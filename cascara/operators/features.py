@@ -62,6 +62,19 @@ def one_hot_check(onehot: DataFrame, rows: DataFrame, items: str | Column,
         "rank", "item", "true_count", F.coalesce("item_count", F.lit(0)).alias("item_count"))
 
 
+def one_hot_vector(rows: DataFrame, items: str | Column, names: list[str],
+                   out: str = "features") -> DataFrame:
+    """E2 for large k: the same indicators as :func:`one_hot_items`, built
+    straight into a sparse vector (index i = i-th name) by a CountVectorizer
+    with a fixed vocabulary and binary counts, so no k wide columns exist."""
+    from pyspark.ml.feature import CountVectorizerModel
+
+    src = "_items_for_vector"
+    model = CountVectorizerModel.from_vocabulary(names, inputCol=src, outputCol=out, binary=True)
+    with_items = rows.withColumn(src, F.array_distinct(_col(items)))
+    return model.transform(with_items).drop(src)
+
+
 def assemble(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame:
     """Feature vector from numeric/boolean columns."""
     return VectorAssembler(inputCols=cols, outputCol=out).transform(df)

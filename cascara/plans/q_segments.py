@@ -97,3 +97,26 @@ def q_filter_boolean(spark, d):
     from cascara.operators import tables as T
 
     return T.filter_all(profiles(spark, d), F.col("flag")).select("id", "numports")
+
+
+@query("one_hot_vector", _PROF + """
+SELECT n.id, CAST(count(t.item) AS INTEGER) AS hot_count,
+       CAST(coalesce(sum(t.rk - 1), 0) AS INTEGER) AS index_sum
+FROM nem n LEFT JOIN topr t ON list_contains(string_split(n.items_str, '-'), t.item)
+GROUP BY n.id
+""")
+def q_one_hot_vector(spark, d):
+    """E2 as a sparse vector; checked through its non-zero count and the sum
+    of its non-zero indices."""
+    from pyspark.ml.functions import vector_to_array
+
+    pop = G.non_extreme_multi(profiles(spark, d), "numports")
+    names = E.top_k_names(pop, "items", TOP_K)
+    vec = E.one_hot_vector(pop, "items", names, "v").select("id", vector_to_array("v").alias("a"))
+    idx = F.transform(F.sequence(F.lit(0), F.size("a") - 1),
+                      lambda i: F.when(F.col("a")[i] > 0, i).otherwise(0))
+    return vec.select(
+        "id",
+        F.size(F.filter("a", lambda x: x > 0)).alias("hot_count"),
+        F.aggregate(idx, F.lit(0), lambda acc, x: acc + x).alias("index_sum"),
+    )

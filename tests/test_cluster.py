@@ -43,3 +43,14 @@ def test_pca_reduces_dimension(spark):
                                "x array<double>").select(array_to_vector("x").alias("features"))
     out = C.pca_reduce(df, 2).select(vector_to_array("pca_features").alias("p")).first()["p"]
     assert len(out) == 2
+
+
+def test_kmeans_is_deterministic_and_centres_match(spark):
+    rows = [([float(i % 3 == 0), float(i % 5 == 0), float(i % 2)],) for i in range(300)]
+    df = spark.createDataFrame(rows, "x array<double>").select(array_to_vector("x").alias("features"))
+    a = C.kmeans_fit(df, 4, 123)
+    b = C.kmeans_fit(df, 4, 123)
+    assert [list(c) for c in a.clusterCenters()] == [list(c) for c in b.clusterCenters()]
+    cent = C.cluster_centres(a.transform(df), "prediction").collect()
+    for r in cent:
+        assert list(r["centre"].toArray()) == pytest.approx(list(a.clusterCenters()[r["cluster_id"]]))

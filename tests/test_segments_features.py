@@ -48,3 +48,12 @@ def test_stored_size_and_array_length_agree_on_stand_in(spark):
     a = sorted(tuple(r) for r in G.segment_rows(prof, "numports").select("id", "segment").collect())
     b = sorted(tuple(r) for r in G.segment_rows(prof, F.size("items")).select("id", "segment").collect())
     assert a == b and len(a) > 0
+
+
+def test_sparse_one_hot_equals_wide_columns(spark):
+    df = spark.createDataFrame([(["a", "b", "a"],), (["c"],), ([],), (["d", "b"],)],
+                               "items array<string>")
+    names = ["b", "a", "c"]
+    wide = E.assemble(E.one_hot_items(df, "items", names, "p_"), [f"p_{n}" for n in names], "w")
+    both = E.one_hot_vector(wide, "items", names, "v").collect()
+    assert all(list(r["w"].toArray()) == list(r["v"].toArray()) for r in both)
