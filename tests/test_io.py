@@ -55,3 +55,17 @@ def test_day_files_with_source_path_feed_count_diff(spark):
     got = {r["token"]: (r["count_day1"], r["count_day2"], r["diff"]) for r in
            count_diff(df, "day", dt.date(2024, 1, 1), dt.date(2024, 1, 2)).collect()}
     assert got == {"#a": (1, 0, -1), "#b": (2, 1, -1), "#c": (0, 2, 2)}
+
+
+def test_job_runner_writes_whole_result(spark):
+    from cascara.run import main
+    from conftest import SF_SMALL
+
+    out = scratch_path(spark, "run")
+    assert main(["tag_counts", SF_SMALL, out, "--format", "csv"]) == 0
+    back = spark.read.option("header", True).option("inferSchema", True).csv(out)
+    import __spark_entry__ as E
+    want = sorted(tuple(r) for r in E.queries()["tag_counts"](spark, SF_SMALL).collect())
+    assert sorted(tuple(r) for r in back.collect()) == want
+    with pytest.raises(Exception):
+        main(["tag_counts", SF_SMALL, out, "--format", "csv"])
