@@ -54,7 +54,10 @@ def _two_days(lines: DataFrame, day_col: str, day1, day2, ts_col: str | None) ->
         lo = dt.datetime.combine(min(day1, day2), dt.time())
         hi = dt.datetime.combine(max(day1, day2) + dt.timedelta(days=1), dt.time())
         ts = F.col(ts_col)
-        out = out.where((ts >= F.lit(lo).cast(ts_type)) & (ts < F.lit(hi).cast(ts_type)))
+        # ISO strings cast to the column's type: wall-clock bounds for
+        # timestamp_ntz, session-time-zone bounds for timestamp.
+        lo_c, hi_c = (F.lit(v.isoformat(sep=" ")).cast(ts_type) for v in (lo, hi))
+        out = out.where((ts >= lo_c) & (ts < hi_c))
     return out
 
 

@@ -47,3 +47,22 @@ def test_count_diff_literal_days_and_new_keys(spark):
     assert got == {"#a": (1, 0, -1), "#b": (2, 1, -1), "#c": (0, 1, 1)}
     new = [(r["token"], r["count_day2"]) for r in X.new_keys_only(df, "day", day1, day2).collect()]
     assert new == [("#c", 1)]
+
+
+def test_count_diff_independent_of_session_time_zone(spark):
+    import os
+    import sys
+
+    sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
+    import __spark_entry__ as E
+    from oracle_check import compare, duck
+
+    con = duck(SF_MID)
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        ok, msg = compare(spark, con, "count_diff", E.queries()["count_diff"],
+                          E.oracle_sql()["count_diff"], SF_MID)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert ok, msg
