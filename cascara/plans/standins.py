@@ -55,14 +55,16 @@ def brand_baskets(spark: SparkSession, d: str) -> DataFrame:
     """Baskets for mining: per order the distinct brands joined by '-'.
 
     lineitem x part is a large-large equi-join at scale (sort-merge, AQE may
-    broadcast part when it is small). (order, brand) pairs are made distinct
-    before the per-order collect, so even a hot order ships each brand once.
+    broadcast part when it is small). ``collect_set`` combines map-side, and
+    each partial set is bounded by the brand vocabulary, so even a hot order
+    ships at most (map tasks x brands) values to its reducer. Contrast
+    :func:`part_profiles`, whose sets can be as large as the supplier table.
     """
     li = load_table(spark, d, "lineitem").select("l_orderkey", "l_partkey")
     part = load_table(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
-    pairs = li.join(part, "l_partkey").select("l_orderkey", "p_brand").distinct()
-    return (pairs.groupBy(F.col("l_orderkey").alias("basket_id"))
-            .agg(F.concat_ws("-", F.array_sort(F.collect_list("p_brand"))).alias("items_str")))
+    return (li.join(part, "l_partkey")
+            .groupBy(F.col("l_orderkey").alias("basket_id"))
+            .agg(F.concat_ws("-", F.array_sort(F.collect_set("p_brand"))).alias("items_str")))
 
 
 def part_profiles(spark: SparkSession, d: str) -> DataFrame:
