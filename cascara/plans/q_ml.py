@@ -115,6 +115,20 @@ def q_profile_pca(spark, d):
     return C.cluster_profile(pred, "prediction", "flag", {c: F.col(c) for c in cols})
 
 
+@query("cluster_centres_sparse")
+def q_centres_sparse(spark, d):
+    """C1 + C5 on the sparse one-hot vector (the large-k path): centres as
+    vectors from one Summarizer aggregate."""
+    prof = materialize(profiles(spark, d), "profiles")
+    pop = G.non_extreme_multi(prof, "numports")
+    names = E.top_k_names(pop, "items", TOP_K)
+    feats = materialize(E.one_hot_vector(pop, "items", names).select("id", "flag", "features"),
+                        "onehot-vector")
+    pred = C.kmeans_assign(feats, K_CLUSTERS, SEED)
+    out = C.cluster_centres(pred, "prediction")
+    return out.select("cluster_id", "size", vector_to_array("centre").alias("centre"))
+
+
 @query("cluster_compare")
 def q_compare(spark, d):
     feats, _ = onehot_features(spark, d)
