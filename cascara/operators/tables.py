@@ -15,10 +15,6 @@ from pyspark.sql import functions as F
 from cascara.functions import ratio
 
 
-def _col(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
 # --- projections and filters ------------------------------------------------
 
 def project_columns(df: DataFrame, *cols: str) -> DataFrame:

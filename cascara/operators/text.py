@@ -15,10 +15,6 @@ from pyspark.sql import functions as F
 from cascara.functions import strip_split, null_to_zero
 
 
-def _col(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
 def explode_tokens(lines: DataFrame, text_col: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per token (P4 + X1); ``keep`` columns are carried along."""
     return lines.select(*keep, F.explode(strip_split(text_col)).alias("token"))
