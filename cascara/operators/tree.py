@@ -82,8 +82,8 @@ def tree_nodes(model: PipelineModel | DecisionTreeClassificationModel,
     feature = F.element_at(names, F.col("split.featureIndex") + 1)
     threshold = F.col("split.leftCategoriesOrThreshold")[0]
     stats = F.array_join(F.transform("impurityStats", lambda x: x.cast("string")), ", ")
-    # Node text as in the exported tree: "feature <= t" for a split,
-    # "prediction: ([n0, n1])" for a leaf.
+    # Node text formats of the exported tree, "<feature> <= <t>"
+    # for a split and "<prediction>: ([<n0>, <n1>])" for a leaf.
     name = F.when(is_leaf, F.concat(F.col("prediction").cast("string"), F.lit(": (["), stats,
                                     F.lit("])")))
     name = name.otherwise(F.concat(feature, F.lit(" <= "), threshold.cast("string")))
