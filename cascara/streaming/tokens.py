@@ -23,12 +23,17 @@ def prefix_counts_stream(lines: DataFrame, text_col: str = "value", prefix: str
     return prefix_token_counts(lines, text_col, prefix, sort=False)
 
 
-def run_available(counts: DataFrame, name: str) -> DataFrame:
+def run_available(counts: DataFrame, name: str, out: str | None = None,
+                  checkpoint: str | None = None) -> DataFrame:
     """Process everything available now (``availableNow`` trigger), write the
-    complete result as parquet, and return it as a batch DataFrame."""
+    complete result as parquet, and return it as a batch DataFrame.
+
+    Passing the same ``out`` and ``checkpoint`` again resumes the query: only
+    files that arrived since the last run are read, and the running counts
+    continue from the saved state."""
     spark: SparkSession = counts.sparkSession
-    out = scratch_path(spark, f"{name}-out")
-    ckpt = scratch_path(spark, f"{name}-ckpt")
+    out = out or scratch_path(spark, f"{name}-out")
+    ckpt = checkpoint or scratch_path(spark, f"{name}-ckpt")
 
     def write(batch: DataFrame, _epoch: int) -> None:
         batch.write.mode("overwrite").parquet(out)
