@@ -57,6 +57,9 @@ def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
 
+_LOCAL_BASES: dict[str, str] = {}
+
+
 def _base_dir(spark: SparkSession) -> str:
     base = spark.conf.get(CHECKPOINT_CONF, None)
     if base:
@@ -66,10 +69,12 @@ def _base_dir(spark: SparkSession) -> str:
             f"{CHECKPOINT_CONF} is not set; a shared folder is required on a cluster"
         )
     # Local mode only (tests, benches): no shared storage exists, so a private
-    # temporary directory is the shared folder of this single-JVM "cluster".
-    base = tempfile.mkdtemp(prefix="cascara-")
-    spark.conf.set(CHECKPOINT_CONF, base)
-    return base
+    # temporary directory, one per application, is the shared folder of this
+    # single-JVM "cluster". The session configuration is left untouched.
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_BASES:
+        _LOCAL_BASES[app] = tempfile.mkdtemp(prefix="cascara-")
+    return _LOCAL_BASES[app]
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:

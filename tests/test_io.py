@@ -69,3 +69,27 @@ def test_job_runner_writes_whole_result(spark):
     assert sorted(tuple(r) for r in back.collect()) == want
     with pytest.raises(Exception):
         main(["tag_counts", SF_SMALL, out, "--format", "csv"])
+
+
+def test_cluster_requires_shared_checkpoint_dir():
+    import cascara.session as S
+
+    class Conf:
+        def __init__(self, value):
+            self.value = value
+
+        def get(self, key, default=None):
+            return self.value if key == S.CHECKPOINT_CONF else default
+
+    class Context:
+        master = "yarn"
+        applicationId = "app-1"
+
+    class Session:
+        def __init__(self, value):
+            self.conf = Conf(value)
+            self.sparkContext = Context()
+
+    with pytest.raises(RuntimeError):
+        S.scratch_path(Session(None), "x")
+    assert S.scratch_path(Session("/shared/folder/"), "x").startswith("/shared/folder/scratch/x-")
