@@ -30,7 +30,8 @@ def test_kmeans_profile_equals_centres_and_sizes_sum(spark):
     model = C.kmeans_fit(df, 4, 123)
     pred = model.transform(df)
     sizes = C.cluster_sizes(pred).collect()
-    assert sum(r["size"] for r in sizes) == 200
+    assert sum(r["size"] for r in sizes) == 200  # every row assigned exactly once
+    assert pred.where(F.col("prediction").isNull()).count() == 0
     prof = C.cluster_profile(pred, "prediction", "flag", {f"f{i}": F.col("x")[i] for i in range(3)})
     centres = model.clusterCenters()
     for r in prof.collect():
