@@ -14,7 +14,7 @@ from cascara.operators import segments as G
 from cascara.operators import tree as D
 from cascara.plans import standins as S
 from cascara.plans.registry import query, r6
-from cascara.plans.q_segments import ONE_HOT_PREFIX, TOP_K, profiles
+from cascara.plans.q_segments import ONE_HOT_PREFIX, TOP_K, profiles_once
 from cascara.session import materialize
 from cascara.sources import load_table
 
@@ -70,8 +70,7 @@ def q_silhouette_ev(spark, d):
 def onehot_features(spark, d):
     # The derived profile table stands in for the reference's input file and
     # is read by three passes (cut-off, top-k names, features): write it once.
-    prof = materialize(profiles(spark, d), "profiles")
-    pop = G.non_extreme_multi(prof, "numports")
+    pop = G.non_extreme_multi(profiles_once(spark, d), "numports")
     names = E.top_k_names(pop, "items", TOP_K)
     oh = E.one_hot_items(pop, "items", names, ONE_HOT_PREFIX, name_by="rank")
     cols = [f"{ONE_HOT_PREFIX}{i}" for i in range(1, len(names) + 1)]
@@ -119,8 +118,7 @@ def q_profile_pca(spark, d):
 def q_centres_sparse(spark, d):
     """C1 + C5 on the sparse one-hot vector (the large-k path): centres as
     vectors from one Summarizer aggregate."""
-    prof = materialize(profiles(spark, d), "profiles")
-    pop = G.non_extreme_multi(prof, "numports")
+    pop = G.non_extreme_multi(profiles_once(spark, d), "numports")
     names = E.top_k_names(pop, "items", TOP_K)
     feats = materialize(E.one_hot_vector(pop, "items", names).select("id", "flag", "features"),
                         "onehot-vector")
