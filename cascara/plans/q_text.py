@@ -88,3 +88,16 @@ def q_stream_prefix_counts(spark, d):
     lines = ev.select(F.concat_ws(" ", "event_type", F.concat(F.lit("#"), "event_type"),
                                   F.concat(F.lit("#u"), F.col("user_id").cast("string"))).alias("value"))
     return run_available(prefix_counts_stream(lines), "stream-tags")
+
+
+@query("count_diff_day_files", _DIFF + "SELECT token, count_day1, count_day2, count_day2 - count_day1 AS diff FROM c")
+def q_count_diff_day_files(spark, d):
+    """B3 on the reference's input layout, one folder per day: the tagged
+    lines are written partitioned by day, and the day filter prunes every
+    other day's folder before any file is opened (PartitionFilters)."""
+    from cascara.session import scratch_path
+
+    path = scratch_path(spark, "tagged-by-day")
+    S.tagged_events(spark, d).select("day", "value").write.partitionBy("day").parquet(path)
+    d1, d2 = S.first_days(spark, d)
+    return X.count_diff(spark.read.parquet(path), "day", d1, d2)

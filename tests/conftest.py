@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -15,7 +14,9 @@ SF_MID = "/root/testdata/sf0.01"
 def spark():
     from cascara.session import build_session
 
-    s = build_session("local[4]", app_name="cascara-tests", shuffle_partitions=8,
-                      extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="cascara-test-")})
+    # spark.checkpoint.dir comes from the environment's Spark defaults when
+    # set there; otherwise the library falls back to a private temp folder
+    # (local mode only).
+    s = build_session("local[4]", app_name="cascara-tests", shuffle_partitions=8)
     yield s
     s.stop()
