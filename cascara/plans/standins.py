@@ -35,6 +35,8 @@ def first_days(spark: SparkSession, d: str):
     """The first two calendar days of ``events`` as dates (one scalar reaches
     the driver), so the day filter can be pushed into the scan."""
     first = load_table(spark, d, "events").agg(F.min(F.to_date("ts"))).first()[0]
+    if first is None:  # no events: no day matches
+        return None, None
     return first, first + dt.timedelta(days=1)
 
 

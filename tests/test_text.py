@@ -66,3 +66,8 @@ def test_count_diff_independent_of_session_time_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert ok, msg
+
+
+def test_count_diff_on_empty_input(spark):
+    df = spark.createDataFrame([], "day date, value string")
+    assert X.count_diff(df, "day", None, None).count() == 0
