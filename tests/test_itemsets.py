@@ -106,3 +106,18 @@ def test_global_row_number_matches_sort(spark):
     assert [r["rn"] for r in rows] == list(range(1, 5001))
     keys = [(-r["v"], r["id"]) for r in rows]
     assert keys == sorted(keys)
+
+
+def test_global_row_number_reuses_its_range_exchange(spark):
+    import contextlib
+    import io
+
+    df = spark.range(0, 20000).select((F.col("id") % 97).alias("v"), "id") \
+        .groupBy("v").agg(F.count("*").alias("n"))
+    got = global_row_number(df, [F.desc("n"), F.asc("v")], "rn", partitions=4)
+    got.collect()
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        got.explain()
+    # the input and its range shuffle run once; the sizes side reuses them
+    assert "ReusedExchange" in buf.getvalue()
