@@ -141,23 +141,31 @@ def top_rated(
     tag: str,
     min_count: int,
     sort: bool = True,
+    broadcast_limit: int = 1_000_000,
 ) -> DataFrame:
     """Items carrying ``tag`` with more than ``min_count`` ratings, by
     average rating (highest first).
 
-    Plan: the fact side is aggregated first (partial + final aggregate, one
-    row per item leaves the shuffle), the dimension is filtered on the tag
-    before the join, and the HAVING test sits below the join. No broadcast
-    hint: AQE converts the join to a broadcast only when the filtered
-    dimension's runtime size is under the configured threshold.
+    Plan: the dimension is filtered on the tag and its matching ids are
+    counted (one small action). Up to ``broadcast_limit`` ids, the ratings
+    are semi-joined to a broadcast of them *before* aggregating, so only
+    ratings of tagged items are aggregated and shuffled. Beyond that, the
+    fact side is aggregated first (partial + final aggregate, one row per
+    item leaves the shuffle) and joined afterwards, with the join strategy
+    left to AQE. The HAVING test sits below the join in both cases.
     """
-    stats = ratings.groupBy(F.col(item_col).alias("item_id")).agg(
-        F.sum(F.col(rating_col).cast("double")).alias("rating_sum"),
-        F.count(F.lit(1)).alias("rating_count"),
-    ).where(F.col("rating_count") > min_count)
     chosen = items.where(F.array_contains(tags, tag)).select(
         F.col(item_col).alias("item_id"), F.col(title_col).alias("title"))
-    out = stats.join(chosen, "item_id", "inner").select(
+    n_chosen = chosen.count()
+    facts = ratings.select(F.col(item_col).alias("item_id"), F.col(rating_col).alias("_r"))
+    if n_chosen <= broadcast_limit:
+        facts = facts.join(F.broadcast(chosen.select("item_id")), "item_id", "left_semi")
+    stats = facts.groupBy("item_id").agg(
+        F.sum(F.col("_r").cast("double")).alias("rating_sum"),
+        F.count(F.lit(1)).alias("rating_count"),
+    ).where(F.col("rating_count") > min_count)
+    dim = F.broadcast(chosen) if n_chosen <= broadcast_limit else chosen
+    out = stats.join(dim, "item_id", "inner").select(
         "item_id",
         ratio("rating_sum", "rating_count").alias("avg_rating"),
         "rating_count",
