@@ -64,3 +64,30 @@ def test_mining_equals_brute_force(spark, baskets, t_item, t_set, literal):
     rows = sorted(((len(c), [rank[x] for x in c], "-".join(c), n)
                    for c, n in want.items() if n > t_set))
     assert got == [(lv, label, n) for lv, _, label, n in rows]
+
+
+DAY_LINES = st.lists(st.tuples(st.sampled_from([1, 2, 3]),
+                               st.lists(st.sampled_from(["#a", "#B", "#b", "x", "#", ""]),
+                                        max_size=5)), max_size=25)
+
+
+@SLOW
+@given(DAY_LINES)
+def test_count_diff_forms_equal_python(spark, rows):
+    import datetime as dt
+
+    from cascara.operators.text import count_diff, count_diff_outer_join
+
+    base = dt.date(2024, 1, 1)
+    data = [(base + dt.timedelta(days=d - 1), " ".join(toks)) for d, toks in rows]
+    df = spark.createDataFrame(data, "day date, value string")
+    d1, d2 = base, base + dt.timedelta(days=1)
+    one = sorted(tuple(r) for r in count_diff(df, "day", d1, d2).collect())
+    two = sorted(tuple(r) for r in count_diff_outer_join(df, "day", d1, d2).collect())
+    c1, c2 = Counter(), Counter()
+    for day, line in data:
+        for tok in line.strip().split(" "):
+            if tok.startswith("#"):
+                (c1 if day == d1 else c2 if day == d2 else Counter())[tok] += 1
+    want = sorted((t, c1[t], c2[t], c2[t] - c1[t]) for t in set(c1) | set(c2))
+    assert one == two == want
