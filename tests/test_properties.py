@@ -91,3 +91,28 @@ def test_count_diff_forms_equal_python(spark, rows):
                 (c1 if day == d1 else c2 if day == d2 else Counter())[tok] += 1
     want = sorted((t, c1[t], c2[t], c2[t] - c1[t]) for t in set(c1) | set(c2))
     assert one == two == want
+
+
+@SLOW
+@given(st.lists(st.one_of(st.none(), st.integers(0, 8)), max_size=40))
+def test_segments_equal_python(spark, sizes):
+    from cascara.operators import segments as G
+
+    df = spark.createDataFrame(list(enumerate(sizes)), "id int, n int")
+    multi = Counter(s for s in sizes if s is not None and s > 1)
+    shared = [s for s, c in multi.items() if c > 1]
+    cut = max(shared) if shared else 1
+
+    def label(s):
+        if s == 1:
+            return "single"
+        if s is not None and s > cut:
+            return "extreme"
+        if s is not None and s > 1:
+            return "multi"
+        return "other"
+
+    got = {r["id"]: r["segment"] for r in G.segment_rows(df, "n").collect()}
+    assert got == {i: label(s) for i, s in enumerate(sizes)}
+    row = G.non_rare_max(df, "n").first()
+    assert (row["max_non_rare"] if row else None) == (max(shared) if shared else None)
