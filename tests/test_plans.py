@@ -46,3 +46,8 @@ def test_top_rated_filters_before_join_and_prunes_columns(spark):
     assert text.index("(rating_count") > 0  # HAVING present
     # the tag filter runs on the dimension scan side
     assert "array_contains(split(p_name" in text[join_at:]
+
+
+def test_day_partitioned_count_diff_prunes_partitions(spark):
+    text = plan(E.queries()["count_diff_day_files"](spark, SF_SMALL))
+    assert "PartitionFilters: [" in text and " IN (" in text.split("PartitionFilters: [", 1)[1]
