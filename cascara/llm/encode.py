@@ -2,7 +2,10 @@
 
 Byte-level BPE never merges across the borders its pre-tokenizer draws, so a
 text may be cut at those borders and every distinct piece encoded once per
-worker. Texts in which a border is not certain (an added token's string, a
+worker. A piece is a word with the one white-space character before it, or the
+white space before that. Cutting, hashing and putting ids together is array
+work on the texts' bytes; the library sees new pieces only. Texts in which a
+border is not certain (an added token's string, white space beyond ASCII, a
 character that the pattern engines class differently) go through the library
 whole. ``tests/llm`` holds the result against the plain library call.
 """
@@ -14,13 +17,33 @@ import os
 import re
 
 import numpy as np
+import pandas as pd
 
-# A word with the one blank or newline before it, or white space by the
-# pre-tokenizer's own rule: a run leaves its last character to what follows.
-_PIECE = re.compile(r"[ \n]?\S+|\s+(?!\S)|\s")
-_ODD = re.compile("[\x1c-\x1f\x85᠎]")
-_JOINABLE = re.compile(r"[ \n]\S")
-_GROUP = 2000
+# Latin letters; every pattern engine classes them alike.
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
+# Words that are one pre-token, with what may stand before and after.
+_PLAIN = re.compile(rf"(\n?)( ?[{_LETTERS}]+)([.,]?)")
+# Characters for which the text goes whole: white space beyond ASCII, and what
+# some engines count as such.
+_ODD = (*(chr(c) for c in range(0x1C, 0x3001) if chr(c).isspace() and c != 0x20), "\u180e")
+_SPACE = np.zeros(256, dtype=bool)
+_SPACE[[0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20]] = True
+_GROUP = 1000
+_Q = 0x9E3779B97F4A7C15
+
+
+def _byte_letters() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary:
+    itself if it shows, else the next free one from 256 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {**{b: chr(b) for b in shown}, **{b: chr(256 + i) for i, b in enumerate(hidden)}}
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    steps = np.full(n, base, dtype=np.uint64)
+    steps[:1] = 1
+    return np.cumprod(steps, dtype=np.uint64)
 
 
 def default_tokenizer() -> str:
@@ -41,10 +64,10 @@ def tokenizer_digest(path: str) -> str:
 
 
 class Encoder:
-    """Texts to little-endian uint32 ids. ``max_pieces`` bounds the memory of
-    the per-worker table of encoded pieces; past it the table starts anew."""
+    """Texts to little-endian uint32 ids. ``max_pieces`` bounds the per-worker
+    table of encoded pieces; when it is full it starts anew."""
 
-    def __init__(self, path: str, max_pieces: int = 600_000):
+    def __init__(self, path: str, max_pieces: int = 1_500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -52,60 +75,142 @@ class Encoder:
         self.tok.no_truncation()
         self.tok.no_padding()
         self.max_pieces = max_pieces
-        self.known: dict[str, bytes] = {}
-        added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        self.added = re.compile("|".join(map(re.escape, added))) if added else None
+        self.odd = (*_ODD, *(t.content for t in self.tok.get_added_tokens_decoder().values()))
         pre, norm = self.tok.pre_tokenizer, self.tok.normalizer
         # Pieces are exact only for the byte-level pattern without a prefix.
         self.pieces = (norm is None and type(pre).__name__ == "ByteLevel"
                        and not pre.add_prefix_space and "use_regex=True" in repr(pre))
         if self.pieces:
+            self.model = Tokenizer(self.tok.model)
+            self.letters = _byte_letters()
+            self.marks = dict(zip(("", ".", ",", "\n"), self._whole(["", ".", ",", "\n"])))
             self.n_bytes = np.array(
                 [len(self.tok.id_to_token(i) or "") for i in range(self.tok.get_vocab_size())])
+        self.up = self.down = np.ones(1, dtype=np.uint64)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.rows: dict[int, int] = {}  # hash of a piece -> its row
+        self.ids = np.zeros(1 << 16, dtype="<u4")  # the rows' ids, one after the other
+        self.ends = np.zeros(1 << 14, dtype=np.int64)  # where a row ends in them
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes()
                 for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, new: list[str]) -> None:
-        if len(self.known) + len(new) > self.max_pieces:
-            self.known.clear()
-        alone = [p for p in new if not _JOINABLE.match(p)]
-        self.known.update(zip(alone, self._whole(alone)))
-        joined = [p for p in new if _JOINABLE.match(p)]
-        groups = [joined[i:i + _GROUP] for i in range(0, len(joined), _GROUP)]
-        encoded = self.tok.encode_batch_fast(["".join(g) for g in groups], add_special_tokens=False)
-        for group, e in zip(groups, encoded):
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of strings that are one pre-token each: the library's model
+        takes them as they are, spelled in the vocabulary's letters."""
+        out = []
+        for k in range(0, len(words), _GROUP):
+            group = [w.encode().decode("latin-1").translate(self.letters) for w in words[k:k + _GROUP]]
+            e = self.model.encode_batch_fast([group], is_pretokenized=True, add_special_tokens=False)[0]
             ids = np.array(e.ids, dtype="<u4")
-            ends = np.cumsum(self.n_bytes[ids])
-            want = np.cumsum([len(p.encode()) for p in group])
+            ends, want = np.cumsum(self.n_bytes[ids]), np.cumsum(list(map(len, group)))
             cut = np.searchsorted(ends, want)
             if not np.array_equal(ends[cut], want):
                 raise AssertionError("a token crosses a piece border")
             data, at = ids.tobytes(), 0
-            for piece, end in zip(group, ((cut + 1) * 4).tolist()):
-                self.known[piece] = data[at:end]
+            for end in ((cut + 1) * 4).tolist():
+                out.append(data[at:end])
                 at = end
+        return out
+
+    def _learn(self, hashes: list[int], pieces: list[str]) -> None:
+        """Add new pieces, a row each."""
+        parts = [_PLAIN.fullmatch(p) for p in pieces]
+        words = dict.fromkeys(m[2] for m in parts if m)
+        words = dict(zip(words, self._words(list(words))))
+        other = iter(self._whole([p for p, m in zip(pieces, parts) if not m]))
+        rows = [self.marks[m[1]] + words[m[2]] + self.marks[m[3]] if m else next(other) for m in parts]
+        n, used = len(self.rows), self.ends[len(self.rows)]
+        ends = used + np.cumsum([len(r) // 4 for r in rows])
+        while len(self.ends) <= n + len(rows):
+            self.ends = np.concatenate((self.ends, np.zeros_like(self.ends)))
+        while len(self.ids) < ends[-1]:
+            self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
+        self.ends[n + 1:n + 1 + len(rows)] = ends
+        self.ids[used:ends[-1]] = np.frombuffer(b"".join(rows), dtype="<u4")
+        self.rows.update(zip(hashes, range(n, n + len(rows))))
+
+    def _cut(self, data: bytes, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(start, hash) of each piece of the texts that lie end to end in
+        ``data``, each from its place in ``starts``.
+
+        White space before a word: its last character goes with the word (a
+        blank is part of the pre-token, any other is one by itself), what is
+        before is a pre-token, and so is white space that ends a text.
+        """
+        b = np.frombuffer(data, dtype=np.uint8)
+        space = _SPACE[b]
+        after = np.append(space[1:], True)
+        after[starts[1:] - 1] = True  # a text's end is no word
+        before = np.insert(space[:-1], 0, False)
+        first = space & ~(after & before)
+        first[starts] = True
+        at = np.flatnonzero(first)
+        if len(b) >= len(self.up):
+            self.up, self.down = (_powers(x, len(b) + 1) for x in (pow(_Q, -1, 1 << 64), _Q))
+        sums = np.zeros(len(b) + 1, dtype=np.uint64)
+        # +1: a zero byte counts too.
+        np.cumsum((b.astype(np.uint64) + np.uint64(1)) * self.down[:len(b)], dtype=np.uint64, out=sums[1:])
+        x = (np.append(sums[at[1:]], sums[-1]) - sums[at]) * self.up[at]
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        return at, x ^ (x >> np.uint64(27))
+
+    def _table(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(row of each piece of the texts, number of pieces before each text);
+        no text is empty."""
+        raw = [t.encode() for t in texts]
+        starts = np.cumsum([0] + list(map(len, raw)))
+        data = b"".join(raw)
+        at, hashes = self._cut(data, starts[:-1])
+        codes, distinct = pd.factorize(hashes)
+        distinct = distinct.tolist()
+        rows = list(map(self.rows.get, distinct))
+        if None in rows:
+            if len(self.rows) + rows.count(None) > self.max_pieces:
+                self._forget()
+                rows = [None] * len(rows)
+            # Codes count up in order of appearance: new highs are first ones.
+            highs = np.flatnonzero(np.diff(np.maximum.accumulate(codes), prepend=-1))
+            ends = np.append(at[1:], len(data))[highs].tolist()
+            new = [(h, data[a:e].decode()) for h, a, e, r in
+                   zip(distinct, at[highs].tolist(), ends, rows) if r is None]
+            added = iter(range(len(self.rows), len(self.rows) + len(new)))
+            self._learn([h for h, _ in new], [p for _, p in new])
+            rows = [next(added) if r is None else r for r in rows]
+        return np.array(rows)[codes], np.searchsorted(at, starts)
+
+    def _each(self, texts: list[str | None], pieced, whole):
+        texts = [t or "" for t in texts]
+        direct = [i for i, t in enumerate(texts)
+                  if not self.pieces or not t or any(x in t for x in self.odd)]
+        out = dict(zip(direct, map(whole, self._whole([texts[i] for i in direct]))))
+        cut = [i for i in range(len(texts)) if i not in out]
+        if cut:
+            out.update(zip(cut, pieced(*self._table([texts[i] for i in cut]))))
+        return [out[i] for i in range(len(texts))]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of every whole text as uint32 bytes; null is the empty text."""
-        texts = [t or "" for t in texts]
-        if not self.pieces:
-            return self._whole(texts)
-        whole = [i for i, t in enumerate(texts)
-                 if _ODD.search(t) or (self.added and self.added.search(t))]
-        odd = dict(zip(whole, self._whole([texts[i] for i in whole])))
-        split = [[] if i in odd else _PIECE.findall(t) for i, t in enumerate(texts)]
-        new = set()
-        for p in split:
-            new.update(p)
-        fresh = new.difference(self.known)
-        if len(self.known) + len(fresh) > self.max_pieces:
-            self.known.clear()
-            fresh = new
-        self._learn(list(fresh))
-        get = self.known.__getitem__
-        return [odd[i] if i in odd else b"".join(map(get, p)) for i, p in enumerate(split)]
+        def ids(rows, bounds):
+            begin, end = self.ends[rows], self.ends[rows + 1]
+            done = np.cumsum(end - begin)
+            place = np.arange(done[-1]) + np.repeat(end - done, end - begin)
+            data = self.ids[place].tobytes()
+            marks = (np.insert(done, 0, 0)[bounds] * 4).tolist()
+            return [data[a:b] for a, b in zip(marks, marks[1:])]
+
+        return self._each(texts, ids, lambda x: x)
+
+    def count(self, texts: list[str | None]) -> list[int]:
+        """The number of ids of every whole text."""
+        def counts(rows, bounds):
+            done = np.cumsum(self.ends[rows + 1] - self.ends[rows])
+            return np.diff(np.insert(done, 0, 0)[bounds]).tolist()
+
+        return self._each(texts, counts, lambda x: len(x) // 4)
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -118,7 +223,7 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def in_slices(texts: list[str | None], chars: int = 4_000_000):
+def in_slices(texts: list[str | None], chars: int = 2_000_000):
     """Index ranges of about ``chars`` characters, so that the pieces held at
     once stay bounded whatever the batch holds."""
     start = size = 0

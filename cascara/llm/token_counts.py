@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cascara.llm.common import load_table, map_rows, query, scratch_path, text_or_empty
+from cascara.llm.common import load_table, map_rows, materialize, query, scratch_path, text_or_empty
 from cascara.llm.encode import default_tokenizer, encoder, in_slices, tokenizer_digest
 
 _CACHE = "content binary, n_tokens long"
@@ -37,7 +37,7 @@ def add_missing(docs: DataFrame, folder: str, tokenizer: str, text_col: str = "t
         keys, texts = batch["content"].to_pylist(), batch["text"].to_pylist()
         for a, b in in_slices(texts):
             yield {"content": keys[a:b],
-                   "n_tokens": [len(x) // 4 for x in encoder(tokenizer).encode(texts[a:b])]}
+                   "n_tokens": encoder(tokenizer).count(texts[a:b])}
 
     map_rows(missing, count, _CACHE).write.mode("append").parquet(folder)
 
@@ -57,9 +57,9 @@ def token_counts(docs: DataFrame, cache_path: str, tokenizer: str | None = None,
     folder = _cache(spark, cache_path, tokenizer)
     add_missing(docs, folder, tokenizer, text_col)
     # Two writers may both have appended a content: one row per key.
-    counts = (spark.read.schema(_CACHE).parquet(folder)
-              .groupBy(F.col("content").alias("_content"))
-              .agg(F.max("n_tokens").alias("n_tokens")))
+    counts = materialize(spark.read.schema(_CACHE).parquet(folder)
+                         .groupBy(F.col("content").alias("_content"))
+                         .agg(F.max("n_tokens").alias("n_tokens")), "token-counts")
     text = text_or_empty(text_col)
     return (docs.withColumns({"n_bytes": F.octet_length(text).cast("long"),
                               "_content": F.unhex(F.sha2(text, 256))})

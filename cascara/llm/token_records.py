@@ -76,7 +76,7 @@ def frames(data: bytes, offset: int = 0, end: int | None = None):
 
 def write_records(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = 2,
                   id_col: str = "doc_id", text_col: str = "text",
-                  file_text_bytes: int = 48 << 20) -> None:
+                  file_text_bytes: int = 24 << 20) -> None:
     """Encode every whole text, append ``end_id`` and write the records in
     ascending order of ``id_col`` over the files' numbers.
 

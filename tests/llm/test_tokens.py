@@ -29,6 +29,7 @@ def plain(text):
 def test_pieces_equal_the_library(texts):
     texts = [t.encode("utf-8", "ignore").decode() for t in texts]
     assert [np.frombuffer(x, "<u4").tolist() for x in SMALL.encode(texts)] == [plain(t) for t in texts]
+    assert SMALL.count(texts) == [len(plain(t)) for t in texts]
 
 
 def test_counts_of_a_table_and_of_the_edge_cases(spark, docs):
