@@ -90,7 +90,8 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.rows: dict[int, int] = {}  # hash of a piece -> its row
+        # The pieces' hashes in ascending order, and the row of each.
+        self.hashes, self.rows = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
         self.ids = np.zeros(1 << 16, dtype="<u4")  # the rows' ids, one after the other
         self.ends = np.zeros(1 << 14, dtype=np.int64)  # where a row ends in them
 
@@ -116,7 +117,7 @@ class Encoder:
                 at = end
         return out
 
-    def _learn(self, hashes: list[int], pieces: list[str]) -> None:
+    def _learn(self, hashes: np.ndarray, pieces: list[str]) -> None:
         """Add new pieces, a row each."""
         parts = [_PLAIN.fullmatch(p) for p in pieces]
         words = dict.fromkeys(m[2] for m in parts if m)
@@ -131,7 +132,17 @@ class Encoder:
             self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
         self.ends[n + 1:n + 1 + len(rows)] = ends
         self.ids[used:ends[-1]] = np.frombuffer(b"".join(rows), dtype="<u4")
-        self.rows.update(zip(hashes, range(n, n + len(rows))))
+        order = np.argsort(hashes)
+        there = np.searchsorted(self.hashes, hashes[order])
+        self.hashes = np.insert(self.hashes, there, hashes[order])
+        self.rows = np.insert(self.rows, there, n + order)
+
+    def _find(self, hashes: np.ndarray) -> np.ndarray:
+        """The row of each hash, -1 if it is new."""
+        if not len(self.hashes):
+            return np.full(len(hashes), -1)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == hashes, self.rows[at], -1)
 
     def _cut(self, data: bytes, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(start, hash) of each piece of the texts that lie end to end in
@@ -166,21 +177,18 @@ class Encoder:
         data = b"".join(raw)
         at, hashes = self._cut(data, starts[:-1])
         codes, distinct = pd.factorize(hashes)
-        distinct = distinct.tolist()
-        rows = list(map(self.rows.get, distinct))
-        if None in rows:
-            if len(self.rows) + rows.count(None) > self.max_pieces:
-                self._forget()
-                rows = [None] * len(rows)
+        rows = self._find(distinct)
+        if len(self.rows) + (rows < 0).sum() > self.max_pieces:
+            self._forget()
+            rows = np.full(len(rows), -1)
+        new = np.flatnonzero(rows < 0)
+        if len(new):
             # Codes count up in order of appearance: new highs are first ones.
-            highs = np.flatnonzero(np.diff(np.maximum.accumulate(codes), prepend=-1))
+            highs = np.flatnonzero(np.diff(np.maximum.accumulate(codes), prepend=-1))[new]
             ends = np.append(at[1:], len(data))[highs].tolist()
-            new = [(h, data[a:e].decode()) for h, a, e, r in
-                   zip(distinct, at[highs].tolist(), ends, rows) if r is None]
-            added = iter(range(len(self.rows), len(self.rows) + len(new)))
-            self._learn([h for h, _ in new], [p for _, p in new])
-            rows = [next(added) if r is None else r for r in rows]
-        return np.array(rows)[codes], np.searchsorted(at, starts)
+            rows[new] = np.arange(len(self.rows), len(self.rows) + len(new))
+            self._learn(distinct[new], [data[a:e].decode() for a, e in zip(at[highs].tolist(), ends)])
+        return rows[codes], np.searchsorted(at, starts)
 
     def _each(self, texts: list[str | None], pieced, whole):
         texts = [t or "" for t in texts]
@@ -223,7 +231,7 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def in_slices(texts: list[str | None], chars: int = 2_000_000):
+def in_slices(texts: list[str | None], chars: int = 1_000_000):
     """Index ranges of about ``chars`` characters, so that the pieces held at
     once stay bounded whatever the batch holds."""
     start = size = 0
