@@ -135,7 +135,7 @@ def index_records(spark: SparkSession, path: str, index_path: str) -> DataFrame:
               .select("file_no", F.coalesce(F.sum("n").over(
                   Window.orderBy("file_no").rowsBetween(Window.unboundedPreceding, -1)),
                   F.lit(0)).alias("before")))
-    (index.join(F.broadcast(before), "file_no")
+    (index.join(before, "file_no")
      .withColumn("start", F.col("before") + F.col("start_in_file"))
      .drop("before", "start_in_file").write.parquet(index_path))
     return spark.read.parquet(index_path)
