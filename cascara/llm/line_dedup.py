@@ -12,7 +12,12 @@ from pyspark.sql import functions as F
 
 from cascara.llm.common import load_table, materialize, query
 
-_BLANK = r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$"
+# The white space that does not count at a line's ends.
+_BLANK = "\x20\x09\x0a\x0b\x0c\x0d"
+
+
+def _trim(line):
+    return F.btrim(line, F.lit(_BLANK))
 
 
 def _lines(text):
@@ -21,7 +26,7 @@ def _lines(text):
 
 def _key(line):
     """128 bits of the line without the white space around it; null if blank."""
-    trimmed = F.regexp_replace(line, _BLANK, "")
+    trimmed = _trim(line)
     return F.when(trimmed != "", F.struct(
         F.xxhash64(trimmed).alias("a"), F.xxhash64(F.lit(7), trimmed).alias("b")))
 
@@ -76,7 +81,7 @@ def remove_common_lines(docs: DataFrame, min_sites: int, lg_k: int = 9, id_col:
     has_drop = F.col("_drop").isNotNull()
     return (joined
             .withColumns({
-                "n_lines": F.size(F.filter(_lines(text), lambda x: F.regexp_replace(x, _BLANK, "") != "")).cast("long"),
+                "n_lines": F.size(F.filter(_lines(text), lambda x: _trim(x) != "")).cast("long"),
                 "_kept": F.when(has_drop, F.transform(kept, lambda x: x["line"]))})
             .withColumns({
                 "n_removed": F.when(has_drop, F.size(_lines(text)) - F.size("_kept"))
