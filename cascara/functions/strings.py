@@ -35,7 +35,3 @@ def strip_split(line: str | Column) -> Column:
 def split_on(s: str | Column, delimiter: str) -> Column:
     """Split on a literal delimiter (regex metacharacters are escaped)."""
     return F.split(_col(s), re.escape(delimiter), -1)
-
-
-def has_prefix(s: str | Column, prefix: str) -> Column:
-    return _col(s).startswith(prefix)

@@ -72,17 +72,21 @@ def _dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, v: s + v)
 
 
-def silhouette(df: DataFrame, x: str | Column, cluster: str | Column, dim: int) -> DataFrame:
+def silhouette(df: DataFrame, x: str | Column, cluster: str | Column,
+               dim: int | None = None) -> DataFrame:
     """C3, lazily: mean silhouette with squared Euclidean distance.
 
     For a point x and cluster C with n points, sum s and sum of squared norms
     q, the mean squared distance from x to C is |x|^2 - 2 x.s/n + q/n. The
     own-cluster mean excludes x itself (times n/(n-1)); a point alone in its
-    cluster scores 0. The per-cluster statistics (one entry per cluster,
+    cluster scores 0, and so does one whose two distances are both 0. Without
+    ``dim`` the vectors' length is read from the data (a small action). The per-cluster statistics (one entry per cluster,
     bounded by the number of clusters) are a scalar subquery.
     """
     pts = df.select(_col(cluster).cast("double").alias("c"),
                     F.transform(_col(x), lambda v: v.cast("double")).alias("x"))
+    if dim is None:
+        dim = pts.agg(F.max(F.size("x"))).first()[0] or 0
     stats = pts.groupBy("c").agg(
         F.count(F.lit(1)).alias("n"),
         F.array(*[F.sum(F.col("x")[i]) for i in range(dim)]).alias("s"),
@@ -105,7 +109,8 @@ def silhouette(df: DataFrame, x: str | Column, cluster: str | Column, dim: int)
     own = F.col("_own")
     a = own["d"] * own["n"] / (own["n"] - 1)
     b = F.col("_b")
-    s = F.when(own["n"] <= 1, F.lit(0.0)).otherwise((b - a) / F.greatest(a, b))
+    s = F.when(own["n"] <= 1, F.lit(0.0)).otherwise(
+        F.coalesce(F.try_divide(b - a, F.greatest(a, b)), F.lit(0.0)))
     return pts.select(s.alias("s")).agg(F.avg("s").alias("silhouette"))
 
 

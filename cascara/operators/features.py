@@ -38,7 +38,8 @@ def one_hot_items(
     ``prefix + <1-based rank>``."""
     arr = _col(items)
     cols = [
-        F.array_contains(arr, F.lit(n).cast("string")).alias(f"{prefix}{n if name_by == 'item' else i + 1}")
+        F.coalesce(F.array_contains(arr, F.lit(n).cast("string")), F.lit(False) if n is not None else
+                   F.lit(None)).alias(f"{prefix}{n if name_by == 'item' else i + 1}")
         for i, n in enumerate(names)
     ]
     return rows.select("*", *cols)
@@ -71,7 +72,8 @@ def one_hot_vector(rows: DataFrame, items: str | Column, names: list[str],
 
     src = "_items_for_vector"
     model = CountVectorizerModel.from_vocabulary(names, inputCol=src, outputCol=out, binary=True)
-    with_items = rows.withColumn(src, F.array_distinct(_col(items)))
+    with_items = rows.withColumn(src, F.coalesce(F.array_distinct(_col(items)),
+                                                 F.array().cast("array<string>")))
     return model.transform(with_items).drop(src)
 
 

@@ -6,27 +6,29 @@ frequent when its basket count is ``> item_threshold``; a set of two or more
 items when its count is ``> set_threshold``. Sets are reported in *rank
 order*: items ordered by descending count, ties by item.
 
-Plan per level, with no driver loop over candidates:
-
-1. Item counts: ``explode`` + ``groupBy`` with partial aggregation, so a hot
-   item present in a third of all baskets is combined map-side.
-2. Each basket is reduced to its *signature*: its frequent items in rank
-   order. Identical signatures are then pre-aggregated (``groupBy(sig)`` with
-   a multiplicity) before any candidate is generated, so correlated data
-   collapses to few rows and one huge basket costs only its frequent items.
-3. Level L extends every frequent (L-1)-set occurrence of a signature by each
-   later rank of that signature (the a-priori join step with the prefix rule;
-   an occurrence carries only the signature's tail after its last member),
-   sums multiplicities per set and keeps those above the threshold. The
-   occurrence table of the level is semi-joined to the survivors and written
-   as parquet below the shared folder, which cuts lineage and survives
-   executor loss.
-
-The number of frequent items ``F`` is checked before it is used: up to
-``literal_limit`` names it is inlined as a constant array (no shuffle to build
-signatures); above that, baskets are exploded and joined to the ranked item
-table (broadcast only up to ``broadcast_limit`` rows) and regrouped per basket.
-Every broadcast in this module is behind such a counted-size check.
+NULL items are no items: they are dropped before anything is counted.
+
+One plan at every size, with no driver loop over candidates and no switch on
+the number of frequent items:
+
+1. Baskets are numbered by writing them once (or by a key column), so a retried
+   task cannot number them anew. Item counts: ``explode`` + ``groupBy`` with
+   partial aggregation, so a hot item is combined map-side; written once.
+2. Frequent items are ranked; from here on a set is an array of integer ranks.
+   Each basket is reduced to its *signature*, its ranks in order; identical
+   signatures are pre-aggregated with a multiplicity before any candidate is
+   made, so correlated data collapses to few rows.
+3. Signatures are cut into *tails*: one row per position with the ranks after
+   it, dealt by (signature, position), so one long signature spreads over many
+   tasks.
+4. Level L joins each occurrence of a frequent (L-1)-set with the tail at its
+   last position, explodes the tail and sums multiplicities per set: candidates
+   carry (signature, position, ranks), never a tail. Occurrences of the
+   survivors are written below the shared folder, which cuts lineage and
+   survives executor loss. Join strategies are left to AQE.
+
+A level can start from a saved one (``start``): its sets are taken as they are
+and only longer sets are counted.
 """
 
 from __future__ import annotations
@@ -39,6 +41,11 @@ from cascara.operators.ranking import global_row_number
 from cascara.session import materialize
 
 
+def _items(c: str | Column) -> Column:
+    """Distinct items without NULLs."""
+    return F.array_distinct(F.array_compact(_col(c)))
+
+
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -47,19 +54,11 @@ def _thr(t) -> Column:
     return t if isinstance(t, Column) else F.lit(t)
 
 
-def _sized_join(big: DataFrame, small: DataFrame, on, how: str, n_small: int,
-                broadcast_limit: int) -> DataFrame:
-    """Join with a broadcast only when the small side's counted size is
-    within ``broadcast_limit`` rows; otherwise AQE chooses (sort-merge with
-    skew splitting)."""
-    return big.join(F.broadcast(small) if n_small <= broadcast_limit else small, on, how)
-
-
 # --- single items ------------------------------------------------------------
 
 def item_counts(baskets: DataFrame, items: str | Column, sort: bool = True) -> DataFrame:
     """Number of baskets per item."""
-    occ = baskets.select(F.explode(F.array_distinct(_col(items))).alias("item"))
+    occ = baskets.select(F.explode(_items(items)).alias("item"))
     out = occ.groupBy("item").agg(F.count(F.lit(1)).alias("count"))
     return out.orderBy(F.desc("count"), "item") if sort else out
 
@@ -78,14 +77,14 @@ def count_containing_all(baskets: DataFrame, items: str | Column, wanted: list[s
                          min_size: int = 2) -> DataFrame:
     """Number of baskets of at least ``min_size`` items holding every
     item of ``wanted`` (one pass, no per-item job)."""
-    arr = F.array_distinct(_col(items))
+    arr = _items(items)
     return baskets.agg(
         F.count_if((F.size(arr) >= min_size) & contains_all(arr, wanted)).alias("count"))
 
 
 def baskets_of_size(baskets: DataFrame, items: str | Column, min_size: int) -> DataFrame:
     """baskets with at least ``min_size`` distinct items."""
-    return baskets.where(F.size(F.array_distinct(_col(items))) >= min_size)
+    return baskets.where(F.size(_items(items)) >= min_size)
 
 
 # --- level-wise mining ---------------------------------------------------------
@@ -98,35 +97,28 @@ def _value(spark, t) -> float:
     return float(t)
 
 
-def _frequent_ranked(baskets: DataFrame, items: Column, t_item: float, literal_limit: int):
-    """Frequent items in rank order. Returns (names, None, F) when at most
-    ``literal_limit`` items are frequent (only then do names reach the
-    driver, via TakeOrderedAndProject of literal_limit + 1 rows), else
-    (None, ranked table written below the shared folder, F)."""
-    frequent = frequent_items(item_counts(baskets, items, sort=False), t_item)
-    top = frequent.orderBy(F.desc("count"), "item").limit(literal_limit + 1).collect()
-    if len(top) <= literal_limit:
-        return [r["item"] for r in top], None, len(top)
-    ranked = materialize(rank_items(frequent), "ranked-items")
-    return None, ranked, ranked.count()
-
-
-def _signatures(baskets: DataFrame, items: Column, ranked: DataFrame, names: list[str] | None,
-                n_freq: int, broadcast_limit: int) -> DataFrame:
-    """Per basket: its frequent items in rank order.
-
-    Literal path: ``array_intersect(ranked_names, basket)`` keeps the order
-    of its first argument and costs O(F + basket length) per basket. Join
-    path: explode, join the ranked table, regroup per basket."""
-    if names is not None:
-        lookup = F.array(*[F.lit(x) for x in names]) if names else F.array().cast("array<string>")
-        return baskets.select(F.array_intersect(lookup, items).alias("sig"))
-    keyed = baskets.select(F.monotonically_increasing_id().alias("_bid"),
-                           F.array_distinct(items).alias("_items"))
-    occ = keyed.select("_bid", F.explode("_items").alias("item"))
-    hits = _sized_join(occ, ranked.select("item", "rank"), "item", "inner", n_freq, broadcast_limit)
-    by_rank = F.array_sort(F.collect_list(F.struct("rank", "item")))
-    return hits.groupBy("_bid").agg(F.transform(by_rank, lambda p: p["item"]).alias("sig"))
+def _prepared(baskets: DataFrame, items: str | Column, key: str | None, t_item: float):
+    """(ranked, signatures): ranked is (item, count, rank), signatures is
+    (sid, n, sig array<int>) with at least two ranks; both are written."""
+    name = F.col(key) if key else F.monotonically_increasing_id()
+    numbered = baskets.select(name.alias("_bid"), _items(items).alias("_items"))
+    occ = (numbered if key else materialize(numbered, "numbered")).select(
+        "_bid", F.explode("_items").alias("item"))
+    counts = materialize(occ.groupBy("item").agg(F.count(F.lit(1)).alias("count")), "item-counts")
+    ranked = materialize(rank_items(frequent_items(counts, t_item)), "ranked-items")
+    sig = (occ.join(ranked.select("item", F.col("rank").cast("int").alias("r")), "item")
+           .groupBy("_bid").agg(F.array_sort(F.collect_list("r")).alias("sig")))
+    sigs = (sig.where(F.size("sig") >= 2).groupBy("sig").agg(F.count(F.lit(1)).alias("n"))
+            .withColumn("sid", F.monotonically_increasing_id()))
+    return ranked, materialize(sigs, "signatures")
+
+
+def _extend(occ: DataFrame, tails: DataFrame) -> DataFrame:
+    """Occurrences (sid, p, set, n) by every later rank of their signature."""
+    longer = occ.join(tails, ["sid", "p"]).select(
+        "sid", "n", "p", "set", F.posexplode("tail").alias("q", "r"))
+    return longer.select("sid", (F.col("p") + F.col("q") + 1).alias("p"), "n",
+                         F.concat("set", F.array("r")).alias("set"))
 
 
 def frequent_itemsets(
@@ -136,107 +128,100 @@ def frequent_itemsets(
     set_threshold,
     max_len: int = 3,
     min_len: int = 2,
-    literal_limit: int = 1000,
-    broadcast_limit: int = 200_000,
+    key: str | None = None,
+    start: DataFrame | None = None,
 ) -> DataFrame:
     """All sets of ``min_len..max_len`` frequent items whose basket
     count is ``> set_threshold``.
 
-    Returns (level int, items array<string> in rank order, label string
-    'a-b-c', count bigint). Runs one job for the item counts, one for the
-    signatures and one or two per level; each intermediate table is written
-    below the shared folder (lineage cut, survives executor loss).
+    Returns (level int, items array in rank order, label string 'a-b-c', count
+    bigint), ordered by level and ranks. Labels are for reading: with items that
+    hold a '-' two sets can share one, ``items`` tells them apart. ``key`` names
+    a column that is unique per basket. ``start`` is a saved result of one level
+    (columns items and count) over the same baskets and thresholds: its sets
+    are returned as they are and the search goes on above it.
     """
     spark = baskets.sparkSession
-    items = _col(items)
     t_item, t_set = _value(spark, item_threshold), _value(spark, set_threshold)
-
-    names, ranked, n_freq = _frequent_ranked(baskets, items, t_item, literal_limit)
-    sig = _signatures(baskets, items, ranked, names, n_freq, broadcast_limit)
-    sigs = sig.where(F.size("sig") >= 2).groupBy("sig").agg(F.count(F.lit(1)).alias("n"))
-    if max_len > 2:
-        # Read again by the next level's semi-join: written once.
-        sigs = materialize(sigs, "signatures")
-
-    # An occurrence is a set found in a signature plus the signature's ranks
-    # after the set's last member (its "tail"): only the tail can extend it,
-    # so the whole signature is not carried along.
-    occ = sigs.select("n", F.posexplode("sig").alias("p", "r"), "sig").select(
-        "n", F.array("r").alias("set"),
-        F.slice("sig", F.col("p") + 2, F.size("sig")).alias("tail"))
+    ranked, sigs = _prepared(baskets, items, key, t_item)
+    tails = materialize(
+        sigs.select("sid", "n", F.posexplode("sig").alias("p", "r"), "sig")
+        .select("sid", "p", "n", "r", F.slice("sig", F.col("p") + 2, F.size("sig")).alias("tail"))
+        .repartition("sid", "p"), "tails")
+    occ = tails.select("sid", "p", "n", F.array("r").alias("set"))
+    tails = tails.select("sid", "p", "tail").where(F.size("tail") > 0)
+    begun = None if start is None else materialize(_ranks_of(start, ranked), "start")
+    begun_at = 0 if start is None else (begun.agg(F.max(F.size("set"))).first()[0] or max_len)
     levels = []
     for level in range(2, max_len + 1):
-        ext = occ.where(F.size("tail") > 0).select(
-            "n", "set", "tail", F.posexplode("tail").alias("p", "r"))
-        ext = ext.select(
-            "n", F.concat("set", F.array("r")).alias("set"),
-            F.slice("tail", F.col("p") + 2, F.size("tail")).alias("tail"))
-        found = materialize(ext.groupBy("set").agg(F.sum("n").alias("count"))
-                            .where(F.col("count") > t_set), f"level{level}")
-        n_found = found.count()
-        if level >= min_len:
+        ext = _extend(occ, tails)
+        if level < begun_at:  # only what a saved set begins with
+            found = begun.select(F.slice("set", 1, level).alias("set")).distinct()
+        elif level == begun_at:
+            found = begun
+        else:
+            found = materialize(ext.groupBy("set").agg(F.sum("n").alias("count"))
+                                .where(F.col("count") > t_set), f"level{level}")
+        if level >= max(min_len, begun_at):
             levels.append(found.withColumn("level", F.lit(level)))
-        if n_found == 0 or level == max_len:
+        if level == max_len or (level > begun_at and found.isEmpty()):
             break
-        occ = materialize(_sized_join(ext, found.select("set"), "set", "left_semi", n_found,
-                                      broadcast_limit), f"occ{level}")
+        occ = materialize(ext.join(found.select("set"), "set", "left_semi"), f"occ{level}")
+    return _label(spark, levels, ranked)
+
 
+def _ranks_of(start: DataFrame, ranked: DataFrame) -> DataFrame:
+    """(set, count) of named sets whose items are all ranked."""
+    named = start.select("count", F.col("items").alias("_items"), F.explode("items").alias("item"))
+    return (named.join(ranked, "item").groupBy("_items", named["count"])
+            .agg(F.array_sort(F.collect_list(F.col("rank").cast("int"))).alias("set"))
+            .where(F.size("set") == F.size("_items")).select("set", "count"))
+
+
+def _label(spark, levels: list[DataFrame], ranked: DataFrame) -> DataFrame:
+    """(level, set, count) -> (level, items, label, count) with items in rank
+    order, rows ordered by level, then lexicographically by ranks (the order
+    in which nested loops over ranks i < j < k would emit the sets)."""
+    kind = ranked.schema["item"].dataType.simpleString()
     if not levels:
         return spark.createDataFrame(
-            [], "level int, items array<string>, label string, count bigint")
+            [], f"level int, items array<{kind}>, label string, count bigint")
     sets = levels[0]
     for extra in levels[1:]:
         sets = sets.unionByName(extra)
-    return _label(sets, "set", names, ranked, n_freq, broadcast_limit)
-
-
-def _label(sets: DataFrame, set_col: str, names: list[str] | None, ranked: DataFrame | None,
-           n_freq: int, broadcast_limit: int) -> DataFrame:
-    """(level, set, count) -> (level, items, label, count) with items in rank
-    order, rows ordered by level, then lexicographically by ranks (the order
-    in which nested loops over ranks i < j < k would emit the sets). Only
-    the (already reduced) result sets are ranked here."""
-    if names is not None:
-        lookup = F.array(*[F.lit(x) for x in names]) if names else F.array().cast("array<string>")
-        pairs = F.array_sort(F.transform(set_col, lambda x: F.struct(
-            F.array_position(lookup, x).cast("int").alias("rank"), x.alias("item"))))
-        keyed = sets.select("level", "count", pairs.alias("_pairs"))
-    else:
-        occ = sets.select("level", "count", F.col(set_col).alias("_set"),
-                          F.explode(set_col).alias("item"))
-        joined = _sized_join(occ, ranked.select("item", "rank"), "item", "inner", n_freq,
-                             broadcast_limit)
-        keyed = joined.groupBy("level", "_set", "count").agg(
-            F.array_sort(F.collect_list(F.struct("rank", "item"))).alias("_pairs"))
-    named = F.transform("_pairs", lambda p: p["item"])
-    out = keyed.select(
-        F.transform("_pairs", lambda p: p["rank"]).alias("_ranks"),
-        F.col("level").cast("int").alias("level"), named.alias("items"),
-        F.concat_ws("-", named).alias("label"), F.col("count").cast("bigint").alias("count"))
-    return out.orderBy("level", "_ranks").drop("_ranks")
+    occ = sets.select("level", "count", "set", F.explode("set").alias("rank"))
+    named = (occ.join(ranked.select("item", F.col("rank").cast("int").alias("rank")), "rank")
+             .groupBy("level", "set", "count")
+             .agg(F.array_sort(F.collect_list(F.struct("rank", "item"))).alias("_pairs"))
+             .withColumn("items", F.transform("_pairs", lambda p: p["item"])))
+    return named.orderBy("level", "set").select(
+        F.col("level").cast("int").alias("level"), "items",
+        F.concat_ws("-", F.transform("items", lambda x: x.cast("string"))).alias("label"),
+        F.col("count").cast("bigint").alias("count"))
 
 
 def frequent_itemsets_fpgrowth(baskets: DataFrame, items: str | Column, item_threshold,
-                               set_threshold, literal_limit: int = 1000,
-                               broadcast_limit: int = 200_000) -> DataFrame:
+                               set_threshold, max_len: int | None = None,
+                               key: str | None = None) -> DataFrame:
     """Cross-check of :func:`frequent_itemsets` with MLlib's parallel
-    FP-growth on the same frequent-item signatures (ranks). With n trimmed
-    baskets, ``minSupport = (m - 0.5) / n`` where ``m = floor(t) + 1`` makes
-    the smallest accepted count m (strict ``>``). FP-growth has no length
-    limit, so it returns sets of every length."""
+    FP-growth on the same signatures. With n trimmed baskets,
+    ``minSupport = (m - 0.5) / n`` where ``m = floor(t) + 1`` makes the
+    smallest accepted count m (strict ``>``). FP-growth itself has no length
+    limit; sets longer than ``max_len`` are left out of the result."""
     from pyspark.ml.fpm import FPGrowth
 
     spark = baskets.sparkSession
-    items = _col(items)
     t_item, t_set = _value(spark, item_threshold), _value(spark, set_threshold)
-    names, ranked, n_freq = _frequent_ranked(baskets, items, t_item, literal_limit)
-    sig = _signatures(baskets, items, ranked, names, n_freq, broadcast_limit)
-    trimmed = materialize(sig.where(F.size("sig") >= 2), "fp-signatures")
-    n = trimmed.count()
+    ranked, sigs = _prepared(baskets, items, key, t_item)
+    trimmed = sigs.select(F.explode(F.array_repeat("sig", F.col("n").cast("int"))).alias("sig"))
+    n = sigs.agg(F.sum("n")).first()[0] or 0
     min_count = int(t_set) + 1 if t_set >= 0 else 0
     model = FPGrowth(itemsCol="sig", minSupport=(min_count - 0.5) / max(n, 1),
                      minConfidence=1.0).fit(trimmed)
-    sets = model.freqItemsets.where(F.size("items") >= 2).select(
+    wanted = F.size("items") >= 2
+    if max_len is not None:
+        wanted = wanted & (F.size("items") <= max_len)
+    sets = model.freqItemsets.where(wanted).select(
         F.size("items").alias("level"), F.array_sort("items").alias("set"),
         F.col("freq").alias("count"))
-    return _label(sets, "set", names, ranked, n_freq, broadcast_limit)
+    return _label(spark, [sets], ranked)

@@ -59,11 +59,6 @@ def group_sum_count_avg(df: DataFrame, key: str, value: str) -> DataFrame:
     ).withColumn("value_avg", ratio("value_sum", "count"))
 
 
-def global_max(df: DataFrame, col: str, alias: str | None = None) -> DataFrame:
-    """A5: one-row maximum."""
-    return df.agg(F.max(col).alias(alias or f"max_{col}"))
-
-
 def count_if_many(df: DataFrame, preds: dict[str, Column]) -> DataFrame:
     """Row count plus one count per named predicate, in a single pass
     (the reference runs one job per count)."""
@@ -141,14 +136,14 @@ def top_rated(
     tag: str,
     min_count: int,
     sort: bool = True,
-    broadcast_limit: int = 1_000_000,
+    broadcast_bytes: int = 16 << 20,
 ) -> DataFrame:
     """Items carrying ``tag`` with more than ``min_count`` ratings, by
     average rating (highest first).
 
-    Plan: the dimension is filtered on the tag and its matching ids are
-    counted (one small action). Up to ``broadcast_limit`` ids, the ratings
-    are semi-joined to a broadcast of them *before* aggregating, so only
+    Plan: the dimension is filtered on the tag and the bytes of its matching
+    ids and titles are summed (one small action). Up to ``broadcast_bytes``,
+    the ratings are semi-joined to a broadcast of them *before* aggregating, so only
     ratings of tagged items are aggregated and shuffled. Beyond that, the
     fact side is aggregated first (partial + final aggregate, one row per
     item leaves the shuffle) and joined afterwards, with the join strategy
@@ -156,15 +151,17 @@ def top_rated(
     """
     chosen = items.where(F.array_contains(tags, tag)).select(
         F.col(item_col).alias("item_id"), F.col(title_col).alias("title"))
-    n_chosen = chosen.count()
+    # 40 bytes a row for ids, lengths and the row itself.
+    size = chosen.agg(F.sum(40 + F.coalesce(F.octet_length(F.col("title").cast("string")),
+                                            F.lit(0)))).first()[0] or 0
     facts = ratings.select(F.col(item_col).alias("item_id"), F.col(rating_col).alias("_r"))
-    if n_chosen <= broadcast_limit:
+    if size <= broadcast_bytes:
         facts = facts.join(F.broadcast(chosen.select("item_id")), "item_id", "left_semi")
     stats = facts.groupBy("item_id").agg(
         F.sum(F.col("_r").cast("double")).alias("rating_sum"),
         F.count(F.lit(1)).alias("rating_count"),
     ).where(F.col("rating_count") > min_count)
-    dim = F.broadcast(chosen) if n_chosen <= broadcast_limit else chosen
+    dim = F.broadcast(chosen) if size <= broadcast_bytes else chosen
     out = stats.join(dim, "item_id", "inner").select(
         "item_id",
         ratio("rating_sum", "rating_count").alias("avg_rating"),

@@ -8,7 +8,7 @@ from itertools import product
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassificationModel, DecisionTreeClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,13 +17,30 @@ from cascara.session import ensure_checkpoint_dir, materialize, scratch_path
 
 
 def tree_pipeline(features: list[str], label: str = "label", max_depth: int = 5,
-                  min_instances: int = 1, seed: int = 42) -> Pipeline:
-    """Assemble numeric columns, then a binary/multiclass tree."""
-    return Pipeline(stages=[
-        VectorAssembler(inputCols=features, outputCol="features"),
-        DecisionTreeClassifier(featuresCol="features", labelCol=label, maxDepth=max_depth,
-                               minInstancesPerNode=min_instances, seed=seed),
-    ])
+                  min_instances: int = 1, seed: int = 42, categorical: list[str] = (),
+                  string_label: bool = False) -> Pipeline:
+    """Index string columns, assemble, then a binary/multiclass tree.
+
+    ``categorical`` names the string columns among ``features``: each is indexed
+    (a value not seen in fitting, or NULL, gets an index of its own) and the
+    tree splits on sets of its values. With ``string_label`` the label is
+    indexed too and ``predicted_label`` holds the prediction as a string."""
+    stages = [StringIndexer(inputCol=c, outputCol=f"{c}_index", handleInvalid="keep")
+              for c in categorical]
+    stages.append(VectorAssembler(inputCols=[f"{c}_index" if c in categorical else c for c in features],
+                                  outputCol="features"))
+    if string_label:
+        stages.append(StringIndexer(inputCol=label, outputCol=f"{label}_index", handleInvalid="skip"))
+    stages.append(DecisionTreeClassifier(
+        featuresCol="features", labelCol=f"{label}_index" if string_label else label,
+        maxDepth=max_depth, minInstancesPerNode=min_instances, seed=seed, maxBins=256))
+    return Pipeline(stages=stages)
+
+
+def label_names(model: PipelineModel, label: str = "label") -> list[str]:
+    """The strings behind the indexed label, by index."""
+    return next(s.labels for s in model.stages
+                if isinstance(s, StringIndexerModel) and s.getOutputCol() == f"{label}_index")
 
 
 def tree_fit(df: DataFrame, features: list[str], label: str = "label", max_depth: int = 5,
@@ -69,8 +86,8 @@ def tree_nodes(model: PipelineModel | DecisionTreeClassificationModel,
                feature_names: list[str]) -> DataFrame:
     """D3: the fitted tree as rows, read back from the model's saved node
     table: node_id, type (root/left/right), name (node text), is_prediction,
-    prediction, impurity, gain, left_child, right_child, feature, threshold,
-    class_counts. The model is written below the shared folder (the write is
+    prediction, impurity, gain, left_child, right_child, feature, threshold
+    (numeric splits), left_categories (category splits), class_counts. The model is written below the shared folder (the write is
     an action)."""
     tree = model.stages[-1] if isinstance(model, PipelineModel) else model
     spark = SparkSession.getActiveSession()
@@ -80,13 +97,19 @@ def tree_nodes(model: PipelineModel | DecisionTreeClassificationModel,
     names = F.array(*[F.lit(n) for n in feature_names])
     is_leaf = F.col("leftChild") < 0
     feature = F.element_at(names, F.col("split.featureIndex") + 1)
-    threshold = F.col("split.leftCategoriesOrThreshold")[0]
+    # A split on a category lists the indices that go left; numCategories is -1
+    # for a numeric feature, whose only value is the threshold.
+    numeric = F.col("split.numCategories") < 0
+    left = F.col("split.leftCategoriesOrThreshold")
+    threshold = F.when(numeric, left[0])
     stats = F.array_join(F.transform("impurityStats", lambda x: x.cast("string")), ", ")
     # Node text formats of the exported tree, "<feature> <= <t>"
     # for a split and "<prediction>: ([<n0>, <n1>])" for a leaf.
     name = F.when(is_leaf, F.concat(F.col("prediction").cast("string"), F.lit(": (["), stats,
                                     F.lit("])")))
-    name = name.otherwise(F.concat(feature, F.lit(" <= "), threshold.cast("string")))
+    name = name.when(numeric, F.concat(feature, F.lit(" <= "), threshold.cast("string")))
+    name = name.otherwise(F.concat(feature, F.lit(" in {"), F.array_join(
+        F.transform(left, lambda x: x.cast("int").cast("string")), ", "), F.lit("}")))
     # Position of every node under its parent (the tree has 2^depth nodes at most).
     inner = nodes.where(~is_leaf)
     sides = inner.select(F.col("leftChild").alias("id"), F.lit("left").alias("type")).unionByName(
@@ -104,5 +127,6 @@ def tree_nodes(model: PipelineModel | DecisionTreeClassificationModel,
         F.when(is_leaf, None).otherwise(F.col("rightChild")).alias("right_child"),
         F.when(is_leaf, None).otherwise(feature).alias("feature"),
         F.when(is_leaf, None).otherwise(threshold).alias("threshold"),
+        F.when(~is_leaf & ~numeric, left).alias("left_categories"),
         F.col("impurityStats").alias("class_counts"),
     )

@@ -12,7 +12,7 @@ from cascara.plans import standins as S
 from cascara.plans.registry import query, r6
 from cascara.plans.q_tables import TOP_MIN_COUNT, TOP_TAG
 from cascara.session import scratch_path
-from cascara.sources import load_table, read_csv, read_text_lines, write_csv, write_text
+from cascara.sources import load_table, read_csv, read_fields, read_text_lines, write_csv, write_text
 from cascara.operators import tables as TB
 
 LINE_SCHEMA = T.StructType([
@@ -32,7 +32,7 @@ PART_SCHEMA = T.StructType([
 @query("src_text_lines", "SELECT unnest(string_split(text, chr(10))) AS value FROM documents")
 def q_src_text(spark, d):
     path = scratch_path(spark, "docs-text")
-    write_text(load_table(spark, d, "documents").select("text"), path)
+    write_text(load_table(spark, d, "documents").select("text"), path, escape=False)
     return read_text_lines(spark, path)
 
 
@@ -40,13 +40,14 @@ def q_src_text(spark, d):
 SELECT token, CAST(count(*) AS BIGINT) AS count
 FROM (SELECT unnest(string_split(event_type || ' #' || event_type || ' #u' || CAST(user_id AS VARCHAR), ' '))
              AS token FROM events) WHERE starts_with(token, '#') GROUP BY token
+UNION ALL VALUES ('#y' || chr(9) || 'z', 1), ('#a' || chr(10) || 'b', 1), ('#' || chr(92) || 't', 1)
 """)
 def q_sink_text(spark, d):
     path = scratch_path(spark, "tag-counts")
-    write_text(X.prefix_token_counts(S.tagged_events(spark, d)), path, sep="\t")
-    parts = F.split(F.col("value"), "\t", 2)
-    return read_text_lines(spark, path).select(
-        parts[0].alias("token"), parts[1].cast("bigint").alias("count"))
+    counts = X.prefix_token_counts(S.tagged_events(spark, d))
+    nasty = spark.sql("SELECT token, 1L AS count FROM VALUES ('#y\\tz'), ('#a\\nb'), ('#\\\\t') AS v(token)")
+    write_text(counts.unionByName(nasty), path)
+    return read_fields(spark, path, "token string, count bigint")
 
 
 @query("src_csv_schema", "SELECT l_orderkey, l_partkey, l_quantity, l_linenumber FROM lineitem")
@@ -92,20 +93,24 @@ def q_sink_csv(spark, d):
     return back.withColumn("avg_rating", r6("avg_rating"))
 
 
+_DIMS = [f"e{i}" for i in range(64)]
+
+
 @query("cluster_profile_csv", "SELECT label AS cluster_id, CAST(count(*) AS BIGINT) AS size, "
        "round(avg(CASE WHEN embedding[1] > 0 THEN 1.0 ELSE 0.0 END), 6) AS flag_ratio, "
-       "round(avg(embedding[1]), 6) AS e0, round(avg(embedding[2]), 6) AS e1 "
-       "FROM embeddings GROUP BY label")
+       + ", ".join(f"round(avg(embedding[{i + 1}]), 6) AS {c}" for i, c in enumerate(_DIMS))
+       + " FROM embeddings GROUP BY label")
 def q_cluster_profile_csv(spark, d):
-    """K4 re-aimed: the per-cluster summary is written by the executors as a
-    CSV with header (not from a driver-side frame) and read back."""
+    """K4 re-aimed: the per-cluster summary, one column per feature, is written
+    by the executors as a CSV with header (not from a driver-side frame) and
+    read back."""
     from cascara.operators import cluster as C
 
     emb = load_table(spark, d, "embeddings")
     prof = C.cluster_profile(emb, "label", F.col("embedding")[0] > 0,
-                             {"e0": F.col("embedding")[0], "e1": F.col("embedding")[1]})
+                             {c: F.col("embedding")[i] for i, c in enumerate(_DIMS)})
     path = scratch_path(spark, "cluster-profile-csv")
     write_csv(prof, path, header=True)
-    schema = "cluster_id int, size bigint, flag_ratio double, e0 double, e1 double"
+    schema = "cluster_id int, size bigint, " + ", ".join(f"{c} double" for c in ("flag_ratio", *_DIMS))
     back = spark.read.schema(schema).option("header", True).csv(path)
-    return back.select("cluster_id", "size", *[r6(c).alias(c) for c in ("flag_ratio", "e0", "e1")])
+    return back.select("cluster_id", "size", *[r6(c).alias(c) for c in ("flag_ratio", *_DIMS)])

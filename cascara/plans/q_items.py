@@ -11,7 +11,7 @@ from cascara.operators import itemsets as I
 from cascara.operators import tables as T
 from cascara.plans import standins as S
 from cascara.plans.registry import query, r6
-from cascara.session import materialize
+from cascara.session import materialize, scratch_path
 
 ITEM_SHARE = 0.12    # item frequent when in more than 12 % of baskets
 SET_SHARE = 0.004    # set frequent when in more than 0.4 % of baskets
@@ -23,9 +23,12 @@ def _baskets(spark, d):
     return b.select("basket_id", split_on("items_str", "-").alias("items"))
 
 
-def _thresholds(b):
-    n = b.agg(F.count(F.lit(1))).scalar()
-    return F.lit(ITEM_SHARE) * n, F.lit(SET_SHARE) * n
+def _baskets_once(spark, d):
+    """The derived baskets play the role of the reference's input file: they
+    are written once and scanned by every pass; counting them is free then."""
+    b = materialize(_baskets(spark, d), "baskets")
+    n = b.count()
+    return b, ITEM_SHARE * n, SET_SHARE * n
 
 
 _BASE = f"""
@@ -62,15 +65,13 @@ def q_item_counts(spark, d):
 
 @query("frequent_items", _BASE + "SELECT item, CAST(c AS BIGINT) AS count FROM fi")
 def q_frequent_items(spark, d):
-    b = _baskets(spark, d)
-    t_item, _ = _thresholds(b)
+    b, t_item, _ = _baskets_once(spark, d)
     return I.frequent_items(I.item_counts(b, "items", sort=False), t_item)
 
 
-@query("item_rank", _BASE + "SELECT item, CAST(c AS BIGINT) AS count, CAST(rk AS INTEGER) AS rank FROM fi")
+@query("item_rank", _BASE + "SELECT item, CAST(c AS BIGINT) AS count, CAST(rk AS BIGINT) AS rank FROM fi")
 def q_item_rank(spark, d):
-    b = _baskets(spark, d)
-    t_item, _ = _thresholds(b)
+    b, t_item, _ = _baskets_once(spark, d)
     return I.rank_items(I.frequent_items(I.item_counts(b, "items", sort=False), t_item))
 
 
@@ -108,11 +109,9 @@ def q_share_multi(spark, d):
 
 
 def _mined(spark, d, min_len, max_len):
-    # The derived baskets play the role of the reference's input file: they
-    # are written once and scanned by every pass of the miner.
-    b = materialize(_baskets(spark, d), "baskets")
-    t_item, t_set = _thresholds(b)
-    out = I.frequent_itemsets(b, "items", t_item, t_set, max_len=max_len, min_len=min_len)
+    b, t_item, t_set = _baskets_once(spark, d)
+    out = I.frequent_itemsets(b, "items", t_item, t_set, max_len=max_len, min_len=min_len,
+                              key="basket_id")
     return out.select("level", "label", "count")
 
 
@@ -138,9 +137,22 @@ def q_itemsets(spark, d):
     return _mined(spark, d, 2, 4)
 
 
+@query("frequent_triples_staged", _BASE + """
+SELECT 2 AS level, label, CAST(c AS BIGINT) AS count FROM p2
+UNION ALL SELECT 3, label, CAST(c AS BIGINT) FROM p3""")
+def q_triples_staged(spark, d):
+    """I5 from a saved level: pairs are mined and written, triples go on from
+    the file."""
+    b, t_item, t_set = _baskets_once(spark, d)
+    path = scratch_path(spark, "pairs")
+    I.frequent_itemsets(b, "items", t_item, t_set, max_len=2, key="basket_id").write.parquet(path)
+    out = I.frequent_itemsets(b, "items", t_item, t_set, max_len=3, key="basket_id",
+                              start=spark.read.parquet(path))
+    return out.select("level", "label", "count")
+
+
 @query("frequent_itemsets_fp", _ALL)
 def q_itemsets_fp(spark, d):
-    b = materialize(_baskets(spark, d), "baskets")
-    t_item, t_set = _thresholds(b)
-    out = I.frequent_itemsets_fpgrowth(b, "items", t_item, t_set)
+    b, t_item, t_set = _baskets_once(spark, d)
+    out = I.frequent_itemsets_fpgrowth(b, "items", t_item, t_set, max_len=4, key="basket_id")
     return out.select("level", "label", "count")

@@ -55,7 +55,7 @@ FROM per
 @query("silhouette_labels", _SIL_SQL)
 def q_silhouette(spark, d):
     emb = load_table(spark, d, "embeddings")
-    return C.silhouette(emb, "embedding", "label", EMB_DIM).select(r6("silhouette").alias("silhouette"))
+    return C.silhouette(emb, "embedding", "label").select(r6("silhouette").alias("silhouette"))
 
 
 @query("silhouette_evaluator", _SIL_SQL)

@@ -12,7 +12,8 @@ from cascara.plans import standins as S
 from cascara.plans.registry import query
 from cascara.session import materialize
 
-TOP_K = 20
+# Fixed value: the number of most common items that become features.
+TOP_K = 100
 ONE_HOT_PREFIX = "s_"
 
 
@@ -37,19 +38,19 @@ sz AS (SELECT numports AS size, count(*) AS c FROM prof WHERE numports > 1 GROUP
 cut AS (SELECT coalesce(max(size) FILTER (WHERE c > 1), 1) AS cutoff FROM sz),
 nem AS (SELECT * FROM prof WHERE numports > 1 AND numports <= (SELECT cutoff FROM cut)),
 nocc AS (SELECT id, unnest(list_distinct(string_split(items_str, '-'))) AS item FROM nem),
-top AS (SELECT item, count(*) AS c FROM nocc GROUP BY item ORDER BY c DESC, item LIMIT 20),
+top AS (SELECT item, count(*) AS c FROM nocc GROUP BY item ORDER BY c DESC, item LIMIT 100),
 topr AS (SELECT item, c, row_number() OVER (ORDER BY c DESC, item) AS rk FROM top)
 """
 
 
 @query("rows_by_set_size", _PROF + "SELECT size, CAST(c AS BIGINT) AS count FROM sz")
 def q_rows_by_size(spark, d):
-    return G.rows_by_set_size(profiles(spark, d), "numports")
+    return G.rows_by_set_size(S.part_sizes(spark, d), "numports")
 
 
 @query("non_rare_max", _PROF + "SELECT max(size) FILTER (WHERE c > 1) AS max_non_rare FROM sz")
 def q_non_rare_max(spark, d):
-    return G.non_rare_max(profiles(spark, d), "numports")
+    return G.non_rare_max(S.part_sizes(spark, d), "numports")
 
 
 @query("segment_rows", _PROF + """
@@ -58,18 +59,18 @@ SELECT id, numports, CASE WHEN numports = 1 THEN 'single'
                           WHEN numports > 1 THEN 'multi' ELSE 'other' END AS segment
 FROM prof""")
 def q_segment_rows(spark, d):
-    return G.segment_rows(profiles(spark, d), "numports").select("id", "numports", "segment")
+    return G.segment_rows(materialize(S.part_sizes(spark, d), "sizes"), "numports").select("id", "numports", "segment")
 
 
 @query("extreme_rows", _PROF + """
 SELECT id, numports, items_str, flag FROM prof WHERE numports > (SELECT cutoff FROM cut)""")
 def q_extreme_rows(spark, d):
-    return G.extreme_rows(profiles(spark, d), "numports").select("id", "numports", "items_str", "flag")
+    return G.extreme_rows(profiles_once(spark, d), "numports").select("id", "numports", "items_str", "flag")
 
 
 @query("top_k_items", _PROF + "SELECT item, CAST(c AS BIGINT) AS count, CAST(rk AS INTEGER) AS rank FROM topr")
 def q_top_k(spark, d):
-    pop = G.non_extreme_multi(profiles(spark, d), "numports")
+    pop = G.non_extreme_multi(profiles_once(spark, d), "numports")
     return E.top_k_items(pop, "items", TOP_K)
 
 
@@ -103,7 +104,7 @@ def q_one_hot_check(spark, d):
 def q_filter_boolean(spark, d):
     from cascara.operators import tables as T
 
-    return T.filter_all(profiles(spark, d), F.col("flag")).select("id", "numports")
+    return T.filter_all(S.part_sizes(spark, d), F.col("flag")).select("id", "numports")
 
 
 @query("one_hot_vector", _PROF + """

@@ -10,13 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cascara.functions import split_on
-from cascara.session import spread
 from cascara.sources import load_table
 
 
 def doc_lines(spark: SparkSession, d: str) -> DataFrame:
     """Text lines: every document split on newline, one row per line."""
-    docs = spread(load_table(spark, d, "documents").select("text"))
+    docs = load_table(spark, d, "documents").select("text")
     return docs.select(F.explode(F.split("text", "\n", -1)).alias("value"))
 
 
@@ -34,7 +33,7 @@ def tagged_events(spark: SparkSession, d: str) -> DataFrame:
 def first_days(spark: SparkSession, d: str):
     """The first two calendar days of ``events`` as dates (one scalar reaches
     the driver), so the day filter can be pushed into the scan."""
-    first = load_table(spark, d, "events").agg(F.min(F.to_date("ts"))).first()[0]
+    first = load_table(spark, d, "events").agg(F.to_date(F.min("ts"))).first()[0]
     if first is None:  # no events: no day matches
         return None, None
     return first, first + dt.timedelta(days=1)
@@ -85,15 +84,26 @@ def part_profiles(spark: SparkSession, d: str) -> DataFrame:
         "id", F.size("_s").alias("numports"), F.concat_ws("-", "_s").alias("items_str"), "flag")
 
 
-def tree_rows(spark: SparkSession, d: str) -> DataFrame:
-    """Decision-tree rows: documents with labels; numeric text features."""
+def part_sizes(spark: SparkSession, d: str) -> DataFrame:
+    """:func:`part_profiles` without the set itself, for queries that need its
+    size only: a distinct count, no array."""
+    li = load_table(spark, d, "lineitem").select("l_partkey", "l_suppkey")
+    part = load_table(spark, d, "part").select(
+        F.col("p_partkey").alias("id"), (F.col("p_type") == "PROMO").alias("flag"))
+    sizes = li.groupBy(F.col("l_partkey").alias("id")).agg(
+        F.count_distinct("l_suppkey").cast("int").alias("numports"))
+    return sizes.join(part, "id").select("id", "numports", "flag")
+
+
+def tree_rows(spark: SparkSession, d: str, unlabelled: bool = False) -> DataFrame:
+    """Decision-tree rows: documents with labels (or all); numeric features."""
     docs = load_table(spark, d, "documents").select("doc_id", "text", "n_chars")
     labels = load_table(spark, d, "labels").select("doc_id", "quality")
-    return docs.join(labels, "doc_id").select(
+    return docs.join(labels, "doc_id", "left" if unlabelled else "inner").select(
         "doc_id",
         F.col("n_chars").cast("double").alias("n_chars"),
-        F.size(F.split("text", " ", -1)).cast("double").alias("words"),
-        F.size(F.split("text", "\n", -1)).cast("double").alias("lines"),
+        (F.length("text") - F.length(F.replace("text", F.lit(" "), F.lit(""))) + 1).cast("double").alias("words"),
+        (F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1).cast("double").alias("lines"),
         F.col("quality").cast("double").alias("label"),
     )
 
@@ -104,6 +114,5 @@ def user_item_ratings(spark: SparkSession, d: str) -> DataFrame:
     li = load_table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     od = load_table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
     return (li.join(od, "l_orderkey")
-            .groupBy(F.col("o_custkey").cast("int").alias("user"),
-                     F.col("l_partkey").cast("int").alias("item"))
+            .groupBy(F.col("o_custkey").alias("user"), F.col("l_partkey").alias("item"))
             .agg(F.avg("l_quantity").cast("float").alias("rating")))

@@ -19,7 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 def main(argv: list[str] | None = None) -> int:
     from cascara.plans.catalog import QUERIES
-    from cascara.session import build_session
+    from cascara.session import build_session, scratch_scope
     from cascara.sources import write_csv, write_text
 
     p = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawTextHelpFormatter)
@@ -30,13 +30,14 @@ def main(argv: list[str] | None = None) -> int:
     args = p.parse_args(argv)
 
     spark = build_session(app_name=f"cascara-{args.query}")
-    df = QUERIES[args.query](spark, args.data_dir)
-    if args.format == "csv":
-        write_csv(df, args.out, header=True)
-    elif args.format == "text":
-        write_text(df, args.out)
-    else:
-        df.write.mode("errorifexists").parquet(args.out)
+    with scratch_scope(spark):  # intermediate tables go once the result is written
+        df = QUERIES[args.query](spark, args.data_dir)
+        if args.format == "csv":
+            write_csv(df, args.out, header=True)
+        elif args.format == "text":
+            write_text(df, args.out)
+        else:
+            df.write.mode("errorifexists").parquet(args.out)
     return 0
 
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -54,7 +55,8 @@ def build_session(
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
 
 
 _LOCAL_BASES: dict[str, str] = {}
@@ -86,9 +88,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return base
 
 
+_SCOPES: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, not yet existing path below the shared folder."""
-    return os.path.join(_base_dir(spark), "scratch", f"{name}-{uuid.uuid4().hex[:12]}")
+    """A new, not yet existing path below the shared folder. Inside a
+    :func:`scratch_scope` the path belongs to that scope, else to the caller."""
+    path = os.path.join(_base_dir(spark), "scratch", f"{name}-{uuid.uuid4().hex[:12]}")
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Owns the intermediate tables made inside it and removes them at its end.
+    Write the result before the scope ends: a DataFrame built inside reads them."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for path in _SCOPES.pop():
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(conf).delete(place, True)
 
 
 def materialize(df, name: str):
@@ -103,15 +126,3 @@ def materialize(df, name: str):
     path = scratch_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
-
-
-def spread(df):
-    """Round-robin ``df`` over the cluster's cores when its scan yields fewer
-    partitions than cores (e.g. a single unsplittable file), so CPU-heavy
-    per-row work that follows is not confined to a few tasks. A scan that is
-    already wide (the normal case on large inputs) is returned unchanged, so
-    no shuffle is added at scale."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df

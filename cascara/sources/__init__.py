@@ -3,9 +3,9 @@
 from cascara.sources.tables import load_table, TABLES
 from cascara.sources.text import read_text_lines
 from cascara.sources.csv import read_csv, RATINGS_SCHEMA, ITEMS_SCHEMA, PROFILE_SCHEMA
-from cascara.sources.sinks import write_text, write_csv
+from cascara.sources.sinks import read_fields, write_text, write_csv
 
 __all__ = [
     "load_table", "TABLES", "read_text_lines", "read_csv", "RATINGS_SCHEMA",
-    "ITEMS_SCHEMA", "PROFILE_SCHEMA", "write_text", "write_csv",
+    "ITEMS_SCHEMA", "PROFILE_SCHEMA", "read_fields", "write_text", "write_csv",
 ]

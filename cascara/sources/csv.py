@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+# The three input schemas, in the files' column order.
+
 # Ratings: user, item, rating, rating id (no header).
 RATINGS_SCHEMA = T.StructType([
     T.StructField("UserID", T.IntegerType(), False),
@@ -28,19 +30,28 @@ ITEMS_SCHEMA = T.StructType([
 
 # Set-valued profile rows (with header). Decimal columns are declared wide
 # enough to keep fractions instead of the 10,0 default, which rounds them.
-_INT = ["_c0", "id", "numports", "Bytes", "Packets", "average_packetsize",
-        "MinUniqueDests", "MaxUniqueDests", "MinUniqueDest24s", "MaxUniqueDest24s"]
-PROFILE_SCHEMA = T.StructType(
-    [T.StructField(c, T.IntegerType(), False) for c in _INT[:3]]
-    + [T.StructField("lifetime", T.DecimalType(18, 6), False)]
-    + [T.StructField(c, T.IntegerType(), False) for c in _INT[3:6]]
-    + [T.StructField("average_lifetime", T.DecimalType(18, 6), False)]
-    + [T.StructField(c, T.IntegerType(), False) for c in _INT[6:]]
-    + [T.StructField(c, T.BooleanType(), True) for c in ("mirai", "zmap", "masscan")]
-    + [T.StructField(c, T.StringType(), False) for c in (
-        "country", "traffic_types_scanned_str", "ports_scanned_str",
-        "host_tags_per_censys", "host_services_per_censys")]
-)
+PROFILE_SCHEMA = T.StructType([
+    T.StructField("_c0", T.IntegerType(), False),
+    T.StructField("id", T.IntegerType(), False),
+    T.StructField("numports", T.IntegerType(), False),
+    T.StructField("lifetime", T.DecimalType(18, 6), False),
+    T.StructField("Bytes", T.IntegerType(), False),
+    T.StructField("Packets", T.IntegerType(), False),
+    T.StructField("average_packetsize", T.IntegerType(), False),
+    T.StructField("average_lifetime", T.DecimalType(18, 6), False),
+    T.StructField("MinUniqueDests", T.IntegerType(), False),
+    T.StructField("MaxUniqueDests", T.IntegerType(), False),
+    T.StructField("MinUniqueDest24s", T.IntegerType(), False),
+    T.StructField("MaxUniqueDest24s", T.IntegerType(), False),
+    T.StructField("mirai", T.BooleanType(), True),
+    T.StructField("zmap", T.BooleanType(), True),
+    T.StructField("masscan", T.BooleanType(), True),
+    T.StructField("country", T.StringType(), False),
+    T.StructField("traffic_types_scanned_str", T.StringType(), False),
+    T.StructField("ports_scanned_str", T.StringType(), False),
+    T.StructField("host_tags_per_censys", T.StringType(), False),
+    T.StructField("host_services_per_censys", T.StringType(), False),
+])
 
 
 def read_csv(

@@ -5,14 +5,15 @@ The counting operator is the batch one, unchanged: a streaming DataFrame goes
 through the same ``explode`` + ``groupBy``. State holds one running count per
 distinct token, so it is bounded by the vocabulary, not by the stream length.
 Results leave through ``foreachBatch``: every micro-batch of the complete
-result overwrites a parquet folder below the shared folder, so nothing is
-collected to the driver. The checkpoint location makes the query restartable
+result gets a parquet folder of its own below the shared folder, the last of
+which is the result, so nothing is collected to the driver. The checkpoint location makes the query restartable
 after a failure.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cascara.operators.text import prefix_token_counts
 from cascara.session import scratch_path
@@ -35,12 +36,15 @@ def run_available(counts: DataFrame, name: str, out: str | None = None,
     out = out or scratch_path(spark, f"{name}-out")
     ckpt = checkpoint or scratch_path(spark, f"{name}-ckpt")
 
-    def write(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
+    def write(batch: DataFrame, epoch: int) -> None:
+        # A folder per epoch: a failed write leaves the last whole one as it is,
+        # and a repeated epoch writes its own folder again.
+        batch.write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
 
     q = (counts.writeStream.outputMode("complete").foreachBatch(write)
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return spark.read.parquet(out)
+    done = spark.read.parquet(out)
+    return done.where(F.col("epoch") == done.agg(F.max("epoch")).scalar()).drop("epoch")

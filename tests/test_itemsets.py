@@ -34,11 +34,10 @@ def _df(spark, baskets):
     return df.select("id", F.split("s", "-").alias("items"))
 
 
-@pytest.mark.parametrize("literal_limit", [1000, 0])
-def test_levelwise_matches_brute_force(spark, literal_limit):
+def test_levelwise_matches_brute_force(spark):
     df = _df(spark, BASKETS)
     want, _, _ = _brute(BASKETS, 2, 1, 4)
-    got = I.frequent_itemsets(df, "items", 2, 1, max_len=4, literal_limit=literal_limit)
+    got = I.frequent_itemsets(df, "items", 2, 1, max_len=4)
     got = {r["label"]: r["count"] for r in got.collect()}
     assert got == want and len(want) > 5
 
@@ -51,10 +50,9 @@ def test_strict_thresholds_and_ties(spark):
     assert "443" not in got and all(cnt[x] > t for x in got)
 
 
-@pytest.mark.parametrize("literal_limit", [1000, 0])
-def test_emitted_in_lexicographic_rank_order_of_frequent_items(spark, literal_limit):
+def test_emitted_in_lexicographic_rank_order_of_frequent_items(spark):
     df = _df(spark, BASKETS)
-    got = I.frequent_itemsets(df, "items", 1, 0, max_len=3, literal_limit=literal_limit).collect()
+    got = I.frequent_itemsets(df, "items", 1, 0, max_len=3).collect()
     ranked = {r["item"]: r["rank"] for r in I.rank_items(
         I.frequent_items(I.item_counts(df, "items", sort=False), 1)).collect()}
     keys = [(r["level"], [ranked[x] for x in r["items"]]) for r in got]
@@ -83,11 +81,10 @@ def test_duplicates_count_once(spark):
     assert counts == {"a": 2, "b": 2}
 
 
-@pytest.mark.parametrize("literal_limit", [1000, 0])
-def test_fpgrowth_cross_check(spark, literal_limit):
+def test_fpgrowth_cross_check(spark):
     df = _df(spark, BASKETS)
     lw = {r["label"]: r["count"] for r in I.frequent_itemsets(df, "items", 2, 1, max_len=10).collect()}
-    fp = I.frequent_itemsets_fpgrowth(df, "items", 2, 1, literal_limit=literal_limit)
+    fp = I.frequent_itemsets_fpgrowth(df, "items", 2, 1)
     assert lw == {r["label"]: r["count"] for r in fp.collect()}
 
 
@@ -108,16 +105,59 @@ def test_global_row_number_matches_sort(spark):
     assert keys == sorted(keys)
 
 
-def test_global_row_number_reuses_its_range_exchange(spark):
-    import contextlib
-    import io
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_global_row_number_with_payload_and_without_exchange_reuse(spark, reuse):
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    try:
+        n = 100_000
+        df = spark.range(0, n).select((F.col("id") * 7919 % 1009).alias("v"), "id",
+                                      F.md5(F.col("id").cast("string")).alias("payload"))
+        got = global_row_number(df, [F.desc("v"), F.asc("id")], "rn", partitions=8)
+        assert dict(got.dtypes)["rn"] == "bigint"
+        row = got.agg(F.count_distinct("rn"), F.min("rn"), F.max("rn")).first()
+        assert tuple(row) == (n, 1, n)
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+
+
+def _sets(df):
+    return sorted((r["level"], tuple(r["items"]), r["count"]) for r in df.collect())
+
+
+def test_null_items_are_no_items(spark):
+    rows = [(["a", "b", None],)] * 2 + [(["a", "b"],), (["a", None],), (None,), ([None, None],), ([],)]
+    df = spark.createDataFrame(rows, "items array<string>")
+    assert _sets(I.frequent_itemsets(df, "items", 1, 0)) == [(2, ("a", "b"), 3)]
+    assert {r["item"]: r["count"] for r in I.item_counts(df, "items").collect()} == {"a": 4, "b": 3}
+    assert _sets(I.frequent_itemsets_fpgrowth(df, "items", 1, 0)) == [(2, ("a", "b"), 3)]
+
+
+def test_integer_items_and_no_frequent_item(spark):
+    df = spark.createDataFrame([([3, 1, 2],), ([1, 2],), ([2, 9],)], "items array<int>")
+    assert _sets(I.frequent_itemsets(df, "items", 1, 0)) == [(2, (2, 1), 2)]
+    none = I.frequent_itemsets(df, "items", 99, 0)
+    assert dict(none.dtypes)["items"] == "array<int>" and none.count() == 0
+    assert I.frequent_itemsets(df.limit(0), "items", 0, 0).count() == 0
 
-    df = spark.range(0, 20000).select((F.col("id") % 97).alias("v"), "id") \
-        .groupBy("v").agg(F.count("*").alias("n"))
-    got = global_row_number(df, [F.desc("n"), F.asc("v")], "rn", partitions=4)
-    got.collect()
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        got.explain()
-    # the input and its range shuffle run once; the sizes side reuses them
-    assert "ReusedExchange" in buf.getvalue()
+
+def test_labels_may_meet_but_items_do_not(spark):
+    df = spark.createDataFrame([(["a", "b-c"],), (["a-b", "c"],)], "items array<string>")
+    got = I.frequent_itemsets(df, "items", 0, 0).collect()
+    assert sorted(tuple(r["items"]) for r in got) == [("a", "b-c"), ("a-b", "c")]
+
+
+def test_one_basket_of_two_thousand_frequent_items(spark):
+    big = [f"x{k:04d}" for k in range(2000)]
+    rows = [(big,)] + [([x],) for x in big] + [(big[:3],)]
+    df = spark.createDataFrame(rows, "items array<string>")
+    assert _sets(I.frequent_itemsets(df, "items", 1, 1)) == sorted(
+        [(2, p, 2) for p in combinations(big[:3], 2)] + [(3, tuple(big[:3]), 2)])
+
+
+def test_start_from_a_saved_level(spark):
+    df = _df(spark, BASKETS)
+    whole = I.frequent_itemsets(df, "items", 2, 1, max_len=4)
+    for level in (2, 3):
+        saved = I.frequent_itemsets(df, "items", 2, 1, max_len=level, min_len=level)
+        on = I.frequent_itemsets(df, "items", 2, 1, max_len=4, start=saved)
+        assert _sets(on) == [r for r in _sets(whole) if r[0] >= level]

@@ -43,12 +43,10 @@ BASKET = st.lists(st.sampled_from(["a", "b", "c", "d", "e", "f"]), max_size=6)
 
 @settings(max_examples=4, deadline=None,
           suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(BASKET, min_size=1, max_size=40), st.integers(0, 6), st.integers(0, 4),
-       st.booleans())
-def test_mining_equals_brute_force(spark, baskets, t_item, t_set, literal):
+@given(st.lists(BASKET, min_size=1, max_size=40), st.integers(0, 6), st.integers(0, 4))
+def test_mining_equals_brute_force(spark, baskets, t_item, t_set):
     df = spark.createDataFrame([(i, b) for i, b in enumerate(baskets)], "id int, items array<string>")
-    got = I.frequent_itemsets(df, "items", t_item, t_set, max_len=3,
-                              literal_limit=1000 if literal else 0)
+    got = I.frequent_itemsets(df, "items", t_item, t_set, max_len=3)
     got = [(r["level"], r["label"], r["count"]) for r in got.collect()]
 
     sets = [set(b) for b in baskets]

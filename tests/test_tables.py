@@ -36,8 +36,8 @@ def test_histogram_rejects_bad_edges(spark):
         T.histogram_fixed(df, "x", [1, 1])
 
 
-@pytest.mark.parametrize("broadcast_limit", [1_000_000, 0])
-def test_top_rated_literal(spark, broadcast_limit):
+@pytest.mark.parametrize("broadcast_bytes", [1 << 20, 0])
+def test_top_rated_literal(spark, broadcast_bytes):
     ratings = spark.createDataFrame(
         [(1, 5.0), (1, 4.0), (1, 3.0), (2, 5.0), (2, 5.0), (2, 5.0), (3, 1.0), (3, 2.0), (3, 3.0),
          (4, 5.0)], "item_id int, rating double")
@@ -46,7 +46,7 @@ def test_top_rated_literal(spark, broadcast_limit):
          (5, "E", None)], "item_id int, title string, genres string")
     from cascara.functions import split_on
     out = T.top_rated(ratings, items, "item_id", "rating", "title", split_on("genres", "|"),
-                      "Comedy", 2, broadcast_limit=broadcast_limit).collect()
+                      "Comedy", 2, broadcast_bytes=broadcast_bytes).collect()
     assert [(r["item_id"], r["avg_rating"], r["rating_count"]) for r in out] == [(1, 4.0, 3), (3, 2.0, 3)]
 
 
