@@ -1,6 +1,7 @@
 """Queries for clustering, recommendation and decision trees (C1-C8, R1-R3,
-D1-D3). Profiles and silhouette on given labels have SQL oracles; fitted
-models are checked by row counts only."""
+D1-D3). Profiles and silhouette on given labels have SQL oracles. What a fitted
+model says differs between engines, so the ``*_check`` queries hold the facts
+about it that SQL can state."""
 
 from __future__ import annotations
 
@@ -14,15 +15,15 @@ from cascara.operators import segments as G
 from cascara.operators import tree as D
 from cascara.plans import standins as S
 from cascara.plans.registry import query, r6
-from cascara.plans.q_segments import ONE_HOT_PREFIX, TOP_K, profiles_once
+from cascara.plans.q_segments import _PROF, ONE_HOT_PREFIX, TOP_K, profiles_once
 from cascara.session import materialize
 from cascara.sources import load_table
 
 EMB_DIM = 64
-K_CLUSTERS = 8
-# Fixed value: the k-means seed the reference uses.
+# Number of clusters, k-means seed and number of components.
+K_CLUSTERS = 200
 SEED = 123
-PCA_K = 5
+PCA_K = 30
 TREE_FEATURES = ["n_chars", "words", "lines"]
 
 
@@ -101,20 +102,77 @@ def q_profile_kmeans(spark, d):
 
 @query("pca_reduce")
 def q_pca(spark, d):
-    feats, _ = onehot_features(spark, d)
-    out = C.pca_reduce(feats, PCA_K)
+    feats, cols = onehot_features(spark, d)
+    out = C.pca_reduce(feats, min(PCA_K, len(cols)))
     return out.select("id", vector_to_array("pca_features").alias("pca_features"))
 
 
 @query("cluster_profile_pca")
 def q_profile_pca(spark, d):
     feats, cols = onehot_features(spark, d)
-    reduced = C.pca_reduce(feats, PCA_K)
+    reduced = C.pca_reduce(feats, min(PCA_K, len(cols)))
     pred = C.kmeans_assign(reduced, K_CLUSTERS, SEED, features="pca_features")
     # Centres in the original one-hot space: feature means per PCA cluster.
     return C.cluster_profile(pred, "prediction", "flag", {c: F.col(c) for c in cols})
 
 
+@query("kmeans_check", _PROF + """
+SELECT count(*) AS assigned, count(*) AS in_sizes, count(*) - count(id) AS unassigned FROM nem
+""")
+def q_kmeans_check(spark, d):
+    """Every row has a cluster, and the sizes add up to the rows."""
+    feats, _ = onehot_features(spark, d)
+    pred = materialize(C.kmeans_assign(feats, K_CLUSTERS, SEED), "assigned")
+    sizes = C.cluster_sizes(pred).agg(F.coalesce(F.sum("size"), F.lit(0)).alias("in_sizes"))
+    return pred.agg(F.count("prediction").alias("assigned"),
+                    F.count_if(F.col("prediction").isNull()).alias("unassigned")).select(
+        "assigned", F.lit(sizes.first()[0]).cast("bigint").alias("in_sizes"), "unassigned")
+
+
+@query("cluster_mean_check", _PROF + """
+SELECT v.variant, CAST(rk AS INTEGER) AS rank, round(c::DOUBLE / (SELECT count(*) FROM nem), 6) AS share
+FROM topr, (VALUES ('onehot'), ('pca')) AS v(variant)
+""")
+def q_cluster_mean_check(spark, d):
+    """Weighted by size, the cluster profiles give back the share of
+    all rows that hold each item."""
+    feats, cols = onehot_features(spark, d)
+    out = None
+    for variant, data, fcol in (("onehot", feats, "features"),
+                                ("pca", C.pca_reduce(feats, min(PCA_K, len(cols))), "pca_features")):
+        pred = C.kmeans_assign(data, K_CLUSTERS, SEED, features=fcol)
+        prof = C.cluster_profile(pred, "prediction", "flag", {c: F.col(c) for c in cols})
+        wide = prof.agg(*[(F.sum(F.col(c) * F.col("size")) / F.sum("size")).alias(c) for c in cols])
+        rows = wide.select(F.inline(F.array(*[
+            F.struct(F.lit(i + 1).alias("rank"), F.col(c).alias("share")) for i, c in enumerate(cols)])))
+        rows = rows.select(F.lit(variant).alias("variant"), "rank", r6("share").alias("share"))
+        out = rows if out is None else out.unionAll(rows)
+    return out
+
+
+@query("pca_check", _PROF + """
+SELECT round(sum(c::DOUBLE / n * (1 - c::DOUBLE / n)) * max(n) / (max(n) - 1), 6) AS total_variance
+FROM topr, (SELECT count(*) AS n FROM nem)
+""")
+def q_pca_check(spark, d):
+    """At full k the components' variances add up to the covariance's trace."""
+    feats, cols = onehot_features(spark, d)
+    full = C.pca_reduce(feats, len(cols)).select(F.posexplode(vector_to_array("pca_features")))
+    return (full.groupBy("pos").agg(F.var_samp("col").alias("v"))
+            .agg(F.round(F.sum("v"), 6).alias("total_variance")))
+
+
+@query("silhouette_onehot")
+def q_silhouette_onehot(spark, d):
+    """C3 on k-means over one-hot rows, many of them duplicates: the lazy form
+    beside the evaluator."""
+    feats, _ = onehot_features(spark, d)
+    pred = materialize(C.kmeans_assign(feats, K_CLUSTERS, SEED).select(
+        "features", "prediction", vector_to_array("features").alias("x")), "assigned")
+    lazy = C.silhouette(pred, "x", "prediction")
+    return lazy.withColumn("evaluator", F.lit(C.silhouette_evaluator(pred)))
+
+
 @query("cluster_centres_sparse")
 def q_centres_sparse(spark, d):
     """C1 + C5 on the sparse one-hot vector (the large-k path): centres as
@@ -130,10 +188,10 @@ def q_centres_sparse(spark, d):
 
 @query("cluster_compare")
 def q_compare(spark, d):
-    feats, _ = onehot_features(spark, d)
+    feats, cols = onehot_features(spark, d)
     rows = []
     for variant, data, fcol in (("onehot", feats, "features"),
-                                ("pca", C.pca_reduce(feats, PCA_K), "pca_features")):
+                                ("pca", C.pca_reduce(feats, min(PCA_K, len(cols))), "pca_features")):
         pred = C.kmeans_assign(data, K_CLUSTERS, SEED, features=fcol)
         sil = C.silhouette_evaluator(pred, fcol)
         prof = C.cluster_profile(pred, "prediction", "flag", {})
@@ -158,17 +216,37 @@ def q_rmse_baseline(spark, d):
     return R.rmse(r.join(means, "item")).select(r6("rmse").alias("rmse"))
 
 
+def _ratings(spark, d):
+    """Triples with dense int ids, written once."""
+    r = materialize(S.user_item_ratings(spark, d), "pairs")
+    r = R.dense_ids(R.dense_ids(r, "user", "user_no"), "item", "item_no")
+    return materialize(r, "ratings")
+
+
 @query("als_fit")
 def q_als_fit(spark, d):
-    r = materialize(S.user_item_ratings(spark, d), "ratings")
-    train, _, test = R.hash_split(r, ["user", "item"])
-    model = R.als_fit(train, 7, 0.2, 15)
-    return model.transform(test).select("user", "item", "rating", "prediction")
+    train, _, test = R.hash_split(_ratings(spark, d), ["user", "item"])
+    model = R.als_fit(train, 7, 0.2, 15, user="user_no", item="item_no")
+    return R.als_predict(model, test).select("user", "item", "rating", "prediction")
+
+
+@query("als_check", """
+WITH r AS (SELECT DISTINCT o_custkey AS u, l_partkey AS i FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
+b AS (SELECT *, ('0x' || substr(md5('42|' || u || '|' || i), 1, 8))::BIGINT % 100 AS b FROM r),
+t AS (SELECT * FROM b WHERE b < 60)
+SELECT count(*) AS pairs,
+       count(*) FILTER (u NOT IN (SELECT u FROM t) OR i NOT IN (SELECT i FROM t)) AS unscored
+FROM b WHERE b >= 80
+""")
+def q_als_check(spark, d):
+    """Every test pair is there, those of unknown users or items unscored."""
+    return q_als_fit(spark, d).agg(F.count(F.lit(1)).alias("pairs"),
+                                   F.count_if(F.col("prediction").isNull()).alias("unscored"))
 
 
 @query("als_grid")
 def q_als_grid(spark, d):
-    return R.als_grid(S.user_item_ratings(spark, d))
+    return R.als_grid(_ratings(spark, d), user="user_no", item="item_no")
 
 
 # --- decision trees ---------------------------------------------------------------
@@ -177,7 +255,47 @@ def q_als_grid(spark, d):
 def q_tree_classify(spark, d):
     rows = S.tree_rows(spark, d)
     model = D.tree_fit(rows, TREE_FEATURES, max_depth=5)
-    return model.transform(rows).select("doc_id", "label", "prediction")
+    return model.transform(S.tree_rows(spark, d, unlabelled=True)).select("doc_id", "label", "prediction")
+
+
+@query("tree_check", """
+WITH n AS (SELECT count(*) FILTER (quality = 0) AS bad, count(*) FILTER (quality = 1) AS good
+           FROM documents JOIN labels USING (doc_id))
+SELECT 'root' AS part, bad::DOUBLE AS bad, good::DOUBLE AS good FROM n
+UNION ALL SELECT 'leaves', bad, good FROM n
+""")
+def q_tree_check(spark, d):
+    """The root holds every training row, and so do the leaves."""
+    nodes = D.tree_nodes(D.tree_fit(S.tree_rows(spark, d), TREE_FEATURES), TREE_FEATURES)
+    counts = [F.sum(F.col("class_counts")[i]).alias(c) for i, c in enumerate(("bad", "good"))]
+    return (nodes.where("type = 'root'").groupBy(F.lit("root").alias("part")).agg(*counts)
+            .unionAll(nodes.where("is_prediction").groupBy(F.lit("leaves").alias("part")).agg(*counts)))
+
+
+@query("tree_scored", """
+SELECT doc_id, quality::DOUBLE AS label, true AS scored
+FROM documents LEFT JOIN labels USING (doc_id)
+""")
+def q_tree_scored(spark, d):
+    """Every document is scored, labelled or not."""
+    return q_tree_classify(spark, d).select("doc_id", "label", F.col("prediction").isNotNull().alias("scored"))
+
+
+@query("tree_categories", """
+SELECT source AS label, count(*)::DOUBLE AS root_count FROM documents
+WHERE source IS NOT NULL AND n_chars IS NOT NULL GROUP BY source
+""")
+def q_tree_categories(spark, d):
+    """D1 with its transformers: a string label and a string feature, indexed
+    in the pipeline; per label what the root counts."""
+    docs = load_table(spark, d, "documents").where("source IS NOT NULL AND n_chars IS NOT NULL").select(
+        "lang", "source", F.col("n_chars").cast("double").alias("n_chars"))
+    features = ["lang", "n_chars"]
+    model = D.tree_pipeline(features, "source", 4, categorical=["lang"], string_label=True).fit(docs)
+    names = F.array(*map(F.lit, D.label_names(model, "source")))
+    root = D.tree_nodes(model, features).where("type = 'root'")
+    return root.select(F.posexplode("class_counts").alias("i", "root_count")).select(
+        F.element_at(names, F.col("i") + 1).alias("label"), "root_count")
 
 
 @query("tree_tune")

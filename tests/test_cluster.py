@@ -23,6 +23,26 @@ def test_singleton_cluster_scores_zero(spark):
     assert lazy == pytest.approx(C.silhouette_evaluator(vec), abs=1e-12)
 
 
+def test_duplicate_points_score_as_the_evaluator_says(spark):
+    rows = [([0.0, 1.0], 0)] * 3 + [([0.0, 1.0], 1)] * 2 + [([1.0, 0.0], 2)] * 4 + [([1.0, 1.0], 3)]
+    df = spark.createDataFrame(rows, "x array<double>, c int")
+    vec = df.select(array_to_vector("x").alias("features"), F.col("c").cast("double").alias("prediction"))
+    lazy = C.silhouette(df, "x", "c").first()["silhouette"]
+    assert lazy == pytest.approx(C.silhouette_evaluator(vec), abs=1e-12)
+    same = spark.createDataFrame([([1.0], 0), ([1.0], 0), ([1.0], 1), ([1.0], 1)], "x array<double>, c int")
+    assert C.silhouette(same, "x", "c").first()["silhouette"] == 0.0
+
+
+def test_kmeans_assigns_the_nearest_centre(spark):
+    rows = [([float(i % 7), float(i % 5), float(i % 3)],) for i in range(200)]
+    df = spark.createDataFrame(rows, "x array<double>").select(array_to_vector("x").alias("features"), "x")
+    model = C.kmeans_fit(df, 6, 123)
+    centres = model.clusterCenters()
+    for r in model.transform(df).collect():
+        d = [sum((a - b) ** 2 for a, b in zip(r["x"], c)) for c in centres]
+        assert d[r["prediction"]] == pytest.approx(min(d), abs=1e-9)
+
+
 def test_kmeans_profile_equals_centres_and_sizes_sum(spark):
     rows = [([float(i % 3 == 0), float(i % 5 == 0), float(i % 2)], i % 4 == 0) for i in range(200)]
     df = spark.createDataFrame(rows, "x array<double>, flag boolean").select(

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import types as T
 
 from cascara.session import scratch_path
-from cascara.sources import PROFILE_SCHEMA, read_csv, read_text_lines, write_csv, write_text
+from cascara.sources import PROFILE_SCHEMA, read_csv, read_fields, read_text_lines, write_csv, write_text
 
 
 def test_text_sink_refuses_existing_path(spark):
@@ -14,6 +14,29 @@ def test_text_sink_refuses_existing_path(spark):
         write_text(df, path)
 
 
+def test_text_sink_is_lossless(spark):
+    rows = [("a\tb", 1), ("x\ny\r", 2), ("\\t\\N", 3), ("\\", None), (None, 4), ("", 5), ("\\s\\n", 6)]
+    path = scratch_path(spark, "t")
+    write_text(spark.createDataFrame(rows, "k string, n int"), path)
+    back = read_fields(spark, path, "k string, n int").collect()
+    assert sorted(map(tuple, back), key=str) == sorted(rows, key=str)
+
+
+def test_scratch_scope_removes_what_it_made(spark):
+    import os
+
+    from cascara.session import materialize, scratch_scope
+
+    with scratch_scope(spark):
+        path = scratch_path(spark, "kept-until-the-end")
+        spark.range(3).write.parquet(path)
+        assert materialize(spark.range(2), "more").count() == 2 and os.path.exists(path)
+        folder = os.path.dirname(path)
+        inside = set(os.listdir(folder))
+    left = set(os.listdir(folder))
+    assert os.path.basename(path) not in left and len(inside - left) == 2
+
+
 def test_csv_declared_schema_nullable_and_decimals(spark, tmp_path):
     p = tmp_path / "profile.csv"
     header = ",".join(PROFILE_SCHEMA.fieldNames())

@@ -51,7 +51,7 @@ def test_stored_size_and_array_length_agree_on_stand_in(spark):
 
 
 def test_sparse_one_hot_equals_wide_columns(spark):
-    df = spark.createDataFrame([(["a", "b", "a"],), (["c"],), ([],), (["d", "b"],)],
+    df = spark.createDataFrame([(["a", "b", "a"],), (["c"],), ([],), (["d", "b"],), (None,)],
                                "items array<string>")
     names = ["b", "a", "c"]
     wide = E.assemble(E.one_hot_items(df, "items", names, "p_"), [f"p_{n}" for n in names], "w")
