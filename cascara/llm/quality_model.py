@@ -195,8 +195,8 @@ def _features(docs: DataFrame, text_col: str, source_col: str, lang_col: str, ch
 
 def fit_model(docs: DataFrame, labels: DataFrame, good, id_col: str = "doc_id",
               text_col: str = "text", source_col: str = "source", lang_col: str = "lang",
-              chars_col: str = "n_chars", max_labelled: int = 12_000, max_pool: int = 6_000,
-              max_tokens: int = 4_000, least: int = 5, z: float = 4.0, rounds: int = 3,
+              chars_col: str = "n_chars", max_labelled: int = 20_000, max_pool: int = 8_000,
+              max_tokens: int = 4_000, least: int = 4, z: float = 3.0, rounds: int = 3,
               grow: int = 500, sure: float = 0.97) -> Model | None:
     """None if the labels hold no good or no bad document."""
     order = F.md5(F.concat(F.col("_id").cast("string"), F.lit(":co-training")))
