@@ -113,10 +113,9 @@ def _prepared(baskets: DataFrame, items: str | Column, key: str | None, t_item:
     return ranked, materialize(sigs, "signatures")
 
 
-def _extend(occ: DataFrame, tails: DataFrame) -> DataFrame:
-    """Occurrences (sid, p, set, n) by every later rank of their signature."""
-    longer = occ.join(tails, ["sid", "p"]).select(
-        "sid", "n", "p", "set", F.posexplode("tail").alias("q", "r"))
+def _extend(occ: DataFrame) -> DataFrame:
+    """Occurrences (sid, p, set, n, tail) by every rank of their tail."""
+    longer = occ.select("sid", "n", "p", "set", F.posexplode("tail").alias("q", "r"))
     return longer.select("sid", (F.col("p") + F.col("q") + 1).alias("p"), "n",
                          F.concat("set", F.array("r")).alias("set"))
 
@@ -148,13 +147,14 @@ def frequent_itemsets(
         sigs.select("sid", "n", F.posexplode("sig").alias("p", "r"), "sig")
         .select("sid", "p", "n", "r", F.slice("sig", F.col("p") + 2, F.size("sig")).alias("tail"))
         .repartition("sid", "p"), "tails")
-    occ = tails.select("sid", "p", "n", F.array("r").alias("set"))
-    tails = tails.select("sid", "p", "tail").where(F.size("tail") > 0)
+    tails = tails.where(F.size("tail") > 0)
+    occ = tails.select("sid", "p", "n", F.array("r").alias("set"), "tail")
+    tails = tails.select("sid", "p", "tail")
     begun = None if start is None else materialize(_ranks_of(start, ranked), "start")
     begun_at = 0 if start is None else (begun.agg(F.max(F.size("set"))).first()[0] or max_len)
     levels = []
     for level in range(2, max_len + 1):
-        ext = _extend(occ, tails)
+        ext = _extend(occ)
         if level < begun_at:  # only what a saved set begins with
             found = begun.select(F.slice("set", 1, level).alias("set")).distinct()
         elif level == begun_at:
@@ -167,6 +167,7 @@ def frequent_itemsets(
         if level == max_len or (level > begun_at and found.isEmpty()):
             break
         occ = materialize(ext.join(found.select("set"), "set", "left_semi"), f"occ{level}")
+        occ = occ.join(tails, ["sid", "p"])
     return _label(spark, levels, ranked)
 
 
