@@ -37,7 +37,7 @@ from cascara.llm.common import load_table, map_rows, materialize, query, text_or
 _LAST = (1 << 63) - 1
 _Q = 0x9E3779B97F4A7C15
 _P = pow(_Q, -1, 1 << 64)
-_SEGMENT = "anchor long, segment long, size int, doc long, copy int, place long"
+_SEGMENT = "anchor long, segment long, size int, doc long, copy long, place long"
 _RUNS = "anchor long, segment long, size int, runs array<struct<first:int,last:int,doc:long>>"
 
 
@@ -232,7 +232,7 @@ def remove_repeats(docs: DataFrame, window: int = 50, gram: int = 12, id_col: st
     docs = docs.drop("n_words", "n_removed", "spans", "kept")
     rank = F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST))
     text = text_or_empty(text_col)
-    rows = docs.select(rank.alias("_doc"), F.hash(text).alias("_copy"), text.alias("_text"))
+    rows = docs.select(rank.alias("_doc"), F.xxhash64(text).alias("_copy"), text.alias("_text"))
 
     def cut(batch):
         parts = []
@@ -242,7 +242,7 @@ def remove_repeats(docs: DataFrame, window: int = 50, gram: int = 12, id_col: st
                 anchor, segment, place, size = segments(word_hashes(words), window, gram)
                 n = len(anchor)
                 parts.append((anchor, segment, size.astype(np.int32), np.full(n, doc),
-                              np.full(n, copy, dtype=np.int32), place))
+                              np.full(n, copy), place))
         if parts:
             yield dict(zip(("anchor", "segment", "size", "doc", "copy", "place"),
                            map(np.concatenate, zip(*parts))))
@@ -257,7 +257,7 @@ def remove_repeats(docs: DataFrame, window: int = 50, gram: int = 12, id_col: st
                  .alias("_spans")))
     names = docs.columns
     joined = (docs.select(F.struct(*names).alias("row"), rank.alias("_doc"),
-                          F.hash(text).alias("_copy"), text.alias("_text"))
+                          F.xxhash64(text).alias("_copy"), text.alias("_text"))
               .join(hits, ["_doc", "_copy"], "left").select("row", "_text", "_spans"))
 
     def apply(batch):
