@@ -50,5 +50,10 @@ def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[dict | pa.Re
     return df.mapInArrow(run, struct)
 
 
+def hidden(name: str) -> str:
+    """A column name of our own beside the columns of any table."""
+    return f"__cascara_{name}"
+
+
 def text_or_empty(col: str = "text"):
     return F.coalesce(F.col(col).cast("string"), F.lit(""))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cascara.llm.common import load_table, materialize, query
+from cascara.llm.common import hidden, load_table, materialize, query
 
 # The white space that does not count at a line's ends.
 _BLANK = "\x20\x09\x0a\x0b\x0c\x0d"
@@ -68,26 +68,28 @@ def remove_common_lines(docs: DataFrame, min_sites: int, lg_k: int = 9, id_col:
     empty result.
     """
     common = common_lines(docs, min_sites, lg_k, text_col, site_col)
+    row_name, drop_name, kept_name = map(hidden, ("row", "drop", "kept"))
     text = F.col(text_col)
     row = F.struct(F.col(id_col).alias("id"), F.xxhash64(text).alias("h"))
-    drop = (docs.select(row.alias("_row"), F.explode(F.array_distinct(F.transform(_lines(text), _key))).alias("k"))
+    drop = (docs.select(row.alias(row_name), F.explode(F.array_distinct(F.transform(_lines(text), _key))).alias("k"))
             .where("k IS NOT NULL").join(common.select(F.struct("a", "b").alias("k")), "k")
-            .groupBy("_row").agg(F.collect_set("k").alias("_drop")))
-    keyed = docs.drop("n_lines", "n_removed").withColumn("_row", row)
-    joined = keyed.join(drop, keyed["_row"].eqNullSafe(drop["_row"]), "left").drop(drop["_row"])
+            .groupBy(row_name).agg(F.collect_set("k").alias(drop_name)))
+    keyed = docs.drop("n_lines", "n_removed").withColumn(row_name, row)
+    joined = (keyed.join(drop, keyed[row_name].eqNullSafe(drop[row_name]), "left")
+              .drop(drop[row_name]))
     lines = F.transform(_lines(text), lambda x: F.struct(x.alias("line"), _key(x).alias("k")))
-    gone = F.coalesce(F.col("_drop"), F.array().cast("array<struct<a:bigint,b:bigint>>"))
+    gone = F.coalesce(F.col(drop_name), F.array().cast("array<struct<a:bigint,b:bigint>>"))
     kept = F.filter(lines, lambda x: x["k"].isNull() | ~F.array_contains(gone, x["k"]))
-    has_drop = F.col("_drop").isNotNull()
+    has_drop = F.col(drop_name).isNotNull()
     return (joined
             .withColumns({
                 "n_lines": F.size(F.filter(_lines(text), lambda x: _trim(x) != "")).cast("long"),
-                "_kept": F.when(has_drop, F.transform(kept, lambda x: x["line"]))})
+                kept_name: F.when(has_drop, F.transform(kept, lambda x: x["line"]))})
             .withColumns({
-                "n_removed": F.when(has_drop, F.size(_lines(text)) - F.size("_kept"))
+                "n_removed": F.when(has_drop, F.size(_lines(text)) - F.size(kept_name))
                 .otherwise(0).cast("long"),
-                text_col: F.when(has_drop, F.array_join("_kept", "\n")).otherwise(text)})
-            .drop("_row", "_drop", "_kept"))
+                text_col: F.when(has_drop, F.array_join(kept_name, "\n")).otherwise(text)})
+            .drop(row_name, drop_name, kept_name))
 
 
 MIN_SITES = 5

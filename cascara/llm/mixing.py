@@ -3,17 +3,21 @@
 Words are summed per source, the whole is shared out by weight, no source
 beyond ``max_repeat`` times its size, and each document is emitted
 floor(rate) times plus once more if a hash of its id falls below the fraction.
+Each source rotates its documents' hashes so that what it takes is near its target.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cascara.llm.common import WORD, load_table, materialize, query
+from cascara.llm.common import WORD, hidden, load_table, materialize, query, text_or_empty
 
 #: Targets are broadcast up to this many sources (under 8 MB), else joined.
 BROADCAST_SOURCES = 100_000
+#: Rotations tried for each source, by equal parts of the draws' range.
+SHIFTS = 32
+_RANGE = 1 << 32
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...], max_repeat: int) -> DataFrame:
@@ -50,31 +54,61 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...], max_repeat: int)
                    / F.col("level.wleft").cast("double")).alias("target"))
 
 
+def _copies(draw: Column, shift: Column, target: Column, source_size: Column) -> Column:
+    """floor(rate), and one more if the shifted draw is below the fraction."""
+    rate = F.when(source_size > 0, target / source_size).otherwise(F.lit(0.0))
+    place = F.pmod(draw + shift.cast("long") * (_RANGE // SHIFTS), F.lit(_RANGE)) / F.lit(_RANGE).cast("double")
+    return F.floor(rate) + (place < rate - F.floor(rate)).cast("long")
+
+
+def with_shifts(rows: DataFrame, targets: DataFrame) -> DataFrame:
+    """``targets`` plus shift: of ``SHIFTS`` rotations of the draws the one by
+    which a source takes nearest to its target; the least of equal ones.
+    ``rows``: (_source, draw, size). Totals are combined before the shuffle."""
+    tried = (rows.join(targets, F.col("source").eqNullSafe(F.col("_source")))
+             .withColumn("shift", F.explode(F.sequence(F.lit(0), F.lit(SHIFTS - 1)))))
+    taken = F.col("size") * _copies(F.col("draw"), F.col("shift"), F.col("target"), F.col("source_size"))
+    keys = ["source", "source_size", "target"]
+    return (tried.groupBy(*keys, "shift").agg(F.sum(taken).alias("taken"))
+            .groupBy(*keys).agg(F.min(F.struct(F.abs(F.col("taken") - F.col("target")).alias("miss"),
+                                               "shift")).alias("best"))
+            .select(*keys, F.col("best.shift").alias("shift")))
+
+
 def mix_plan(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), max_repeat: int = 3,
              seed: int = 8, id_col: str = "doc_id", text_col: str = "text",
              source_col: str = "source") -> DataFrame:
     """``docs`` plus size, source_size, target and copies.
 
+    Every document draws a number by the hash of its id and the seed. A source
+    of few or very uneven documents can miss its target by far with any one
+    seed, so each source rotates its draws by the shift that comes nearest.
+
     A null text has size 0; a null source is a source, ordered last; a source
-    without words has target 0. Repeated rows draw the same number: the draw
-    depends on the id and the seed alone, so reruns agree. Columns named like
-    the results are replaced. An empty table gives an empty result.
+    without words has target 0. Repeated rows draw the same number, and rows
+    without an id draw by their text, so reruns agree. Columns named like the
+    results are replaced. An empty table gives an empty result.
     """
     size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
-    sizes = (docs.select(F.col(source_col).alias("source"), size.alias("n"))
-             .groupBy("source").agg(F.sum("n").alias("source_size")))
+    key = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("null"), F.md5(text_or_empty(text_col))))
+    draw = F.conv(F.substring(F.md5(F.concat(key, F.lit(f":{seed}"))), 1, 8), 16, 10).cast("long")
+    rows = materialize(docs.select(F.col(source_col).alias("_source"), draw.alias("draw"),
+                                   size.alias("size")), "mix-draws")
+    sizes = rows.groupBy(F.col("_source").alias("source")).agg(F.sum("size").alias("source_size"))
     targets = materialize(source_targets(materialize(sizes, "source-sizes"), weights, max_repeat),
                           "mix-targets")
-    if targets.count() <= BROADCAST_SOURCES:
+    few = targets.count() <= BROADCAST_SOURCES
+    targets = materialize(with_shifts(rows, F.broadcast(targets) if few else targets), "mix-shifts")
+    names = {c: hidden(c) for c in targets.columns}
+    targets = targets.withColumnsRenamed(names)
+    if few:
         targets = F.broadcast(targets)
-    targets = targets.withColumnRenamed("source", "_source")
-    rows = docs.drop("size", "source_size", "target", "copies").withColumn("size", size)
-    draw = F.conv(F.substring(F.md5(F.concat(
-        F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.lit(f":{seed}"))), 1, 8),
-        16, 10).cast("long") / F.lit(2 ** 32).cast("double")
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    return (rows.join(targets, F.col(source_col).eqNullSafe(F.col("_source"))).drop("_source")
-            .withColumn("copies", (F.floor(rate) + (draw < rate - F.floor(rate)).cast("long"))))
+    source, source_size, target, shift = map(F.col, names.values())
+    return (docs.drop("size", "source_size", "target", "copies")
+            .join(targets, F.col(source_col).eqNullSafe(source))
+            .withColumns({"size": size, "source_size": source_size, "target": target,
+                          "copies": _copies(draw, shift, target, source_size)})
+            .drop(*names.values()))
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
@@ -85,9 +119,9 @@ def mix(docs: DataFrame, **options) -> DataFrame:
             .drop("size", "source_size", "target", "copies"))
 
 
-_SQL = r"""
+_SQL = rf"""
 WITH d AS (
-  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size
+  SELECT doc_id, source, text, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size
   FROM documents
 ), s AS (
   SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source
@@ -107,14 +141,21 @@ WITH d AS (
          CASE WHEN is_full OR wl IS NULL THEN cap::DOUBLE ELSE (l * w)::DOUBLE / wl::DOUBLE END AS target
   FROM q LEFT JOIN lv ON true
 ), r AS (
-  SELECT doc_id, size, source_size, target,
+  SELECT doc_id, d.source, size, source_size, target,
          CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0::DOUBLE END AS rate,
-         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null') || ':8'), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS draw
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null' || md5(coalesce(text, ''))) || ':8'), 1, 8))::BIGINT AS draw
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+), a AS (
+  SELECT *, (size * (floor(rate) + ((draw + shift * {_RANGE // SHIFTS}) % {_RANGE} / {_RANGE}::DOUBLE
+                                    < rate - floor(rate))::INT))::BIGINT AS taken
+  FROM r, range({SHIFTS}) AS g(shift)
+), b AS (
+  SELECT source, shift FROM a GROUP BY source, shift
+  QUALIFY row_number() OVER (PARTITION BY source
+                             ORDER BY abs(sum(taken)::BIGINT - any_value(target)), shift) = 1
 )
-SELECT doc_id, size, source_size, target,
-       (size * (floor(rate) + (draw < rate - floor(rate))::INT))::BIGINT AS taken
-FROM r
+SELECT doc_id, size, source_size, target, taken
+FROM a JOIN b ON a.source IS NOT DISTINCT FROM b.source AND a.shift = b.shift
 """
 
 

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cascara.llm.common import load_table, map_rows, materialize, query
+from cascara.llm.common import hidden, load_table, map_rows, materialize, query
 
 #: Cutoffs are broadcast up to this many strata (under 8 MB), else joined.
 BROADCAST_STRATA = 50_000
@@ -75,8 +75,8 @@ def base_counts(text: str | None) -> tuple[int, ...]:
 
 def text_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` without the text, with the base counts."""
-    rest = [c for c in docs.columns if c not in (text_col, *_COUNTS, "row")]
-    packed = docs.select(F.struct(F.lit(True).alias("_"), *rest).alias("row"),
+    rest = [c for c in docs.columns if c not in (text_col, *_COUNTS)]
+    packed = docs.select(F.struct(F.lit(True).alias(hidden("row")), *rest).alias("row"),
                          F.col(text_col).alias("text"))
 
     def run(batch):
@@ -175,20 +175,22 @@ def judge(docs: DataFrame, labels: DataFrame, stratum_col: str = "lang", id_col:
     known = (labels.select(F.col(id_col).alias("_id"), F.col(good_col).alias("_good"))
              .where("_id IS NOT NULL AND _good IS NOT NULL")
              .groupBy("_id").agg((F.min("_good") == 1).alias("good")))
-    holdout = (counts.where(~F.col("base_failed")).join(known, F.col(id_col) == F.col("_id"))
-               .select(F.col(stratum_col).alias("stratum"), "good", *_COUNTS))
+    holdout = (counts.where(~F.col("base_failed"))
+               .select(F.col(id_col).alias("_id"), F.col(stratum_col).alias("stratum"), *_COUNTS)
+               .join(known, "_id").select("stratum", "good", *_COUNTS))
     cutoffs = fit_cutoffs(materialize(holdout, "holdout"), alpha, delta, cost)
+    stratum, limits = hidden("stratum"), hidden("cutoffs")
     cutoffs = materialize(
-        cutoffs.groupBy(F.col("stratum").alias("_stratum"))
-        .agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("_cutoffs")),
+        cutoffs.groupBy(F.col("stratum").alias(stratum))
+        .agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias(limits)),
         "cutoffs")  # a map of len(RULES) entries at most
     if cutoffs.count() <= BROADCAST_STRATA:
         cutoffs = F.broadcast(cutoffs)
     broken = F.array_compact(F.array(*[
-        F.when(F.expr(value) > F.try_element_at("_cutoffs", F.lit(r)), F.lit(r))
+        F.when(F.expr(value) > F.try_element_at(limits, F.lit(r)), F.lit(r))
         for r, (value, _) in sorted(RULES.items())]))
-    return (counts.join(cutoffs, F.col(stratum_col).eqNullSafe(F.col("_stratum")), "left")
-            .withColumn("broken", broken).drop("_stratum", "_cutoffs")
+    return (counts.join(cutoffs, F.col(stratum_col).eqNullSafe(F.col(stratum)), "left")
+            .withColumn("broken", broken).drop(stratum, limits)
             .withColumn("kept", ~F.col("base_failed") & (F.size("broken") == 0)))
 
 

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cascara.llm.common import load_table, map_rows, materialize, query
+from cascara.llm.common import hidden, load_table, map_rows, materialize, query
 from cascara.llm.components import components
 from cascara.llm.golay import near
 
@@ -129,13 +129,13 @@ def one_of_each(docs: DataFrame, shingle: int = 3, max_bits: int = 3, seed: int
     """One row of ``docs`` for each group of near-duplicates: that of the
     smallest doc_id (nulls last; of several texts the one of least hash, of
     repeated rows one)."""
-    groups = near_duplicates(docs, shingle, max_bits, seed, id_col, text_col)
+    groups, key = near_duplicates(docs, shingle, max_bits, seed, id_col, text_col), hidden("key")
     keep = (groups.groupBy("root")
-            .agg(F.min(F.struct(F.col("doc_id").isNull(), F.struct("doc_id", "text_hash").alias("_key")))
-                 .alias("least")).select("least._key"))
-    keyed = docs.withColumn("_key", F.struct(F.col(id_col).alias("doc_id"),
+            .agg(F.min(F.struct(F.col("doc_id").isNull(), F.struct("doc_id", "text_hash").alias(key)))
+                 .alias("least")).select(f"least.{key}"))
+    keyed = docs.withColumn(key, F.struct(F.col(id_col).alias("doc_id"),
                                              F.xxhash64(text_col).alias("text_hash")))
-    return keyed.join(keep, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")
+    return keyed.join(keep, key, "left_semi").dropDuplicates([key]).drop(key)
 
 
 @query("op6_simhash_groups")

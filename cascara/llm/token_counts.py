@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cascara.llm.common import load_table, map_rows, materialize, query, scratch_path, text_or_empty
+from cascara.llm.common import hidden, load_table, map_rows, materialize, query, scratch_path, text_or_empty
 from cascara.llm.encode import default_tokenizer, encoder, in_slices, tokenizer_digest
 
 _CACHE = "content binary, n_tokens long"
@@ -57,13 +57,14 @@ def token_counts(docs: DataFrame, cache_path: str, tokenizer: str | None = None,
     folder = _cache(spark, cache_path, tokenizer)
     add_missing(docs, folder, tokenizer, text_col)
     # Two writers may both have appended a content: one row per key.
+    content = hidden("content")
     counts = materialize(spark.read.schema(_CACHE).parquet(folder)
-                         .groupBy(F.col("content").alias("_content"))
+                         .groupBy(F.col("content").alias(content))
                          .agg(F.max("n_tokens").alias("n_tokens")), "token-counts")
     text = text_or_empty(text_col)
     return (docs.withColumns({"n_bytes": F.octet_length(text).cast("long"),
-                              "_content": F.unhex(F.sha2(text, 256))})
-            .drop("n_tokens").join(counts, "_content").drop("_content"))
+                              content: F.unhex(F.sha2(text, 256))})
+            .drop("n_tokens").join(counts, content).drop(content))
 
 
 @query("op1_token_counts")

@@ -3,13 +3,15 @@
 import pytest
 from pyspark.sql import types as T
 
+CLASHING = ["row", "n_words", "size", "content", "target", "shift", "stratum", "good", "k", "line", "fp",
+            "root", "y", "_", "_content", "_copy", "_cutoffs", "_doc", "_drop", "_id", "_kept", "_key",
+            "_row", "_source", "_spans", "_stratum", "_text"]
 DOCS = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
     T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()),
     T.StructField("n_chars", T.LongType()),
     # Names that results or helpers also use.
-    T.StructField("row", T.StringType()), T.StructField("n_words", T.StringType()),
-    T.StructField("size", T.StringType()), T.StructField("content", T.StringType()),
+    *(T.StructField(c, T.StringType()) for c in CLASHING),
 ])
 
 _LONG = " ".join(f"w{i % 977}x{i % 13}" for i in range(60_000))
@@ -32,7 +34,7 @@ TEXTS = [
 @pytest.fixture(scope="session")
 def docs(spark):
     return spark.createDataFrame(
-        [(*r, len(r[1] or ""), "x", "y", "z", "q") for r in TEXTS], DOCS).repartition(3)
+        [(*r, len(r[1] or ""), *CLASHING) for r in TEXTS], DOCS).repartition(3)
 
 
 @pytest.fixture(scope="session")

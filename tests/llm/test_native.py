@@ -106,11 +106,11 @@ def test_targets_and_copies(spark, docs, no_docs):
             assert rate - 1 < r["copies"] < rate + 1 and r["copies"] <= 3
             taken[r["source"]] += r["copies"] * r["size"]
         copies = mix(df)
-        assert copies.columns[:len(set(df.columns) - {"size"})] == [c for c in df.columns if c != "size"]
+        assert copies.columns == [c for c in df.columns if c not in ("size", "target")] + ["copy"]
         assert copies.count() == sum(r["copies"] for r in rows)
         if df is uneven:
             for s, t in want.items():
-                assert abs(taken[s] - t) <= max(0.2 * t, 20)
+                assert abs(taken[s] - t) <= max(0.02 * t, 20)
         assert sorted(map(str, mix_plan(df).collect())) == sorted(map(str, rows))
     assert mix(no_docs).count() == 0
 
