@@ -21,6 +21,9 @@ ORACLE: dict[str, str] = {}
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: What a Python worker unpacks at once: part of a batch, at least one row.
+PART_BYTES = 4 << 20
+
 
 def query(name: str, sql: str | None = None):
     """Register a query; ``sql`` is its DuckDB equivalent, where there is one."""
@@ -36,14 +39,16 @@ def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[dict | pa.Re
              schema: str) -> DataFrame:
     """``mapInArrow`` for a function that turns a batch into column dicts.
 
-    ``fn`` sees one Arrow batch at a time, so memory is bounded by the batch."""
+    ``fn`` sees ``PART_BYTES`` of an Arrow batch at a time, so what it unpacks
+    is bounded in bytes however many rows a batch has."""
     struct = T._parse_datatype_string(schema)
     arrow = to_arrow_schema(struct)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                for out in fn(batch):
+            step = max(1, batch.num_rows * PART_BYTES // max(1, batch.nbytes))
+            for at in range(0, batch.num_rows, step):
+                for out in fn(batch.slice(at, step)):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
 
