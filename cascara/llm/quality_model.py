@@ -4,7 +4,9 @@ Two views of a document, its words (content) and the page around them (source,
 language, size, layout), each get a logistic model on binary tokens. Fitted on
 labelled documents, either model labels the unlabelled ones it is sure of for
 the other, over some rounds. Both are calibrated on labelled documents they
-have not seen, combined there, and score every document.
+have not seen, combined there, and score every document. A few words make a
+document toxic, so a model of its own looks for them. Both cutoffs are chosen on
+the unseen labelled documents, by the share of good ones they may cost.
 
 Fitting takes a bounded sample (``max_labelled`` and ``max_pool`` documents, by
 the hash of their id); the features are screened by counts that Spark
@@ -120,10 +122,20 @@ class Model:
     views: dict[str, Logistic]
     lines: dict[str, np.ndarray]  # calibration of each view
     blend: np.ndarray
+    reject_below: float
+    toxic: Logistic | None  # on tokens["toxic"] of the content view
+    toxic_line: np.ndarray
+    toxic_above: float
 
     def numbers(self, view: str, tokens: list[int]) -> np.ndarray:
         return numbers(self.tokens[view], tokens)
 
+    def toxicity(self, content: list[list[int]]) -> np.ndarray:
+        if self.toxic is None:
+            return np.zeros(len(content))
+        z = self.toxic.margin([self.numbers("toxic", t) for t in content])
+        return _sigmoid(z * self.toxic_line[0] + self.toxic_line[1])
+
     def score(self, x: dict[str, list[np.ndarray]]):
         z = {v: self.views[v].margin(x[v]) * self.lines[v][0] + self.lines[v][1] for v in VIEWS}
         both = np.column_stack([z[v] for v in VIEWS])
@@ -131,6 +143,15 @@ class Model:
                 "score": _sigmoid(both @ self.blend[:-1] + self.blend[-1])}
 
 
+def cutoff(scores: np.ndarray, limit: float, unknown: float = 0.5) -> float:
+    """The highest cutoff by which a good document, drawn like those of
+    ``scores``, falls below it with a chance of at most ``limit``: the k-th least
+    score of n, as the chance is at most k / (n + 1). ``unknown`` if there are
+    too few scores to tell."""
+    k = int(limit * (len(scores) + 1) + 1e-9)
+    return float(np.sort(scores)[k - 1].round(6)) if k else unknown
+
+
 def numbers(lexicon: np.ndarray, tokens: list[int]) -> np.ndarray:
     """Positions in the sorted lexicon of those tokens that it has."""
     t = np.unique(np.array(tokens, dtype=np.int64))
@@ -193,19 +214,21 @@ def _features(docs: DataFrame, text_col: str, source_col: str, lang_col: str, ch
             F.col(lang_col).cast("string").alias("_lang"), F.col(chars_col).cast("long").alias("_n_chars"))
 
 
-def fit_model(docs: DataFrame, labels: DataFrame, good, id_col: str = "doc_id",
+def fit_model(docs: DataFrame, labels: DataFrame, good, toxic, id_col: str = "doc_id",
               text_col: str = "text", source_col: str = "source", lang_col: str = "lang",
               chars_col: str = "n_chars", max_labelled: int = 20_000, max_pool: int = 8_000,
               max_tokens: int = 4_000, least: int = 4, z: float = 3.0, rounds: int = 3,
-              grow: int = 500, sure: float = 0.97) -> Model | None:
+              grow: int = 500, sure: float = 0.97, good_loss: float = 0.01) -> Model | None:
     """None if the labels hold no good or no bad document."""
     order = F.md5(F.concat(F.col("_id").cast("string"), F.lit(":co-training")))
-    known = (labels.select(F.col(id_col).alias("_id"), good.cast("int").alias("y"))
-             .where("_id IS NOT NULL AND y IS NOT NULL").groupBy("_id").agg(F.min("y").alias("y")))
+    known = (labels.select(F.col(id_col).alias("_id"), good.cast("int").alias("y"),
+                           F.coalesce(toxic.cast("int"), F.lit(0)).alias("toxic"))
+             .where("_id IS NOT NULL AND y IS NOT NULL")
+             .groupBy("_id").agg(F.min("y").alias("y"), F.max("toxic").alias("toxic")))
     ids = docs.select(F.col(id_col).alias("_id")).where("_id IS NOT NULL").distinct()
     labelled = (known.join(ids, "_id").withColumn("h", order).orderBy("h", "_id").limit(max_labelled))
     pool = (ids.join(known, "_id", "left_anti").withColumn("h", order).orderBy("h", "_id")
-            .limit(max_pool).select("_id", F.lit(None).cast("int").alias("y"), "h"))
+            .limit(max_pool).select("_id", *(F.lit(None).cast("int").alias(c) for c in ("y", "toxic")), "h"))
     part = F.when(F.col("y").isNull(), "pool").when(F.conv(F.substring("h", -4, 4), 16, 10) % 10 < 7, "train").otherwise("held")
     chosen = materialize(labelled.unionAll(pool).withColumn("part", part), "sample-ids")
     # At most max_labelled + max_pool ids: under 2 MB.
@@ -213,21 +236,24 @@ def fit_model(docs: DataFrame, labels: DataFrame, good, id_col: str = "doc_id",
             .join(F.broadcast(chosen), "_id").dropDuplicates(["_id"]))
 
     def tokens(batch):
-        yield {"h": batch["h"], "y": batch["y"], "part": batch["part"], **_tokens(batch)}
+        yield {**{c: batch[c] for c in ("h", "y", "toxic", "part")}, **_tokens(batch)}
 
-    sample = materialize(map_rows(rows, tokens, "h string, y int, part string, content array<long>, "
+    sample = materialize(map_rows(rows, tokens, "h string, y int, toxic int, part string, content array<long>, "
                                                 "layout array<long>"), "sample")
     lex = {v: lexicon(sample, v, max_tokens, least, z) for v in VIEWS}
-    known_tokens = {v: lex[v] for v in VIEWS}
+    lex["toxic"] = lexicon(sample.select("part", F.col("toxic").alias("y"), "content"), "content",
+                           max_tokens, least, z)
+    places = {"content": "content", "layout": "layout", "toxic": "content"}
 
     def pick(batch):
-        yield {"h": batch["h"], "y": batch["y"], "part": batch["part"], **{
-            v: [numbers(known_tokens[v], t) for t in batch[v].to_pylist()] for v in VIEWS}}
+        yield {**{c: batch[c] for c in ("h", "y", "part")}, "bad": batch["toxic"], **{
+            v: [numbers(lex[v], t) for t in batch[c].to_pylist()] for v, c in places.items()}}
 
-    got = map_rows(sample, pick, "h string, y int, part string, content array<int>, layout array<int>")
+    got = map_rows(sample, pick, "h string, y int, bad int, part string, content array<int>, "
+                                 "layout array<int>, toxic array<int>")
     got = got.toPandas().sort_values("h", kind="stable")
     parts = {p: got[got["part"] == p] for p in ("train", "held", "pool")}
-    x = {p: {v: [np.asarray(a, dtype=np.int64) for a in t[v]] for v in VIEWS} for p, t in parts.items()}
+    x = {p: {v: [np.asarray(a, dtype=np.int64) for a in t[v]] for v in places} for p, t in parts.items()}
     y = {p: t["y"].to_numpy(dtype=float) for p, t in parts.items()}
     if len(set(y["train"])) < 2:
         return None
@@ -236,16 +262,33 @@ def fit_model(docs: DataFrame, labels: DataFrame, good, id_col: str = "doc_id",
     held = "held" if len(set(y["held"])) == 2 else "train"
     lines = {v: _line(views[v].margin(x[held][v])[:, None], y[held]) for v in VIEWS}
     z_held = np.column_stack([views[v].margin(x[held][v]) * lines[v][0] + lines[v][1] for v in VIEWS])
-    return Model(lex, views, lines, _line(z_held, y[held]))
-
-
-def classify(docs: DataFrame, labels: DataFrame, good=None, reject_below: float = 0.5,
-             id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+    model = Model(lex, views, lines, _line(z_held, y[held]), reject_below=0.5,
+                  toxic=None, toxic_line=np.array([1.0, 0.0]), toxic_above=0.5)
+    bad = {p: t["bad"].to_numpy(dtype=float) for p, t in parts.items()}
+    if len(set(bad["train"])) == 2 and len(set(bad[held])) == 2:
+        model.toxic = Logistic(len(lex["toxic"])).fit(x["train"]["toxic"], bad["train"])
+        margin = model.toxic.margin(x[held]["toxic"])
+        model.toxic_line = _line(margin[:, None], bad[held])
+        p = _sigmoid(margin * model.toxic_line[0] + model.toxic_line[1])
+        if held == "held":
+            model.toxic_above = 1 - cutoff(1 - p[y[held] == 1], good_loss / 2)
+    if held == "held":
+        model.reject_below = cutoff(model.score(x[held])["score"][y[held] == 1], good_loss / 2)
+    return model
+
+
+def classify(docs: DataFrame, labels: DataFrame, good=None, reject_below: float | None = None,
+             toxic=None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
              lang_col: str = "lang", chars_col: str = "n_chars", **options) -> DataFrame:
-    """``docs`` plus p_content, p_layout, score (the chance to be good, six
-    places) and rejected (score < ``reject_below``).
-
-    ``good`` is the label expression (default: quality is 1 and toxic is not).
+    """``docs`` plus p_content, p_layout, score (the chance to be good), p_toxic
+    (six places each) and rejected: score under one cutoff or p_toxic over another.
+
+    ``good`` is the label expression (default: quality is 1 and toxic is not),
+    ``toxic`` that of p_toxic (default: toxic is 1; none beside a ``good`` of the
+    caller's). Either cutoff is the strictest by which a good document is lost
+    with a chance of at most half of ``good_loss`` (0.01), as measured on the
+    labelled documents that calibrate; with too few good ones there (under 199
+    at 0.01) it is 0.5. ``reject_below`` sets the score's cutoff instead.
     A document with several labels is good if all say so; null labels are no
     labels. A null text is empty, a null source, language or size a value of
     its own. Repeated rows get equal scores. If the labels do not hold both
@@ -254,11 +297,13 @@ def classify(docs: DataFrame, labels: DataFrame, good=None, reject_below: float
     """
     if good is None:
         good = (F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)
-    docs = docs.drop("p_content", "p_layout", "score", "rejected")
-    model = fit_model(docs, labels, good, id_col, text_col, source_col, lang_col, chars_col, **options)
-    names = ("p_content", "p_layout", "score")
+        toxic = F.col("toxic") == 1 if toxic is None else toxic
+    toxic = F.lit(False) if toxic is None else toxic
+    names = ("p_content", "p_layout", "score", "p_toxic")
+    docs = docs.drop(*names, "rejected")
+    model = fit_model(docs, labels, good, toxic, id_col, text_col, source_col, lang_col, chars_col, **options)
     if model is None:
-        return docs.withColumns({**{c: F.lit(1.0) for c in names}, "rejected": F.lit(False)})
+        return docs.withColumns({**{c: F.lit(float(c != "p_toxic")) for c in names}, "rejected": F.lit(False)})
     known = docs.sparkSession.sparkContext.broadcast(model)
     packed = docs.select(F.struct(*docs.columns).alias("row"),
                          *_features(docs, text_col, source_col, lang_col, chars_col))
@@ -267,11 +312,14 @@ def classify(docs: DataFrame, labels: DataFrame, good=None, reject_below: float
         m, tokens = known.value, _tokens(batch)
         p = m.score({v: [m.numbers(v, t) for t in tokens[v]] for v in VIEWS})
         yield {"row": batch["row"], "p_content": p["content"].round(6),
-               "p_layout": p["layout"].round(6), "score": p["score"].round(6)}
+               "p_layout": p["layout"].round(6), "score": p["score"].round(6),
+               "p_toxic": m.toxicity(tokens["content"]).round(6)}
 
     row_type = packed.schema["row"].dataType.simpleString()
     out = map_rows(packed, run, f"row {row_type}, " + ", ".join(f"{c} double" for c in names))
-    return out.select("row.*", *names).withColumn("rejected", F.col("score") < reject_below)
+    below = model.reject_below if reject_below is None else reject_below
+    return out.select("row.*", *names).withColumn(
+        "rejected", (F.col("score") < below) | (F.col("p_toxic") > round(model.toxic_above, 6)))
 
 
 @query("op9_quality_model")
