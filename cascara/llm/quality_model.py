@@ -8,10 +8,13 @@ have not seen, combined there, and score every document. A few words make a
 document toxic, so a model of its own looks for them. Both cutoffs are chosen on
 the unseen labelled documents, by the share of good ones they may cost.
 
-Fitting takes a bounded sample (``max_labelled`` and ``max_pool`` documents, by
-the hash of their id); the features are screened by counts that Spark
-aggregates, so what reaches the driver is at most that many rows of at most
-``max_tokens`` feature numbers. Scoring reads every whole text.
+Fitting takes at most ``max_labelled`` labelled documents, by the hash of their
+id. Pseudo-labels are looked for among all others: each round scores them in a
+Spark pass, and Spark picks the ``grow`` surest for each view and class. Only
+those rows join the fit, and the features are screened again with them, by counts
+that Spark aggregates. So what reaches the driver is at most ``max_labelled`` + 4 x
+``rounds`` x ``grow`` rows of at most ``max_tokens`` feature numbers. The last
+pass scores every whole text once more.
 """
 
 from __future__ import annotations
@@ -179,33 +182,41 @@ def lexicon(sample: DataFrame, view: str, max_tokens: int, least: int, z: float)
     return np.array(sorted(r["token"] for r in rows), dtype=np.int64)
 
 
+def teach(fit, surest, rounds: int):
+    """Each round, either view hands the other its surest pseudo-labels:
+    ``fit`` makes models from lists of (document, label) for each view, ``surest``
+    such lists, by the view that is sure, from models and all handed over so far."""
+    extra: dict[str, list[tuple[int, float]]] = {v: [] for v in VIEWS}
+    models = fit(extra)
+    for _ in range(rounds):
+        found = surest(models, extra)
+        if not any(found.values()):
+            break
+        for view, other in (VIEWS, VIEWS[::-1]):
+            extra[other] = extra[other] + found[view]
+        models = fit(extra)
+    return models
+
+
 def co_train(x: dict[str, list[np.ndarray]], y: np.ndarray, pool: dict[str, list[np.ndarray]],
              sizes: dict[str, int], rounds: int, grow: int, sure: float) -> dict[str, Logistic]:
-    """Each round, either view hands the other its surest pseudo-labels."""
-    extra = {v: ([], []) for v in VIEWS}
-    left = np.arange(len(pool["content"]))
-
-    def fit():
-        return {v: Logistic(sizes[v]).fit(x[v] + [pool[v][i] for i in extra[v][0]],
-                                          np.concatenate([y, np.array(extra[v][1], dtype=float)]))
+    """``teach`` for a pool of feature numbers in memory."""
+    def fit(extra):
+        return {v: Logistic(sizes[v]).fit(x[v] + [pool[v][i] for i, _ in extra[v]],
+                                          np.concatenate([y, [label for _, label in extra[v]]]))
                 for v in VIEWS}
 
-    models = fit()
-    for _ in range(rounds):
-        taken: set[int] = set()
-        for view, other in (VIEWS, VIEWS[::-1]):
-            p = _sigmoid(models[view].margin([pool[view][i] for i in left]))
-            for label, order, there in ((1.0, np.argsort(-p, kind="stable"), p >= sure),
-                                        (0.0, np.argsort(p, kind="stable"), p <= 1 - sure)):
-                chosen = left[[i for i in order[:grow] if there[i]]]
-                extra[other][0].extend(chosen.tolist())
-                extra[other][1].extend([label] * len(chosen))
-                taken.update(chosen.tolist())
-        if not taken:
-            break
-        left = np.array([i for i in left if i not in taken], dtype=np.int64)
-        models = fit()
-    return models
+    def surest(models, extra):
+        taken = {i for v in VIEWS for i, _ in extra[v]}
+        left = np.array([i for i in range(len(pool["content"])) if i not in taken], dtype=np.int64)
+        found = {}
+        for v in VIEWS:
+            p = _sigmoid(models[v].margin([pool[v][i] for i in left]))
+            found[v] = [(int(left[i]), label) for label, q in ((1.0, p), (0.0, 1 - p))
+                        for i in np.argsort(-q, kind="stable")[:grow] if q[i] >= sure]
+        return found
+
+    return teach(fit, surest, rounds)
 
 
 def _features(docs: DataFrame, text_col: str, source_col: str, lang_col: str, chars_col: str):
@@ -216,7 +227,7 @@ def _features(docs: DataFrame, text_col: str, source_col: str, lang_col: str, ch
 
 def fit_model(docs: DataFrame, labels: DataFrame, good, toxic, id_col: str = "doc_id",
               text_col: str = "text", source_col: str = "source", lang_col: str = "lang",
-              chars_col: str = "n_chars", max_labelled: int = 20_000, max_pool: int = 8_000,
+              chars_col: str = "n_chars", max_labelled: int = 20_000,
               max_tokens: int = 4_000, least: int = 4, z: float = 3.0, rounds: int = 3,
               grow: int = 500, sure: float = 0.97, good_loss: float = 0.01) -> Model | None:
     """None if the labels hold no good or no bad document."""
@@ -226,45 +237,106 @@ def fit_model(docs: DataFrame, labels: DataFrame, good, toxic, id_col: str = "do
              .where("_id IS NOT NULL AND y IS NOT NULL")
              .groupBy("_id").agg(F.min("y").alias("y"), F.max("toxic").alias("toxic")))
     ids = docs.select(F.col(id_col).alias("_id")).where("_id IS NOT NULL").distinct()
-    labelled = (known.join(ids, "_id").withColumn("h", order).orderBy("h", "_id").limit(max_labelled))
-    pool = (ids.join(known, "_id", "left_anti").withColumn("h", order).orderBy("h", "_id")
-            .limit(max_pool).select("_id", *(F.lit(None).cast("int").alias(c) for c in ("y", "toxic")), "h"))
-    part = F.when(F.col("y").isNull(), "pool").when(F.conv(F.substring("h", -4, 4), 16, 10) % 10 < 7, "train").otherwise("held")
-    chosen = materialize(labelled.unionAll(pool).withColumn("part", part), "sample-ids")
-    # At most max_labelled + max_pool ids: under 2 MB.
-    rows = (docs.select(F.col(id_col).alias("_id"), *_features(docs, text_col, source_col, lang_col, chars_col))
-            .join(F.broadcast(chosen), "_id").dropDuplicates(["_id"]))
+    part = F.when(F.conv(F.substring("h", -4, 4), 16, 10) % 10 < 7, "train").otherwise("held")
+    chosen = materialize(known.join(ids, "_id").withColumn("h", order).orderBy("h", "_id")
+                         .limit(max_labelled).withColumn("part", part), "sample-ids")
+    # Equal rows are one candidate: copies must not fill the places of a class.
+    texts = docs.select(F.col(id_col).alias("_id"), *_features(docs, text_col, source_col, lang_col, chars_col))
+    texts = texts.withColumn("key", F.xxhash64(*(
+        x for c in texts.columns[1:] for x in (F.col(c).isNull(), F.col(c)))))
+    # At most max_labelled ids: under 2 MB.
+    rows = texts.join(F.broadcast(chosen), "_id").dropDuplicates(["_id"])
+    arrays = "content array<long>, layout array<long>"
 
     def tokens(batch):
-        yield {**{c: batch[c] for c in ("h", "y", "toxic", "part")}, **_tokens(batch)}
+        yield {**{c: batch[c] for c in ("key", "h", "y", "part")}, "bad": batch["toxic"], **_tokens(batch)}
 
-    sample = materialize(map_rows(rows, tokens, "h string, y int, toxic int, part string, content array<long>, "
-                                                "layout array<long>"), "sample")
-    lex = {v: lexicon(sample, v, max_tokens, least, z) for v in VIEWS}
-    lex["toxic"] = lexicon(sample.select("part", F.col("toxic").alias("y"), "content"), "content",
-                           max_tokens, least, z)
-    places = {"content": "content", "layout": "layout", "toxic": "content"}
-
-    def pick(batch):
-        yield {**{c: batch[c] for c in ("h", "y", "part")}, "bad": batch["toxic"], **{
-            v: [numbers(lex[v], t) for t in batch[c].to_pylist()] for v, c in places.items()}}
-
-    got = map_rows(sample, pick, "h string, y int, bad int, part string, content array<int>, "
-                                 "layout array<int>, toxic array<int>")
-    got = got.toPandas().sort_values("h", kind="stable")
-    parts = {p: got[got["part"] == p] for p in ("train", "held", "pool")}
-    x = {p: {v: [np.asarray(a, dtype=np.int64) for a in t[v]] for v in places} for p, t in parts.items()}
-    y = {p: t["y"].to_numpy(dtype=float) for p, t in parts.items()}
-    if len(set(y["train"])) < 2:
+    sample = materialize(map_rows(rows, tokens, f"key long, h string, y int, part string, bad int, {arrays}"),
+                         "sample")
+    train = sample.where("part = 'train'")
+    if len({r["y"] for r in train.select("y").distinct().collect()}) < 2:
         return None
-    views = co_train(x["train"], y["train"], x["pool"], {v: len(lex[v]) for v in VIEWS},
-                     rounds, grow, sure)
+    spark = docs.sparkSession
+    handed: list[DataFrame] = []  # the tokens of each round's pseudo-labelled rows
+    fetched: set[int] = set()
+    lex: dict[str, np.ndarray] = {}
+
+    def pick(frame: DataFrame, names: list[str], places: dict[str, str]):
+        """The columns ``names`` and feature numbers in the lexicons of ``places``."""
+        known_tokens = {v: lex[v] for v in places}
+
+        def run(batch):
+            yield {**{c: batch[c] for c in names}, **{
+                v: [numbers(known_tokens[v], t) for t in batch[c].to_pylist()] for v, c in places.items()}}
+
+        kinds = {f.name: f.dataType.simpleString() for f in frame.schema}
+        got = map_rows(frame, run, ", ".join([f"{c} {kinds[c]}" for c in names] + [f"{v} array<int>" for v in places]))
+        got = got.toPandas().sort_values(names[0], kind="stable")
+        return got, {v: [np.asarray(a, dtype=np.int64) for a in got[v]] for v in places}
+
+    def keys(pairs) -> DataFrame:
+        return F.broadcast(spark.createDataFrame([(k, int(label)) for k, label in pairs], "key long, y int"))
+
+    def fit(extra):
+        taken = sorted({k for v in VIEWS for k, _ in extra[v]} - fetched)
+        if taken:
+            new = texts.join(keys((k, 0) for k in taken), "key").dropDuplicates(["key"])
+
+            def run(batch):
+                yield {"key": batch["key"], **_tokens(batch)}
+
+            handed.append(materialize(map_rows(new, run, f"key long, {arrays}"), "pseudo-labelled"))
+            fetched.update(taken)
+        models = {}
+        for v in VIEWS:
+            both = train.select("h", "y", v)
+            for frame in handed:
+                both = both.unionByName(frame.join(keys(extra[v]), "key").select(
+                    F.lpad(F.hex("key"), 16, "0").alias("h"), "y", v))
+            lex[v] = lexicon(both.withColumn("part", F.lit("train")), v, max_tokens, least, z)
+            got, x = pick(both, ["h", "y"], {v: v})
+            models[v] = Logistic(len(lex[v])).fit(x[v], got["y"].to_numpy(dtype=float))
+        return models
+
+    def surest(models, extra):
+        sent = spark.sparkContext.broadcast(({v: lex[v] for v in VIEWS}, models))
+        edge = math.log(sure / (1 - sure))
+
+        def run(batch):
+            words, views = sent.value
+            found = _tokens(batch)
+            m = {v: views[v].margin([numbers(words[v], t) for t in found[v]]) for v in VIEWS}
+            at = np.flatnonzero(np.maximum(*(np.abs(m[v]) for v in VIEWS)) >= edge)
+            yield {"_id": batch["_id"].take(at), "key": batch["key"].take(at), **{v: m[v][at] for v in VIEWS}}
+
+        kind = texts.schema["_id"].dataType.simpleString()
+        done = keys((k, 0) for k in sorted({k for v in VIEWS for k, _ in extra[v]}))
+        # Rows without an id have no label either.
+        scored = (map_rows(texts, run, f"_id {kind}, key long, content double, layout double")
+                  .join(known.select("_id"), "_id", "left_anti")
+                  .join(F.broadcast(sample.select("key")), "key", "left_anti").join(done, "key", "left_anti")
+                  .select("key", *VIEWS).distinct())
+        scored = materialize(scored, "co-training")
+        found = {v: [(r["key"], label) for label, c in ((1.0, F.col(v)), (0.0, -F.col(v)))
+                     for r in scored.where(c >= edge).orderBy(c.desc(), "key").limit(grow).collect()]
+                 for v in VIEWS}
+        sent.unpersist()
+        return found
+
+    views = teach(fit, surest, rounds)
+    lex["toxic"] = lexicon(sample.select("part", F.col("bad").alias("y"), "content"), "content",
+                           max_tokens, least, z)
+    got, numbered = pick(sample, ["h", "y", "part", "bad"],
+                         {"content": "content", "layout": "layout", "toxic": "content"})
+    parts = {p: np.flatnonzero(got["part"] == p) for p in ("train", "held")}
+    x = {p: {v: [a[i] for i in at] for v, a in numbered.items()} for p, at in parts.items()}
+    y = {p: got["y"].to_numpy(dtype=float)[at] for p, at in parts.items()}
     held = "held" if len(set(y["held"])) == 2 else "train"
     lines = {v: _line(views[v].margin(x[held][v])[:, None], y[held]) for v in VIEWS}
     z_held = np.column_stack([views[v].margin(x[held][v]) * lines[v][0] + lines[v][1] for v in VIEWS])
     model = Model(lex, views, lines, _line(z_held, y[held]), reject_below=0.5,
                   toxic=None, toxic_line=np.array([1.0, 0.0]), toxic_above=0.5)
-    bad = {p: t["bad"].to_numpy(dtype=float) for p, t in parts.items()}
+    bad = {p: got["bad"].to_numpy(dtype=float)[at] for p, at in parts.items()}
     if len(set(bad["train"])) == 2 and len(set(bad[held])) == 2:
         model.toxic = Logistic(len(lex["toxic"])).fit(x["train"]["toxic"], bad["train"])
         margin = model.toxic.margin(x[held]["toxic"])
