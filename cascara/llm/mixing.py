@@ -8,10 +8,11 @@ Each source rotates its documents' hashes so that what it takes is near its targ
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cascara.llm.common import WORD, hidden, load_table, materialize, query, text_or_empty
+from cascara.operators.ranking import global_row_number, sums_before
 
 #: Targets are broadcast up to this many sources (under 8 MB), else joined.
 BROADCAST_SOURCES = 100_000
@@ -28,26 +29,27 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...], max_repeat: int)
     ascending order of cap / weight fill up first, so the level follows from
     running sums: with the first j capped, level_j = (total - caps) / (weights
     left); j is the first at which the next source stays below its cap.
-    ``sizes`` has one row per source, so windows over all of it are bounded by
-    the number of sources.
+    ``sizes`` has one row per source. Numbers and running sums are made over
+    ranges of the sources; only totals and the level itself are single rows.
     """
-    order = Window.orderBy(F.col("source").asc_nulls_last())
+    numbered = global_row_number(sizes, [F.col("source").asc_nulls_last()], "number")
     w = F.element_at(F.array(*map(F.lit, weights)),
-                     ((F.row_number().over(order) - 1) % len(weights) + 1).cast("int"))
-    s = sizes.withColumns({"w": w.cast("long"), "cap": F.col("source_size") * max_repeat})
-    by_fill = Window.orderBy((F.col("cap") / F.col("w")), F.col("source").asc_nulls_last())
-    before = by_fill.rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy(F.lit(0))
-    zero = F.lit(0).cast("long")
+                     ((F.col("number") - 1) % len(weights) + 1).cast("int"))
+    s = materialize(numbered.withColumns({"w": w.cast("long"), "cap": F.col("source_size") * max_repeat})
+                    .drop("number"), "source-weights")
+    words, weight = (F.lit(x or 0).cast("long") for x in s.agg(F.sum("source_size"), F.sum("w")).first())
+    s = sums_before(s, [F.col("cap") / F.col("w"), F.col("source").asc_nulls_last()],
+                    {"cap": "caps_before", "w": "w_before"})
     # left, wleft: what remains, in words and weights, with all before capped.
-    s = s.withColumns({
-        "left": F.sum("source_size").over(everything) - F.coalesce(F.sum("cap").over(before), zero),
-        "wleft": F.sum("w").over(everything) - F.coalesce(F.sum("w").over(before), zero)})
+    s = s.withColumns({"left": words - F.col("caps_before"), "wleft": weight - F.col("w_before")})
     # The source is capped if the level of those left would reach its cap.
     s = s.withColumn("full", F.col("left") * F.col("w") >= F.col("cap") * F.col("wleft"))
-    first = F.min(F.when(~F.col("full"), F.struct((F.col("cap") / F.col("w")).alias("r"),
-                                                  F.col("left"), F.col("wleft")))).over(everything)
-    return s.withColumn("level", first).select(
+    s = materialize(s, "source-levels")
+    first = s.agg(F.min(F.when(~F.col("full"), F.struct((F.col("cap") / F.col("w")).alias("r"),
+                                                        F.col("left"), F.col("wleft"))))).first()[0]
+    level = F.struct(*(F.lit(first[c]).cast("long").alias(c) for c in ("left", "wleft"))) if first else F.lit(
+        None).cast("struct<left:bigint,wleft:bigint>")
+    return s.withColumn("level", level).select(
         "source", "source_size",
         F.when(F.col("full") | F.col("level").isNull(), F.col("cap").cast("double"))
         .otherwise((F.col("level.left") * F.col("w")).cast("double")
