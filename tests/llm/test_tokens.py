@@ -3,10 +3,12 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
-from cascara.llm.encode import Encoder, default_tokenizer
+from cascara.llm.alignment import default_model
+from cascara.llm.encode import Encoder, PieceEncoder, default_tokenizer
 from cascara.llm.token_counts import token_counts
 from cascara.llm.token_records import frame, frames, index_records, read_shuffled, write_records
 from cascara.session import scratch_path
@@ -15,7 +17,8 @@ from llm_fixtures import docs, no_docs  # noqa: F401
 from conftest import SF_SMALL
 
 PLAIN = Tokenizer.from_file(default_tokenizer())
-SMALL = Encoder(default_tokenizer(), max_pieces=50)
+SMALL = Encoder(default_tokenizer(), limit=50)
+MODEL = PieceEncoder(default_model(), limit=50)
 
 
 def plain(text):
@@ -30,6 +33,25 @@ def test_pieces_equal_the_library(texts):
     texts = [t.encode("utf-8", "ignore").decode() for t in texts]
     assert [np.frombuffer(x, "<u4").tolist() for x in SMALL.encode(texts)] == [plain(t) for t in texts]
     assert SMALL.count(texts) == [len(plain(t)) for t in texts]
+    assert [np.frombuffer(x, "<u4").tolist() for x in MODEL.encode(texts)] == MODEL.sp.encode(texts)
+
+
+@pytest.mark.parametrize("n", [1024, 2048, 4096])
+def test_words_of_equal_hashes(n):
+    """A Thue-Morse word and its complement agree in every polynomial hash of
+    these lengths modulo 2^64 with an odd base."""
+    word = "".join("ab"[i.bit_count() & 1] for i in range(n))
+    other = word.translate({97: 98, 98: 97})
+    for coder in (Encoder(default_tokenizer()), PieceEncoder(default_model())):
+        whole = coder._whole([f"x {word}", f"x {other} {word}", f"x {word} {other} {word}"])
+        assert coder.encode([f"x {word}", f"x {other} {word}", f"x {word} {other} {word}"]) == whole
+
+
+def test_plain_reads_special_strings_as_text():
+    coder, library = Encoder(default_tokenizer(), plain=True), Tokenizer.from_file(default_tokenizer())
+    library.encode_special_tokens = True
+    text = "a <|endoftext|> b<|endoftext|>"
+    assert np.frombuffer(coder.encode([text])[0], "<u4").tolist() == library.encode(text).ids != plain(text)
 
 
 def test_counts_of_a_table_and_of_the_edge_cases(spark, docs):
@@ -57,6 +79,10 @@ def test_only_missing_contents_are_encoded(spark, docs, no_docs):
     # Stored counts are used: a changed one shows.
     folder = [r[0] for r in rows.select("tokenizer").distinct().collect()]
     assert len(folder) == 1
+    changed = docs.where("doc_id = 9")
+    (changed.select(F.unhex(F.sha2("text", 256)).alias("content"), F.lit(10**6).cast("long").alias("n_tokens"))
+     .write.mode("append").parquet(f"{path}/tokenizer={folder[0]}"))
+    assert token_counts(changed, path).first()["n_tokens"] == 10**6
 
 
 def test_frames_round_trip_and_notice_damage():
