@@ -2,6 +2,6 @@
 
 from cascara.llm.common import ORACLE, QUERIES  # noqa: F401
 from cascara.llm import (  # noqa: F401
-    chat, decontaminate, line_dedup, mixing, quality_model, quality_rules, simhash,
+    alignment, chat, decontaminate, line_dedup, mixing, quality_model, quality_rules, simhash,
     substring_dedup, token_counts, token_records,
 )
