@@ -6,7 +6,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -62,3 +62,13 @@ def hidden(name: str) -> str:
 
 def text_or_empty(col: str = "text"):
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
+
+
+def beside_text(docs: DataFrame, text_col: str) -> tuple[Column, list[Column]]:
+    """For a text that goes through Python: the other columns as one struct, to be
+    named ``row``, and the columns of ``docs`` back from ``row`` and ``_text``. So
+    a text crosses to Python once."""
+    rest = [c for c in docs.columns if c != text_col]
+    row = F.struct(F.lit(True).alias(hidden("row")), *rest)
+    return row, [F.col("_text").alias(c) if c == text_col else F.col("row")[c].alias(c)
+                 for c in docs.columns]

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cascara.llm.automaton import SuffixAutomaton
-from cascara.llm.common import load_table, map_rows, materialize, query
+from cascara.llm.common import beside_text, load_table, map_rows, materialize, query
 
 #: Text of one automaton, in bytes. More test items make more automata, and
 #: the documents pass them one after the other.
@@ -148,8 +148,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10,
         return docs.sparkSession.sparkContext.broadcast(
             Items([(r["id"], r["text"]) for r in part.collect()], window))
 
-    names = docs.columns
-    packed = docs.select(F.struct(*names).alias("row"), F.col(text_col).alias("_text"))
+    row, back = beside_text(docs, text_col)
+    packed = docs.select(row.alias("row"), F.col(text_col).alias("_text"))
     row_type = packed.schema["row"].dataType.simpleString()
     result = "n_words long, n_hit long, items array<string>, spans array<struct<start:long,end:long>>, clean string, refused boolean"
 
@@ -169,9 +169,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10,
         def whole(batch):
             texts = batch["_text"].to_pylist()
             out = [known.value.scan(words_of(t)) for t in texts]
-            yield {"row": batch["row"], **judged(texts, [s for s, _ in out], [i for _, i in out])}
+            yield {"row": batch["row"], "_text": batch["_text"],
+                   **judged(texts, [s for s, _ in out], [i for _, i in out])}
 
-        out = map_rows(packed, whole, f"row {row_type}, {result}")
+        out = map_rows(packed, whole, f"row {row_type}, _text string, {result}")
     else:
         key = F.struct(F.xxhash64("_text").alias("a"), F.xxhash64(F.lit(1), "_text").alias("b"))
         hits = None
@@ -197,11 +198,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10,
 
         def finish(batch):
             spans = [[(x["start"], x["end"]) for x in s or []] for s in batch["spans"].to_pylist()]
-            yield {"row": batch["row"], **judged(batch["_text"].to_pylist(), spans,
-                                                 [i or [] for i in batch["items"].to_pylist()])}
+            yield {"row": batch["row"], "_text": batch["_text"],
+                   **judged(batch["_text"].to_pylist(), spans, [i or [] for i in batch["items"].to_pylist()])}
 
-        out = map_rows(joined, finish, f"row {row_type}, {result}")
-    return out.select("row.*", *[f.split()[0] for f in result.split(", ")])
+        out = map_rows(joined, finish, f"row {row_type}, _text string, {result}")
+    return out.select(*back, *[f.split()[0] for f in result.split(", ")])
 
 
 @query("op10_decontaminate")

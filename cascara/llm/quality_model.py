@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cascara.llm.common import load_table, map_rows, materialize, query
+from cascara.llm.common import beside_text, load_table, map_rows, materialize, query
 
 VIEWS = ("content", "layout")
 _MARKS = "#*$%&|<>!?@{}=_~^+/\\"
@@ -377,20 +377,20 @@ def classify(docs: DataFrame, labels: DataFrame, good=None, reject_below: float
     if model is None:
         return docs.withColumns({**{c: F.lit(float(c != "p_toxic")) for c in names}, "rejected": F.lit(False)})
     known = docs.sparkSession.sparkContext.broadcast(model)
-    packed = docs.select(F.struct(*docs.columns).alias("row"),
-                         *_features(docs, text_col, source_col, lang_col, chars_col))
+    row, back = beside_text(docs, text_col)
+    packed = docs.select(row.alias("row"), *_features(docs, text_col, source_col, lang_col, chars_col))
 
     def run(batch):
         m, tokens = known.value, _tokens(batch)
         p = m.score({v: [m.numbers(v, t) for t in tokens[v]] for v in VIEWS})
-        yield {"row": batch["row"], "p_content": p["content"].round(6),
+        yield {"row": batch["row"], "_text": batch["_text"], "p_content": p["content"].round(6),
                "p_layout": p["layout"].round(6), "score": p["score"].round(6),
                "p_toxic": m.toxicity(tokens["content"]).round(6)}
 
     row_type = packed.schema["row"].dataType.simpleString()
-    out = map_rows(packed, run, f"row {row_type}, " + ", ".join(f"{c} double" for c in names))
+    out = map_rows(packed, run, f"row {row_type}, _text string, " + ", ".join(f"{c} double" for c in names))
     below = model.reject_below if reject_below is None else reject_below
-    return out.select("row.*", *names).withColumn(
+    return out.select(*back, *names).withColumn(
         "rejected", (F.col("score") < below) | (F.col("p_toxic") > round(model.toxic_above, 6)))
 
 
