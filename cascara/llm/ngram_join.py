@@ -11,9 +11,13 @@ two hashes.
    results.
 2. Each document's set is reduced to a digest and its first prefix. Equal sets
    are one node, however many documents have them.
-3. Nodes that share a token of the first prefix meet at that token. Its pivot is
-   the member that meets most others; members of all tokens with one pivot are
-   its neighbourhood. Hot passages are no prefix tokens, as these are the rarest.
+3. Nodes that share a token of the first prefix meet at that token. Prefixes are
+   ``SHARED`` - 1 tokens longer than they need be, so that linked sets share
+   ``SHARED`` tokens. Where at most ``FEW`` nodes meet, their pairs are counted:
+   those that share fewer tokens, all of them such, are no candidates. Of a pair
+   the node that meets most others is the pivot; a token that more nodes share has
+   one pivot for all. Nodes with the same pivot are its neighbourhood. Hot passages
+   are no prefix tokens, as these are the rarest.
 4. Texts are sent to their neighbourhoods, in blocks of bounded size: block pairs
    where there are several. A task joins members that are not yet connected:
    prefixes under all orders are intersected, what is left is verified on whole
@@ -39,6 +43,8 @@ SLOTS = 1 << _SLOT_BITS
 _CHUNKS = 64  # of the slots, for their sums
 _SPREAD = 256  # partial sums of a chunk
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
+#: Tokens that linked sets share at least; nodes of a token whose pairs are counted.
+SHARED, FEW = 4, 8
 #: Members of a neighbourhood that meet in a task, and tokens of their sets.
 BLOCK, BLOCK_TOKENS = 2000, 2_000_000
 
@@ -74,8 +80,9 @@ class Orders:
     def __init__(self, counts: np.ndarray, percent: int, n: int):
         self.counts, self.percent, self.n = counts, percent, n
 
-    def prefix(self, tokens: np.ndarray, order: int) -> np.ndarray:
-        size = len(tokens) + (-self.percent * len(tokens)) // 100 + 1 if len(tokens) else 0
+    def prefix(self, tokens: np.ndarray, order: int, shared: int = 1) -> np.ndarray:
+        """So long that linked sets share ``shared`` tokens (or all they have)."""
+        size = len(tokens) + (-self.percent * len(tokens)) // 100 + shared if len(tokens) else 0
         if order:
             by = np.argsort(_mixed(tokens, order), kind="stable")
         else:
@@ -139,7 +146,7 @@ def _sets(docs: DataFrame, shingle: int, orders) -> DataFrame:
                     seen.add(digest)
                     digests.append(digest)
                     sizes.append(len(tokens))
-                    prefixes.append(orders.value.prefix(tokens, 0).view(np.int64) if new else None)
+                    prefixes.append(orders.value.prefix(tokens, 0, SHARED).view(np.int64) if new else None)
                 n = part.num_rows
                 yield pa.RecordBatch.from_arrays(
                     [part["doc_id"], part["k1"], part["k2"], pa.array(range(node, node + n), pa.int64()),
@@ -152,22 +159,31 @@ def _sets(docs: DataFrame, shingle: int, orders) -> DataFrame:
                                 "prefix array<long>")
 
 
-def neighbourhoods(rows: DataFrame, reps: DataFrame) -> DataFrame:
-    """(node, pivot): nodes that share a token of their first prefix, by the
-    token's pivot; a pivot is a member of its own neighbourhood."""
+def neighbourhoods(rows: DataFrame, reps: DataFrame, percent: int, few: int) -> DataFrame:
+    """(node, pivot): all nodes that may be linked are both in the neighbourhood of
+    some pivot; a pivot is a member of its own."""
     entries = rows.where("prefix IS NOT NULL").select("node", F.explode("prefix").alias("token"))
     by_token = "OVER (PARTITION BY token)"
     met = (entries.selectExpr("node", "token", f"min(node) {by_token} AS lo", f"max(node) {by_token} AS hi")
            .where("lo < hi").select("node", "token"))
     # Rows of different tasks may have the same set.
-    named = rows.where("prefix IS NOT NULL").select("node", "digest").join(reps, "digest").select("node", "rep")
-    met = (met.join(named, "node").select(F.col("rep").alias("node"), "token").distinct()
-           .selectExpr("node", "token", f"count(1) {by_token} AS m").where("m > 1"))
+    named = rows.where("prefix IS NOT NULL").select("node", "digest", "n").join(reps, "digest").select("node", "rep", "n")
+    met = (met.join(named, "node").select(F.col("rep").alias("node"), "n", "token").distinct()
+           .selectExpr("node", "n", "token", f"count(1) {by_token} AS m").where("m > 1"))
     met = materialize(met, "met")
     central = met.groupBy("node").agg(F.sum("m").alias("central"))
-    return (met.join(central, "node")
-            .selectExpr("node", f"max(struct(central, node)) {by_token} AS top")
-            .select("node", F.col("top.node").alias("pivot")).distinct())
+    met = materialize(met.join(central, "node").select("token", "m", F.struct("central", "node", "n").alias("x")), "met")
+    # Few nodes at a token: at most few * (few - 1) / 2 pairs, the more central first.
+    each = met.where(F.col("m") <= few).groupBy("token").agg(F.sort_array(F.collect_list("x"), asc=False).alias("xs"))
+    pairs = (each.select("xs", F.posexplode("xs").alias("i", "a"))
+             .select("a", F.explode(F.slice("xs", F.col("i") + 2, F.lit(few))).alias("b"))
+             .groupBy(F.col("a.node").alias("pivot"), F.col("b.node").alias("node"))
+             .agg(F.count(F.lit(1)).alias("shared"), F.first(F.greatest("a.n", "b.n")).alias("n")))
+    pairs = pairs.where(F.col("shared") >= F.least(F.lit(SHARED), F.ceil(F.col("n") * percent / 100)))
+    pairs = materialize(pairs.select("node", "pivot"), "pairs")
+    hot = (met.where(F.col("m") > few).selectExpr("x.node AS node", f"max(x) {by_token} AS top")
+           .select("node", F.col("top.node").alias("pivot")))
+    return pairs.unionAll(pairs.select(F.col("pivot").alias("node"), "pivot")).unionAll(hot).distinct()
 
 
 def _blocks(pairs: DataFrame, sizes: DataFrame, block: int, block_tokens: int) -> DataFrame:
@@ -281,7 +297,7 @@ def _join(shingle: int, orders):
 
 def jaccard_groups(docs: DataFrame, shingle: int = 4, percent: int = 85, orders: int = 3,
                    id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK,
-                   block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+                   block_tokens: int = BLOCK_TOKENS, few: int = FEW) -> DataFrame:
     """(doc_id, n_shingles, node, component_id) for every row of ``docs``.
 
     Rows link where 100 * intersection >= ``percent`` * union of their shingle
@@ -307,7 +323,7 @@ def jaccard_groups(docs: DataFrame, shingle: int = 4, percent: int = 85, orders:
         F.min("node").alias("rep"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id")).alias("least"),
         F.min(F.struct("node", "k1", "k2", "n")).alias("r")), "nodes")
     nodes = reps.select("r.node", "r.k1", "r.k2", "r.n")
-    pairs = materialize(neighbourhoods(rows, reps.select("digest", "rep")), "neighbourhoods")
+    pairs = materialize(neighbourhoods(rows, reps.select("digest", "rep"), percent, few), "neighbourhoods")
     goes = _blocks(pairs, nodes.select("node", "n"), block, block_tokens).join(nodes.select("node", "k1", "k2"), "node")
     sent = (docs.select("k1", "k2", "text").join(goes, ["k1", "k2"])
             .select("node", "text", F.explode("goes").alias("g"))

@@ -75,8 +75,8 @@ def texts_near(rng, n):
     return list(enumerate(out[:n], 1))
 
 
-@pytest.mark.parametrize("seed, options", [(1, {}), (2, {"block": 3}), (3, {"block_tokens": 400, "orders": 1}),
-                                           (4, {"percent": 60, "shingle": 2, "block": 7})])
+@pytest.mark.parametrize("seed, options", [(1, {}), (2, {"block": 3, "few": 0}), (3, {"block_tokens": 400, "orders": 1}),
+                                           (4, {"percent": 60, "shingle": 2, "block": 7, "few": 3})])
 def test_components_equal_brute_force(spark, seed, options):
     rows = texts_near(random.Random(seed), 400)
     table = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
@@ -113,5 +113,10 @@ def test_sets_and_prefixes():
     counts[(s[:50] >> np.uint64(44)).astype(int)] = 9
     orders = Orders(counts, 85, 3)
     assert len(s) == 100 and [len(orders.prefix(s, k)) for k in range(3)] == [16] * 3
-    assert not np.isin(orders.prefix(s, 0), s[:50]).any()
+    assert not np.isin(orders.prefix(s, 0), s[:50]).any() and len(orders.prefix(s, 0, 4)) == 19
+    for _ in range(200):  # near sets share so many tokens of longer prefixes
+        t = np.sort(np.concatenate((np.random.default_rng(_).choice(s, 93, replace=False), s[:5] + np.uint64(1))))
+        if 100 * np.isin(s, t).sum() >= 85 * len(np.union1d(s, t)):
+            for k in range(3):
+                assert np.isin(orders.prefix(s, k, 4), orders.prefix(t, k, 4)).sum() >= 4
     assert len(set(map(bytes, (np.sort(orders.prefix(s, k)).tobytes() for k in range(3))))) == 3
