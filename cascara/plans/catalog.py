@@ -8,4 +8,4 @@ same name on both sides, counts are BIGINT, doubles are rounded to 6 places.
 from cascara.plans.registry import ORACLE, QUERIES, query, r6  # noqa: F401
 
 # Importing the query modules fills the registries.
-from cascara.plans import q_tables, q_text, q_items, q_segments, q_ml, q_io  # noqa: E402,F401
+from cascara.plans import q_tables, q_text, q_items, q_segments, q_ml, q_facts, q_io  # noqa: E402,F401

@@ -116,3 +116,14 @@ def user_item_ratings(spark: SparkSession, d: str) -> DataFrame:
     return (li.join(od, "l_orderkey")
             .groupBy(F.col("o_custkey").alias("user"), F.col("l_partkey").alias("item"))
             .agg(F.avg("l_quantity").cast("float").alias("rating")))
+
+
+def letter_shares(spark: SparkSession, d: str) -> DataFrame:
+    """ALS triples with a structure: (user = doc_id, item = letter 0..25, rating =
+    its share of the text's characters, in per cent). Languages differ in them."""
+    docs = load_table(spark, d, "documents").where("length(text) > 0").select(
+        F.col("doc_id").alias("user"), F.lower("text").alias("t"))
+    shares = F.array(*[100 * (F.length("t") - F.length(F.replace("t", F.lit(chr(97 + i)), F.lit("")))) / F.length("t")
+                       for i in range(26)])
+    return docs.select("user", F.posexplode(shares).alias("item", "rating")).withColumn(
+        "rating", F.col("rating").cast("float"))
