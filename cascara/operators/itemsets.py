@@ -87,6 +87,59 @@ def baskets_of_size(baskets: DataFrame, items: str | Column, min_size: int) -> D
     return baskets.where(F.size(_items(items)) >= min_size)
 
 
+def count_given_sets(baskets: DataFrame, items: str | Column, wanted: DataFrame,
+                     wanted_items: str = "items", min_size: int = 1) -> DataFrame:
+    """I3 for many sets at once: ``wanted`` plus count, the number of baskets of at
+    least ``min_size`` items that hold every item of the set.
+
+    The sets' items are ranked rarest first, so the sets form a prefix tree whose
+    first branches few baskets take. Baskets become arrays of those ranks, equal
+    ones are summed up, and all walk the tree together: each level extends the
+    walks by one item and keeps those that are a prefix of some set, so the work
+    follows the matches, not the number of sets. One scan of the baskets.
+
+    An item counts once a basket and once a set; NULL items are none. An empty set
+    is held by every basket, a NULL set has a NULL count. Repeated sets are all
+    answered. A set with an item that no basket holds has 0.
+    """
+    spark, arr, path = baskets.sparkSession, _items(items), "_path"
+    rows = baskets.select(arr.alias("_b")).where(F.coalesce(F.size("_b"), F.lit(0)) >= min_size)
+    sets = wanted.withColumn("_set", F.array_sort(_items(wanted_items)))
+    known = sets.select(F.explode("_set").alias("item")).distinct()
+    held = rows.select(F.monotonically_increasing_id().alias("_bid"), "_b")
+    # Baskets without any wanted item only count for empty sets.
+    held = materialize(held, "baskets")
+    occ = held.select("_bid", F.explode("_b").alias("item")).join(known, "item")
+    counts = materialize(occ.groupBy("item").agg(F.count(F.lit(1)).alias("count")), "item-counts")
+    ranks = materialize(global_row_number(counts, [F.asc("count"), F.asc("item")], "r")
+                        .select("item", F.col("r").cast("int").alias("r")), "wanted-ranks")
+    sigs = (occ.join(ranks, "item").groupBy("_bid").agg(F.array_sort(F.collect_list("r")).alias("tail"))
+            .groupBy("tail").agg(F.count(F.lit(1)).alias("n")).withColumn("sid", F.monotonically_increasing_id()))
+    paths = (sets.where(F.size("_set") > 0).select("_set", F.explode("_set").alias("item")).distinct()
+             .join(ranks, "item").groupBy("_set").agg(F.array_sort(F.collect_list("r")).alias(path))
+             .where(F.size(path) == F.size("_set")))
+    paths = materialize(paths, "paths")
+    walks = materialize(sigs, "signatures").select("sid", "n", F.array().cast("array<int>").alias("at"), "tail")
+    total = held.agg(F.count(F.lit(1))).first()[0]
+    found = None
+    for level in range(1, (paths.agg(F.max(F.size(path))).first()[0] or 0) + 1):
+        step = walks.select("sid", "n", "at", "tail", F.posexplode("tail").alias("q", "r")).select(
+            "sid", "n", F.concat("at", F.array("r")).alias("at"),
+            F.slice("tail", F.col("q") + 2, F.size("tail")).alias("tail"))
+        branch = paths.where(F.size(path) >= level).groupBy(F.slice(path, 1, level).alias("at")).agg(
+            F.max(F.size(path) == level).alias("ends"))
+        walks = materialize(step.join(branch, "at"), f"walks{level}")
+        here = walks.where("ends").groupBy("at").agg(F.sum("n").alias("count"))
+        found = here if found is None else found.unionAll(here)
+        walks = walks.where(F.size("tail") > 0).drop("ends")
+    answers = paths.select("_set", F.lit(None).cast("bigint").alias("count")).where("false") if found is None else (
+        paths.join(found, paths[path] == found["at"]).select("_set", "count"))
+    held_by = F.when(F.col("_set").isNull(), None).when(F.size("_set") == 0, F.lit(total)).otherwise(
+        F.coalesce("_count", F.lit(0)))
+    return (sets.drop("count").join(answers.withColumnRenamed("count", "_count"), "_set", "left")
+            .select(*[c for c in wanted.columns if c != "count"], held_by.cast("bigint").alias("count")))
+
+
 # --- level-wise mining ---------------------------------------------------------
 
 def _value(spark, t) -> float:
@@ -97,9 +150,11 @@ def _value(spark, t) -> float:
     return float(t)
 
 
-def _prepared(baskets: DataFrame, items: str | Column, key: str | None, t_item: float):
+def _prepared(baskets: DataFrame, items: str | Column, key: str | None, t_item: float,
+              grouped: bool = True):
     """(ranked, signatures): ranked is (item, count, rank), signatures is
-    (sid, n, sig array<int>) with at least two ranks; both are written."""
+    (sid, n, sig array<int>) with at least two ranks, or with ``grouped`` false
+    one row (sig) per basket; both are written."""
     name = F.col(key) if key else F.monotonically_increasing_id()
     numbered = baskets.select(name.alias("_bid"), _items(items).alias("_items"))
     occ = (numbered if key else materialize(numbered, "numbered")).select(
@@ -108,6 +163,8 @@ def _prepared(baskets: DataFrame, items: str | Column, key: str | None, t_item:
     ranked = materialize(rank_items(frequent_items(counts, t_item)), "ranked-items")
     sig = (occ.join(ranked.select("item", F.col("rank").cast("int").alias("r")), "item")
            .groupBy("_bid").agg(F.array_sort(F.collect_list("r")).alias("sig")))
+    if not grouped:
+        return ranked, materialize(sig.where(F.size("sig") >= 2).select("sig"), "basket-signatures")
     sigs = (sig.where(F.size("sig") >= 2).groupBy("sig").agg(F.count(F.lit(1)).alias("n"))
             .withColumn("sid", F.monotonically_increasing_id()))
     return ranked, materialize(sigs, "signatures")
@@ -143,10 +200,11 @@ def frequent_itemsets(
     spark = baskets.sparkSession
     t_item, t_set = _value(spark, item_threshold), _value(spark, set_threshold)
     ranked, sigs = _prepared(baskets, items, key, t_item)
-    tails = materialize(
-        sigs.select("sid", "n", F.posexplode("sig").alias("p", "r"), "sig")
-        .select("sid", "p", "n", "r", F.slice("sig", F.col("p") + 2, F.size("sig")).alias("tail"))
-        .repartition("sid", "p"), "tails")
+    tails = (sigs.select("sid", "n", F.posexplode("sig").alias("p", "r"), "sig")
+             .select("sid", "p", "n", "r", F.slice("sig", F.col("p") + 2, F.size("sig")).alias("tail"))
+             .repartition("sid", "p"))
+    if max_len > 2:  # read again by every level after the second
+        tails = materialize(tails, "tails")
     tails = tails.where(F.size("tail") > 0)
     occ = tails.select("sid", "p", "n", F.array("r").alias("set"), "tail")
     tails = tails.select("sid", "p", "tail")
@@ -205,7 +263,8 @@ def frequent_itemsets_fpgrowth(baskets: DataFrame, items: str | Column, item_thr
                                set_threshold, max_len: int | None = None,
                                key: str | None = None) -> DataFrame:
     """Cross-check of :func:`frequent_itemsets` with MLlib's parallel
-    FP-growth on the same signatures. With n trimmed baskets,
+    FP-growth on the same signatures, a row per basket: however many baskets share
+    one, they stay spread over tasks. With n trimmed baskets,
     ``minSupport = (m - 0.5) / n`` where ``m = floor(t) + 1`` makes the
     smallest accepted count m (strict ``>``). FP-growth itself has no length
     limit; sets longer than ``max_len`` are left out of the result."""
@@ -213,9 +272,8 @@ def frequent_itemsets_fpgrowth(baskets: DataFrame, items: str | Column, item_thr
 
     spark = baskets.sparkSession
     t_item, t_set = _value(spark, item_threshold), _value(spark, set_threshold)
-    ranked, sigs = _prepared(baskets, items, key, t_item)
-    trimmed = sigs.select(F.explode(F.array_repeat("sig", F.col("n").cast("int"))).alias("sig"))
-    n = sigs.agg(F.sum("n")).first()[0] or 0
+    ranked, trimmed = _prepared(baskets, items, key, t_item, grouped=False)
+    n = trimmed.count()
     min_count = int(t_set) + 1 if t_set >= 0 else 0
     model = FPGrowth(itemsCol="sig", minSupport=(min_count - 0.5) / max(n, 1),
                      minConfidence=1.0).fit(trimmed)

@@ -12,7 +12,10 @@ from cascara.plans import standins as S
 from cascara.plans.registry import query, r6
 from cascara.plans.q_tables import TOP_MIN_COUNT, TOP_TAG
 from cascara.session import scratch_path
-from cascara.sources import load_table, read_csv, read_fields, read_text_lines, write_csv, write_text
+from cascara.sources import (
+    column_types, infer_schema, load_table, order_faults, read_csv, read_fields, read_text_lines, write_csv,
+    write_text, written_rows,
+)
 from cascara.operators import tables as TB
 
 LINE_SCHEMA = T.StructType([
@@ -114,3 +117,95 @@ def q_cluster_profile_csv(spark, d):
     schema = "cluster_id int, size bigint, " + ", ".join(f"{c} double" for c in ("flag_ratio", *_DIMS))
     back = spark.read.schema(schema).option("header", True).csv(path)
     return back.select("cluster_id", "size", *[r6(c).alias(c) for c in ("flag_ratio", *_DIMS)])
+
+
+TYPED = ["l_orderkey", "l_quantity", "l_extendedprice", "l_returnflag", "l_shipdate"]
+
+
+def _type_sql(col: str) -> str:
+    """What a column's text allows, narrowest first, and the least misfit."""
+    text = f"nullif(CAST({col} AS VARCHAR), '')"
+
+    def fits(t: str, like: str) -> str:
+        return f"(regexp_full_match(x, '{like}') AND try_cast(x AS {t}) IS NOT NULL)"
+
+    whole, real = "[+-]?[0-9]+", r"[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?"
+    day, clock = "[0-9]{4}-[0-9]{2}-[0-9]{2}", r"[ T][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]+)?"
+    ok = {"boolean": "lower(x) IN ('true', 'false')", "int": fits("INTEGER", whole), "bigint": fits("BIGINT", whole),
+          "double": fits("DOUBLE", real), "date": fits("DATE", day), "timestamp": fits("TIMESTAMP", day + clock)}
+    kinds = " ".join(f"WHEN bool_and({e}) THEN '{t}'" for t, e in ok.items())
+    misfit = {"bigint": ok["int"], "double": ok["bigint"], "string": ok["double"]}
+    return (f"SELECT '{col}' AS \"column\", t AS type, n AS \"rows\", round(nulls / n, 6) AS null_share, CASE t "
+            + " ".join(f"WHEN '{t}' THEN (SELECT min(x) FROM (SELECT {text} AS x FROM lineitem) WHERE NOT {e})"
+                       for t, e in misfit.items())
+            + f" END AS misfit FROM (SELECT CASE {kinds} ELSE 'string' END AS t, count(*) AS n, "
+            f"(count(*) - count(x))::DOUBLE AS nulls FROM (SELECT {text} AS x FROM lineitem))")
+
+
+@query("src_csv_types", " UNION ALL ".join(map(_type_sql, TYPED)))
+def q_src_csv_types(spark, d):
+    """The types, null shares and misfits of CSV columns, inferred in one pass."""
+    path = scratch_path(spark, "lines-typed")
+    li = load_table(spark, d, "lineitem").select(*TYPED)
+    # One notation of numbers for both engines.
+    text = [F.date_format(f.name, "yyyy-MM-dd HH:mm:ss").alias(f.name) if isinstance(f.dataType, (
+        T.TimestampType, T.TimestampNTZType)) else F.col(f.name) for f in li.schema]
+    write_csv(li.select(*text), path, header=True)
+    return column_types(spark.read.option("header", True).csv(path)).select(
+        "column", "type", "rows", r6("null_share").alias("null_share"), "misfit")
+
+
+@query("src_csv_inferred", "SELECT p_partkey, p_name, p_brand, p_size, "
+       "'p_partkey int,p_name string,p_brand string,p_size int' AS types FROM part")
+def q_src_csv_inferred(spark, d):
+    """A table read back with the schema inferred from its files, as inferred."""
+    path = scratch_path(spark, "part-inferred")
+    write_csv(load_table(spark, d, "part").select(*PART_SCHEMA.fieldNames()), path, header=True)
+    schema = infer_schema(spark, path, header=True)
+    out = read_csv(spark, path, schema=schema, header=True)
+    types = ",".join(f"{f.name} {f.dataType.simpleString()}" for f in out.schema)
+    # The table's own key is wider than its values.
+    return out.select(F.col("p_partkey").cast("bigint").alias("p_partkey"), "p_name", "p_brand", "p_size",
+                      F.lit(types).alias("types"))
+
+
+@query("sorted_as_written", """
+SELECT 'token_counts' AS result, count(DISTINCT t) AS "rows", 0::BIGINT AS inversions
+FROM (SELECT unnest(string_split(trim(l, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), ' ')) AS t
+      FROM (SELECT unnest(string_split(text, chr(10))) AS l FROM documents))
+UNION ALL
+SELECT 'top_rated', count(*), 0 FROM (
+  SELECT l_partkey FROM lineitem JOIN part ON p_partkey = l_partkey
+  WHERE list_contains(string_split(p_name, ' '), 'ring') GROUP BY l_partkey HAVING count(*) > 10)
+UNION ALL
+SELECT 'item_counts', count(DISTINCT p_brand), 0 FROM lineitem JOIN part ON p_partkey = l_partkey
+""")
+def q_sorted_as_written(spark, d):
+    """O1-O3: sorted results, written as text, CSV and parquet, are in order file
+    by file and row by row."""
+    from cascara.operators import itemsets as I
+    from cascara.plans.q_items import _baskets
+
+    out = None
+    top = TB.top_rated(S.ratings(spark, d), S.items_with_tags(spark, d), "item_id", "rating", "title",
+                       F.col("tags"), TOP_TAG, TOP_MIN_COUNT)
+    kinds = {f.name: f.dataType.simpleString() for f in top.schema}
+    for name, df, kind, keys in (
+            ("token_counts", X.token_counts(S.doc_lines(spark, d)), "text", [("count", True), ("token", False)]),
+            ("top_rated", top, "csv", [("avg_rating", True), ("item_id", False)]),
+            ("item_counts", I.item_counts(_baskets(spark, d), "items"), "parquet", [("count", True), ("item", False)])):
+        path = scratch_path(spark, f"sorted-{name}")
+        if kind == "text":
+            write_text(df, path)
+            parts = F.split("value", "\t", -1)
+            rows = written_rows(spark, path, "text", "value string", lineSep="\n").withColumns({
+                "token": F.when(parts[0] != "\\N", parts[0]), "count": parts[1].cast("bigint")})
+        elif kind == "csv":
+            write_csv(df, path, header=False)
+            rows = written_rows(spark, path, "csv", ", ".join(f"`{c}` {t}" for c, t in kinds.items()))
+        else:
+            df.write.parquet(path)
+            rows = written_rows(spark, path, "parquet", "item string, count bigint")
+        one = order_faults(rows, keys).select(F.lit(name).alias("result"), "rows", "inversions")
+        out = one if out is None else out.unionAll(one)
+    return out

@@ -12,6 +12,7 @@ from cascara.operators import tables as T
 from cascara.plans import standins as S
 from cascara.plans.registry import query, r6
 from cascara.session import materialize, scratch_path
+from cascara.sources import load_table
 
 ITEM_SHARE = 0.12    # item frequent when in more than 12 % of baskets
 SET_SHARE = 0.004    # set frequent when in more than 0.4 % of baskets
@@ -156,3 +157,36 @@ def q_itemsets_fp(spark, d):
     b, t_item, t_set = _baskets_once(spark, d)
     out = I.frequent_itemsets_fpgrowth(b, "items", t_item, t_set, max_len=4, key="basket_id")
     return out.select("level", "label", "count")
+
+
+@query("given_sets", _BASE + """
+, b AS (SELECT DISTINCT p_brand AS item FROM part),
+w AS (SELECT a.item AS x, c.item AS y, NULL AS z FROM b a JOIN b c ON a.item < c.item
+      UNION ALL SELECT a.item, c.item, e.item FROM b a JOIN b c ON a.item < c.item JOIN b e ON c.item < e.item),
+h AS (SELECT x, y, NULL AS z, count(*) AS n FROM (
+        SELECT a.item AS x, c.item AS y FROM occ a JOIN occ c ON a.basket_id = c.basket_id AND a.item < c.item)
+      GROUP BY x, y
+      UNION ALL SELECT x, y, z, count(*) FROM (
+        SELECT a.item AS x, c.item AS y, e.item AS z FROM occ a JOIN occ c ON a.basket_id = c.basket_id AND a.item < c.item
+        JOIN occ e ON e.basket_id = a.basket_id AND c.item < e.item) GROUP BY x, y, z)
+SELECT concat_ws('-', w.x, w.y, w.z) AS label, coalesce(h.n, 0)::BIGINT AS count
+FROM w LEFT JOIN h ON w.x = h.x AND w.y = h.y AND w.z IS NOT DISTINCT FROM h.z
+""")
+def q_given_sets(spark, d):
+    """I3 for thousands of given sets in one pass: all pairs and triples of brands,
+    found in an order or not."""
+    brands = load_table(spark, d, "part").agg(F.array_sort(F.collect_set("p_brand")).alias("b"))  # 25 names
+
+    def longer(df, at: str, names: list[str]):
+        """Each row once for every brand after position ``at``."""
+        rest = F.transform(F.slice("b", F.col(at) + 2, F.size("b")), lambda x, i: F.struct(
+            (F.col(at) + 1 + i).alias("at"), x.alias("x")))
+        return df.withColumn("e", F.explode(rest)).select(
+            "b", F.col("e.at").alias("at"), *names, F.col("e.x").alias(f"x{len(names)}"))
+
+    one = brands.select("b", F.posexplode("b").alias("at", "x0"))
+    two = longer(one, "at", ["x0"])
+    three = longer(two, "at", ["x0", "x1"])
+    wanted = two.select(F.array("x0", "x1").alias("items")).unionAll(three.select(F.array("x0", "x1", "x2")))
+    return I.count_given_sets(_baskets(spark, d), "items", wanted).select(
+        F.concat_ws("-", "items").alias("label"), "count")

@@ -218,9 +218,7 @@ def q_rmse_baseline(spark, d):
 
 def _ratings(spark, d):
     """Triples with dense int ids, written once."""
-    r = materialize(S.user_item_ratings(spark, d), "pairs")
-    r = R.dense_ids(R.dense_ids(r, "user", "user_no"), "item", "item_no")
-    return materialize(r, "ratings")
+    return R.dense_pairs(materialize(S.user_item_ratings(spark, d), "pairs"))
 
 
 @query("als_fit")

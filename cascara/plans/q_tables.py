@@ -148,6 +148,19 @@ def q_describe(spark, d):
     return out.select("column", "count", *[r6(c).alias(c) for c in ("mean", "stddev", "min", "max")])
 
 
+_QUARTILES = ("l_quantity", "l_extendedprice", "l_discount", "l_orderkey")
+
+
+@query("describe_quartiles", " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", CAST(count({c}) AS BIGINT) AS count, round(avg({c}), 6) AS mean,
+    CAST(quantile_disc({c}, 0.25) AS DOUBLE) AS q25, CAST(quantile_disc({c}, 0.5) AS DOUBLE) AS q50,
+    CAST(quantile_disc({c}, 0.75) AS DOUBLE) AS q75 FROM lineitem""" for c in _QUARTILES))
+def q_describe_quartiles(spark, d):
+    """A8 with exact percentiles."""
+    out = T.describe_quartiles(load_table(spark, d, "lineitem"), _QUARTILES)
+    return out.select("column", "count", r6("mean").alias("mean"), "q25", "q50", "q75")
+
+
 @query("join_inner_dim", """
 SELECT l_orderkey, l_linenumber, l_suppkey, s_name
 FROM lineitem JOIN supplier ON s_suppkey = l_suppkey

@@ -9,6 +9,7 @@ exploration only.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # The three input schemas, in the files' column order.
@@ -65,3 +66,56 @@ def read_csv(
     if schema is not None:
         return reader.schema(schema).csv(path)
     return reader.option("inferSchema", infer).csv(path)
+
+
+# The lattice of column types, narrowest first: (type, what a value must look
+# like, whether the cast must also succeed). Every value is a string.
+_LATTICE = (
+    ("boolean", r"^(?i:true|false)$"),
+    ("int", r"^[+-]?[0-9]+$"),
+    ("bigint", r"^[+-]?[0-9]+$"),
+    ("double", r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"),
+    ("date", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"),
+    ("timestamp", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]+)?(Z|[+-][0-9]{2}:?[0-9]{2})?$"),
+)
+
+
+def column_types(raw: DataFrame) -> DataFrame:
+    """What the string columns of ``raw`` hold, from one pass: (position,
+    column, type, rows, null_share, misfit).
+
+    ``type`` is the narrowest of boolean, int, bigint, double, date and timestamp
+    that takes every value (int goes into bigint and double), else string; a
+    column without values is a string. NULL and empty strings are NULLs. ``misfit``
+    is the least value that the next narrower of the numbers does not take, or for
+    a string the least that is no number (NULL: there is none).
+    """
+    aggs, names = [F.count(F.lit(1)).alias("rows")], raw.columns
+    for i, c in enumerate(names):
+        v = F.when(F.col(c) != "", F.col(c))
+        fits = {t: v.rlike(pattern) & v.try_cast(t).isNotNull() for t, pattern in _LATTICE}
+        aggs.append(F.struct(
+            F.count(v).alias("n"),
+            *[F.coalesce(F.every(F.when(v.isNotNull(), ok)), F.lit(False)).alias(t) for t, ok in fits.items()],
+            *[F.min(F.when(~fits[t], v)).alias(f"no_{t}") for t in ("int", "bigint", "double")]).alias(f"c{i}"))
+    one = raw.agg(*aggs)
+    out = []
+    for i, c in enumerate(names):
+        s = F.col(f"c{i}")
+        kind, misfit = F.lit("string"), s["no_double"]
+        for t, _ in reversed(_LATTICE):
+            kind = F.when(s[t], F.lit(t)).otherwise(kind)
+        misfit = F.when(kind == "bigint", s["no_int"]).when(kind == "double", s["no_bigint"]).when(
+            kind == "string", s["no_double"])
+        out.append(F.struct(
+            F.lit(i).alias("position"), F.lit(c).alias("column"), kind.alias("type"), F.col("rows"),
+            F.coalesce(F.try_divide(F.col("rows") - s["n"], F.col("rows")), F.lit(0.0)).alias("null_share"),
+            misfit.alias("misfit")))
+    return one.select(F.inline(F.array(*out)))
+
+
+def infer_schema(spark: SparkSession, path: str, header: bool = False) -> T.StructType:
+    """The schema of :func:`column_types` for CSV files: one pass over them."""
+    raw = spark.read.option("header", header).csv(path)
+    kinds = {r["position"]: r["type"] for r in column_types(raw).collect()}  # a row per column
+    return T.StructType([T.StructField(c, T._parse_datatype_string(kinds[i])) for i, c in enumerate(raw.columns)])
