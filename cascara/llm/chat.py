@@ -1,19 +1,20 @@
 """Operator 5 (DataFrame functions only): chat formatting.
 
 A template declares how a turn is marked, which roles are trained on, which
-role may follow which, and which strings must not occur inside a text. Every
-conversation becomes one formatted string and its segments, each with a loss
-flag; a finite-state machine over the roles says where an order breaks.
+role may follow which, and which strings must not occur inside a text. Turns stay
+rows: a finite-state machine runs over a conversation's roles (never its texts)
+and says where an order breaks, and every turn becomes text segments with loss
+flags. Only :func:`format_chats` puts a conversation into one string.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cascara.llm.common import load_table, query
+from cascara.llm.common import hidden, load_table, query
 
 
 @dataclass(frozen=True)
@@ -55,30 +56,24 @@ def unescaped(text: Column, t: Template) -> Column:
     return text
 
 
-def format_chats(turns: DataFrame, t: Template = Template(), conv: str = "conv_id",
-                 turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
-    """(conv, formatted, segments, n_turns, state, bad_turn, valid).
+_POS, _WHO, _SAID = (hidden(c) for c in ("pos", "role", "text"))
 
-    ``segments`` are structs (text, loss) whose texts, joined, are
-    ``formatted``. ``bad_turn`` is the position of the first turn that the
-    machine refuses (null: none; the state then stays "refused"), ``valid``
-    says that all turns were taken and the end is a final state. Invalid
-    conversations are formatted all the same; what to do with them is the
-    caller's choice.
 
-    Turns are ordered by (turn, role, text), nulls first, so ties and repeated
-    rows have a defined place. A null role or text is empty; a null conv is a
-    conversation of its own; other columns are ignored. No rows: no result. The
-    turns of one conversation meet in one row, which is the result's own size.
-    """
-    def turn_segments(r):
-        return F.array(
-            F.struct(F.concat(F.lit(t.open), escaped(r["role"], t), F.lit(t.body)).alias("text"),
-                     F.lit(False).alias("loss")),
-            F.struct(escaped(r["text"], t).alias("text"),
-                     r["role"].isin(*t.trained).alias("loss")),
-            F.struct(F.lit(t.close).alias("text"), F.lit(False).alias("loss")))
+def numbered_turns(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role",
+                   text: str = "text") -> DataFrame:
+    """(conv, pos, role, text): turns in order of (turn, role, text), nulls first,
+    numbered from 0; a null role or text is empty."""
+    rows = turns.select(F.col(conv).alias(conv), F.col(turn).alias(hidden("turn")),
+                        F.coalesce(F.col(role), F.lit("")).alias(_WHO), F.coalesce(F.col(text), F.lit("")).alias(_SAID))
+    order = Window.partitionBy(conv).orderBy(hidden("turn"), _WHO, _SAID)
+    return rows.withColumn(_POS, F.row_number().over(order) - 1).drop(hidden("turn"))
+
 
+def run_machine(rows: DataFrame, t: Template = Template(), conv: str = "conv_id") -> DataFrame:
+    """(conv, n_turns, state, bad_turn, valid) of :func:`numbered_turns`, from the
+    roles alone: ``bad_turn`` is the position of the first turn that the machine
+    refuses (null: none; the state then stays "refused"), ``valid`` says that all
+    turns were taken and the end is a final state."""
     table = F.create_map(*[F.lit(x) for s, to in t.steps.items() for r, n in to.items()
                            for x in (f"{s}\n{r}", n)])
 
@@ -88,22 +83,67 @@ def format_chats(turns: DataFrame, t: Template = Template(), conv: str = "conv_i
                         (acc["n"] + 1).alias("n"),
                         F.coalesce(acc["bad"], F.when(state.isNull(), acc["n"])).alias("bad"))
 
-    rows = (turns.groupBy(F.col(conv).alias(conv))
-            .agg(F.array_sort(F.collect_list(F.struct(
-                F.col(turn).alias("turn"), F.coalesce(F.col(role), F.lit("")).alias("role"),
-                F.coalesce(F.col(text), F.lit("")).alias("text")))).alias("rows"))
-            .withColumns({
-                "segments": F.flatten(F.transform("rows", turn_segments)),
-                "end": F.aggregate("rows", F.struct(
-                    F.lit("start").alias("state"), F.lit(0).alias("n"),
-                    F.lit(None).cast("int").alias("bad")), step)}))
-    return rows.select(
-        conv, F.array_join(F.transform("segments", lambda s: s["text"]), "").alias("formatted"),
-        "segments", F.size("rows").cast("long").alias("n_turns"), F.col("end.state").alias("state"),
-        F.col("end.bad").alias("bad_turn"),
+    roles = rows.groupBy(conv).agg(F.array_sort(F.collect_list(F.struct(
+        F.col(_POS).alias("pos"), F.col(_WHO).alias("role")))).alias("roles"))
+    end = F.aggregate("roles", F.struct(F.lit("start").alias("state"), F.lit(0).alias("n"),
+                                        F.lit(None).cast("int").alias("bad")), step)
+    return roles.select(conv, F.size("roles").cast("long").alias("n_turns"), end.alias("end")).select(
+        conv, "n_turns", F.col("end.state").alias("state"), F.col("end.bad").alias("bad_turn"),
         (F.col("end.bad").isNull() & F.col("end.state").isin(*t.final)).alias("valid"))
 
 
+def chat_segments(turns: DataFrame, t: Template = Template(), conv: str = "conv_id", turn: str = "turn",
+                  role: str = "role", text: str = "text", loss_on: str = "role") -> DataFrame:
+    """(conv, pos, part, segment, loss, n_turns, state, bad_turn, valid): three rows
+    a turn (its mark, its text, its end), whose segments in order of (pos, part) are
+    the formatted conversation.
+
+    ``loss_on`` says which texts of trained roles count for the loss: "role" all,
+    "taken" those that the machine took (before ``bad_turn``), "valid" those of
+    valid conversations. Other rules as in :func:`format_chats`.
+    """
+    if loss_on not in ("role", "taken", "valid"):
+        raise ValueError(f"unknown loss_on: {loss_on}")
+    rows = numbered_turns(turns, conv, turn, role, text)
+    told = run_machine(rows, t, conv).withColumnRenamed(conv, hidden("conv"))
+    rows = rows.join(told, F.col(conv).eqNullSafe(F.col(hidden("conv")))).drop(hidden("conv"))
+    loss = F.col(_WHO).isin(*t.trained)
+    if loss_on == "taken":
+        loss = loss & (F.col(_POS) < F.coalesce("bad_turn", F.col(_POS) + 1))
+    elif loss_on == "valid":
+        loss = loss & F.col("valid")
+    parts = F.array(
+        F.struct(F.concat(F.lit(t.open), escaped(F.col(_WHO), t), F.lit(t.body)).alias("segment"), F.lit(False).alias("loss")),
+        F.struct(escaped(F.col(_SAID), t).alias("segment"), loss.alias("loss")),
+        F.struct(F.lit(t.close).alias("segment"), F.lit(False).alias("loss")))
+    return rows.select(conv, F.col(_POS).alias("pos"), F.posexplode(parts).alias("part", "s"),
+                       "n_turns", "state", "bad_turn", "valid").select(
+        conv, "pos", "part", "s.segment", "s.loss", "n_turns", "state", "bad_turn", "valid")
+
+
+def format_chats(turns: DataFrame, t: Template = Template(), conv: str = "conv_id",
+                 turn: str = "turn", role: str = "role", text: str = "text", loss_on: str = "role") -> DataFrame:
+    """(conv, formatted, segments, n_turns, state, bad_turn, valid).
+
+    ``segments`` are structs (text, loss) whose texts, joined, are
+    ``formatted``; the rest is told by :func:`run_machine`, ``loss_on`` by
+    :func:`chat_segments`. Invalid conversations are formatted all the same; what
+    to do with them is the caller's choice.
+
+    Turns are ordered by (turn, role, text), nulls first, so ties and repeated
+    rows have a defined place. A null role or text is empty; a null conv is a
+    conversation of its own; other columns are ignored. No rows: no result. The
+    segments of one conversation meet in one row, which is the result's own size;
+    :func:`chat_segments` has them as rows.
+    """
+    rows = chat_segments(turns, t, conv, turn, role, text, loss_on)
+    whole = rows.groupBy(conv, "n_turns", "state", "bad_turn", "valid").agg(F.transform(
+        F.array_sort(F.collect_list(F.struct("pos", "part", "segment", "loss"))),
+        lambda s: F.struct(s["segment"].alias("text"), s["loss"].alias("loss"))).alias("segments"))
+    return whole.select(conv, F.array_join(F.transform("segments", lambda s: s["text"]), "").alias("formatted"),
+                        "segments", "n_turns", "state", "bad_turn", "valid")
+
+
 def parse_turns(formatted: Column, t: Template = Template()) -> Column:
     """The (role, text) structs of a formatted string, unescaped."""
     def back(piece):
@@ -135,21 +175,34 @@ def _sql_escaped(col: str) -> str:
     return col
 
 
+_MOVES = [(s, r, n) for s, to in _T.steps.items() for r, n in to.items()]
+# In the default template a state is what the last role led to.
+_AFTER = {r: n for _, r, n in _MOVES}
+_ALLOWED = ", ".join(f"('{next((r for r, n in _AFTER.items() if n == s), '-')}', '{r}')" for s, r, _ in _MOVES)
+
 _SQL = f"""
 WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
+), o AS (
+  SELECT *, row_number() OVER w - 1 AS pos, coalesce(lag(role) OVER w, '-') AS before
+  FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
 ), g AS (
-  SELECT conv_id, count(*) AS n_turns,
-         string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS all_turns,
-         coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss,
+  SELECT conv_id, count(*) AS n_turns, min(pos) FILTER ((before, role) NOT IN ({_ALLOWED})) AS bad,
+         arg_max(role, pos) AS last_role,
+         string_agg(role || chr(10) || text || chr(10), '' ORDER BY pos) AS all_turns,
+         coalesce(string_agg(text, '' ORDER BY pos) FILTER (role = 'assistant'), '') AS loss,
          sum({len(_T.open + _T.body + _T.close)} + length({_sql_escaped('role')})
              + length({_sql_escaped('text')}))::BIGINT AS formatted_chars
-  FROM t GROUP BY conv_id
+  FROM o GROUP BY conv_id
+), e AS (
+  SELECT *, CASE WHEN bad IS NOT NULL THEN 'refused' {" ".join(f"WHEN last_role = '{r}' THEN '{n}'" for r, n in _AFTER.items())}
+            END AS state FROM g
 )
 SELECT conv_id, n_turns, sha256(all_turns) AS turns_sha256, length(loss)::BIGINT AS loss_chars,
-       sha256(loss) AS loss_sha256, formatted_chars
-FROM g
+       sha256(loss) AS loss_sha256, formatted_chars, state, bad::INTEGER AS bad_turn,
+       bad IS NULL AND state IN ({", ".join(f"'{s}'" for s in _T.final)}) AS valid
+FROM e
 """
 
 
@@ -168,4 +221,4 @@ def op5(spark: SparkSession, d: str) -> DataFrame:
                     .alias("turns_sha256"),
                     F.length("loss").cast("long").alias("loss_chars"),
                     F.sha2("loss", 256).alias("loss_sha256"),
-                    F.length("formatted").cast("long").alias("formatted_chars")))
+                    F.length("formatted").cast("long").alias("formatted_chars"), "state", "bad_turn", "valid"))

@@ -1,13 +1,15 @@
 """Operator 4: quality rules with risk-controlled cutoffs.
 
-Each rule is a ratio of counts with a fixed ladder of cutoffs, loosest first.
-For every stratum and rule the labelled good documents tell how many a cutoff
-would reject wrongly. A cutoff may be used if the exact binomial test refuses,
-at the level left after correction, that its false rejection rate exceeds the
-rule's share of the limit; the ladder is walked until the first cutoff fails
-(fixed-sequence testing, so walking costs no level), and the level is divided
-by strata and rules (Bonferroni). Then, with confidence 1 - ``delta``, in every
-stratum at most ``alpha`` of good documents are rejected by the cutoffs.
+Each rule is a ratio of counts with a fixed ladder of cutoffs, loosest first. A
+step of the ladder sets the cutoffs of all rules at once, so the documents that
+any rule rejects are counted together and the limit is not split between rules.
+For every stratum the labelled good documents tell how many a step would reject
+wrongly. A step may be used if the exact binomial test refuses, at the level left
+after correction, that its false rejection rate exceeds the limit; the ladder is
+walked until the first step fails (fixed-sequence testing, so walking costs no
+level), and the level is divided by the strata (Bonferroni). Then, with confidence
+1 - ``delta``, in every stratum at most ``alpha`` of good documents are rejected by
+the cutoffs. Equal texts are one draw, whatever their ids and number.
 """
 
 from __future__ import annotations
@@ -21,8 +23,8 @@ from pyspark.sql import functions as F
 
 from cascara.llm.common import hidden, load_table, map_rows, materialize, query
 
-#: Cutoffs are broadcast up to this many strata (under 8 MB), else joined.
-BROADCAST_STRATA = 50_000
+#: Cutoffs are broadcast up to this many bytes (summed first), else joined.
+BROADCAST_BYTES = 8 << 20
 
 _SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
 # The symbols counted.
@@ -31,8 +33,11 @@ _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _COUNTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
 
 
-def _ladder(loose: float, tight: float, steps: int = 48) -> tuple[float, ...]:
-    return tuple(round(loose + (tight - loose) * i / (steps - 1), 6) for i in range(steps))
+STEPS = 48
+
+
+def _ladder(loose: float, tight: float) -> tuple[float, ...]:
+    return tuple(round(loose + (tight - loose) * i / (STEPS - 1), 6) for i in range(STEPS))
 
 
 #: rule -> (value, cutoffs from loosest to tightest); a value above rejects.
@@ -121,39 +126,34 @@ def choose_cutoff(good: list[int], bad: list[int], alpha: float, level: float,
 
 def fit_cutoffs(counts: DataFrame, alpha: float = 0.05, delta: float = 0.05,
                 cost: float = 10.0) -> DataFrame:
-    """(stratum, rule, cutoff) of the rules in use. ``counts`` has stratum, good
-    and the base counts of the labelled holdout, without failed documents.
+    """(stratum, step) of the strata whose rules are in use: the step of every
+    rule's ladder. ``counts`` has stratum, good and the base counts of the labelled
+    holdout, one row a draw, without failed documents.
 
-    Strata too small to guarantee anything get no cutoff. The cost of a good
-    document steers the choice only; the guarantee does not depend on it.
+    Strata too small to guarantee anything get no step. The cost of a good document
+    steers the choice only; the guarantee does not depend on it.
     """
     strata = counts.select("stratum").distinct().count()
-    level, share = delta / max(1, strata * len(RULES)), alpha / len(RULES)
+    level = delta / max(1, strata)
 
     def exceeded(value: str, ladder: tuple[float, ...]):
         return F.aggregate(F.array(*map(F.lit, ladder)), F.lit(0),
-                           lambda n, cut: n + (F.expr(value) > cut).cast("int"))
+                           lambda n, cut: n + F.coalesce((F.expr(value) > cut).cast("int"), F.lit(0)))
 
-    rows = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), exceeded(*v).alias("exceeded"))
-                               for r, v in RULES.items()]))
-    table = (counts.select("stratum", "good", rows.alias("x"))
-             .groupBy("stratum", F.col("x.rule").alias("rule"), F.col("x.exceeded").alias("exceeded"))
+    table = (counts.select("stratum", "good", F.greatest(*[exceeded(*v) for v in RULES.values()]).alias("exceeded"))
+             .groupBy("stratum", "exceeded")
              .agg(F.sum(F.col("good").cast("long")).alias("good"),
                   F.sum((~F.col("good")).cast("long")).alias("bad")))
 
     def choose(t: pd.DataFrame) -> pd.DataFrame:  # one row per step at most
-        rule = t["rule"].iloc[0]
-        ladder = RULES[rule][1]
-        good, bad = [0] * (len(ladder) + 1), [0] * (len(ladder) + 1)
+        good, bad = [0] * (STEPS + 1), [0] * (STEPS + 1)
         for e, g, b in zip(t["exceeded"], t["good"], t["bad"]):
             good[e], bad[e] = int(g), int(b)
-        at = choose_cutoff(good, bad, share, level, cost)
-        used = t[["stratum", "rule"]].head(int(at >= 0))
-        return used.assign(cutoff=ladder[at])
+        at = choose_cutoff(good, bad, alpha, level, cost)
+        return t[["stratum"]].head(int(at >= 0)).assign(step=at)
 
     kind = counts.schema["stratum"].dataType.simpleString()
-    return (table.groupBy("stratum", "rule")
-            .applyInPandas(choose, f"stratum {kind}, rule string, cutoff double"))
+    return table.groupBy("stratum").applyInPandas(choose, f"stratum {kind}, step int")
 
 
 def judge(docs: DataFrame, labels: DataFrame, stratum_col: str = "lang", id_col: str = "doc_id",
@@ -165,32 +165,35 @@ def judge(docs: DataFrame, labels: DataFrame, stratum_col: str = "lang", id_col:
     base_failed: under 50 words, or over half of them in repeated 3-word
     windows. A null text is empty and fails. A null stratum is a stratum. A
     document with several labels is good if all of them say 1; null labels are
-    no labels; labels of unknown documents are ignored. Without labels there
-    are no cutoffs. Repeated rows are all judged (and, labelled, all count).
-    Columns named like the results are replaced.
+    no labels; labels of unknown documents are ignored. Labelled documents of
+    equal text in a stratum are one draw, good if all of them are. Without labels
+    there are no cutoffs. Repeated rows are all judged. Columns named like the
+    results are replaced.
     """
-    counts = text_counts(docs.drop("base_failed", "broken", "kept"), text_col)
+    digest, stratum, step = hidden("digest"), hidden("stratum"), hidden("step")
+    docs = docs.drop("base_failed", "broken", "kept").withColumn(digest, F.sha2(F.coalesce(text_col, F.lit("")), 256))
+    counts = text_counts(docs, text_col)
     counts = materialize(counts.withColumn("base_failed", (F.col("n_words") < 50) | (
         100 * F.col("n_repeat_words") > 50 * F.col("n_words"))), "text-counts")
     known = (labels.select(F.col(id_col).alias("_id"), F.col(good_col).alias("_good"))
              .where("_id IS NOT NULL AND _good IS NOT NULL")
              .groupBy("_id").agg((F.min("_good") == 1).alias("good")))
     holdout = (counts.where(~F.col("base_failed"))
-               .select(F.col(id_col).alias("_id"), F.col(stratum_col).alias("stratum"), *_COUNTS)
-               .join(known, "_id").select("stratum", "good", *_COUNTS))
-    cutoffs = fit_cutoffs(materialize(holdout, "holdout"), alpha, delta, cost)
-    stratum, limits = hidden("stratum"), hidden("cutoffs")
-    cutoffs = materialize(
-        cutoffs.groupBy(F.col("stratum").alias(stratum))
-        .agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias(limits)),
-        "cutoffs")  # a map of len(RULES) entries at most
-    if cutoffs.count() <= BROADCAST_STRATA:
+               .select(F.col(id_col).alias("_id"), F.col(stratum_col).alias("stratum"), F.col(digest).alias("_text"),
+                       *_COUNTS)
+               .join(known, "_id")
+               # Equal texts have equal counts.
+               .groupBy("stratum", "_text").agg(F.min("good").alias("good"), *[F.max(c).alias(c) for c in _COUNTS]))
+    cutoffs = fit_cutoffs(materialize(holdout.drop("_text"), "holdout"), alpha, delta, cost)
+    cutoffs = materialize(cutoffs.select(F.col("stratum").alias(stratum), F.col("step").alias(step)), "cutoffs")
+    size = cutoffs.agg(F.sum(16 + F.coalesce(F.octet_length(F.col(stratum).cast("string")), F.lit(0)))).first()[0]
+    if (size or 0) <= BROADCAST_BYTES:
         cutoffs = F.broadcast(cutoffs)
     broken = F.array_compact(F.array(*[
-        F.when(F.expr(value) > F.try_element_at(limits, F.lit(r)), F.lit(r))
-        for r, (value, _) in sorted(RULES.items())]))
+        F.when(F.expr(value) > F.get(F.array(*map(F.lit, ladder)), F.col(step)), F.lit(r))
+        for r, (value, ladder) in sorted(RULES.items())]))
     return (counts.join(cutoffs, F.col(stratum_col).eqNullSafe(F.col(stratum)), "left")
-            .withColumn("broken", broken).drop(stratum, limits)
+            .withColumn("broken", broken).drop(stratum, step, digest)
             .withColumn("kept", ~F.col("base_failed") & (F.size("broken") == 0)))
 
 

@@ -5,7 +5,7 @@ from fractions import Fraction
 from pyspark.sql import functions as F
 
 from llm_fixtures import docs, no_docs  # noqa: F401
-from cascara.llm.chat import Template, format_chats, loss_text, parse_turns
+from cascara.llm.chat import Template, chat_segments, format_chats, loss_text, parse_turns
 from cascara.llm.line_dedup import remove_common_lines
 from cascara.llm.mixing import mix, mix_plan
 
@@ -124,3 +124,32 @@ def test_no_python_on_the_main_path(spark):
         code = pathlib.Path(m.__file__).read_text()
         assert not any(x in code for x in ("map_rows(", "pandas", "mapIn", "udf(", ".rdd"))
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0")
+
+
+def test_segments_are_rows_and_loss_follows_the_choice(spark):
+    rows = [(1, 0, "user", "q"), (1, 1, "assistant", "a"), (2, 0, "user", "q"), (2, 1, "user", "r"), (2, 2, "assistant", "b"),
+            (3, 0, "user", "q"), (3, 1, "assistant", "a"), (3, 2, "user", "left open"), (None, 0, "assistant", "z")]
+    table = spark.createDataFrame([(*r, "x", "y", "z") for r in rows],
+                                  "conv_id long, turn int, role string, text string, pos string, state string, loss string")
+    out = chat_segments(table)
+    assert out.count() == 3 * len(rows)
+    for on, want in (("role", {1: "a", 2: "b", 3: "a", None: "z"}), ("taken", {1: "a", 3: "a"}), ("valid", {1: "a"})):
+        got = chat_segments(table, loss_on=on).where("loss").collect()
+        assert {r["conv_id"]: r["segment"] for r in got} == want
+        whole = format_chats(table, loss_on=on)
+        assert {r["conv_id"]: r["x"] for r in whole.select("conv_id", loss_text(F.col("segments")).alias("x")).where(
+            "x <> ''").collect()} == want
+    told = {r["conv_id"]: (r["state"], r["bad_turn"], r["valid"]) for r in out.collect()}
+    assert told == {1: ("answered", None, True), 2: ("refused", 1, False), 3: ("asked", None, False),
+                    None: ("refused", 0, False)}
+
+
+def test_a_very_long_conversation_and_text(spark):
+    long = "word \\ <s> " * 100_000
+    table = spark.range(6000).select(F.lit(5).cast("long").alias("conv_id"), F.col("id").cast("int").alias("turn"),
+                                     F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"),
+                                     F.when(F.col("id") == 77, long).otherwise("t").alias("text"))
+    out = format_chats(table).select("n_turns", "valid", parse_turns(F.col("formatted")).alias("turns"),
+                                     loss_text(F.col("segments")).alias("loss")).first()
+    assert out["n_turns"] == 6000 == len(out["turns"]) and out["valid"]
+    assert out["turns"][77]["text"] == long and out["loss"] == "t" * 38 + long + "t" * 2961

@@ -5,7 +5,8 @@ import re
 from pyspark.sql import functions as F
 
 from cascara.llm import quality_model as qm
-from cascara.llm.quality_rules import RULES, base_counts, binomial_cdf, choose_cutoff, judge
+from cascara.llm.catalog import QUERIES
+from cascara.llm.quality_rules import RULES, STEPS, base_counts, binomial_cdf, choose_cutoff, judge
 from cascara.sources.tables import load_table
 from llm_fixtures import docs, no_docs  # noqa: F401
 from conftest import SF_MID
@@ -82,6 +83,76 @@ def test_judge(spark, docs, no_docs):
     assert set(RULES) == {"long_words", "short_words", "symbols", "same_lines", "repeats"}
 
 
+def test_copies_are_one_draw(spark):
+    """A good document, however often it is repeated or copied under other ids,
+    allows no cutoff; with bad ones about, others stay."""
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(300)]
+    good = " ".join(rng.choices(words, k=100))
+    rows = [(k, good, "en") for k in range(2000)] + [(0, good, "en")] * 500
+    rows += [(5000 + k, " ".join(rng.choices(words, k=90)) + " ### ***" * k, "en") for k in range(60)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = table.select("doc_id", (F.col("doc_id") < 5000).cast("int").alias("quality")).distinct()
+    out = judge(table, labels.unionAll(labels))
+    assert out.where("size(broken) > 0").count() == 0 and out.where("NOT kept AND NOT base_failed").count() == 0
+
+
+def brute_judge(rows, good, alpha=0.05, delta=0.05, cost=10.0):
+    """kept by doc_id, from (doc_id, text, stratum) rows and labels."""
+    def values(c):
+        n_words, chars, symbols, lines, same, repeat = c
+        per = lambda x, n: x / n if n else None
+        got = {"long_words": per(chars, n_words), "symbols": per(symbols, n_words), "same_lines": per(same, lines),
+               "repeats": per(repeat, n_words)}
+        got["short_words"] = None if got["long_words"] is None else -got["long_words"]
+        return got
+
+    def rejected(v, step):
+        return any(v[r] is not None and v[r] > ladder[step] for r, (_, ladder) in RULES.items())
+
+    counts = {i: brute_counts(t) for i, t, _ in rows}
+    failed = {i: c[0] < 50 or 2 * c[5] > c[0] for i, c in counts.items()}
+    draws = {}
+    for i, t, s in rows:
+        if i in good and not failed[i]:
+            old = draws.get((s, t), (values(counts[i]), True))
+            draws[s, t] = old[0], old[1] and good[i]
+    strata = {s for s, _ in draws}
+    step_of = {}
+    for s in strata:
+        mine = [d for (x, _), d in draws.items() if x == s]
+        n, best = sum(g for _, g in mine), 0.0
+        for step in range(STEPS):
+            wrong = sum(g and rejected(v, step) for v, g in mine)
+            if not n or binomial_cdf(wrong, n, alpha) > delta / len(strata):
+                break
+            gain = sum(not g and rejected(v, step) for v, g in mine) - cost * wrong
+            if gain > best:
+                best, step_of[s] = gain, step
+    return {i: (failed[i], not failed[i] and not (s in step_of and rejected(values(counts[i]), step_of[s])))
+            for i, _, s in rows}
+
+
+def test_query_equals_brute_force(spark):
+    docs, labels = (load_table(spark, SF_MID, t) for t in ("documents", "labels"))
+    rows = [(r["doc_id"], r["text"], r["lang"]) for r in docs.collect()]
+    good = {}
+    for r in labels.where("quality IS NOT NULL").collect():
+        good[r["doc_id"]] = good.get(r["doc_id"], True) and r["quality"] == 1
+    want = brute_judge(rows, good)
+    out = QUERIES["op4_quality_rules"](spark, SF_MID).collect()
+    assert {r["doc_id"]: (r["base_failed"], r["kept"]) for r in out} == want
+    texts = {i: t for i, t, _ in rows}
+    for r in out:
+        assert (r["n_words"], r["word_chars"], r["n_symbols"]) == brute_counts(texts[r["doc_id"]])[:3]
+        assert (r["n_dup_lines"], r["n_repeat_words"]) == brute_counts(texts[r["doc_id"]])[4:]
+    # The rules are at work, and spare good documents.
+    broken = [r["doc_id"] for r in out if r["broken"]]
+    assert len(broken) >= 5
+    lost = [i for i in broken if good.get(i)]
+    assert len(lost) <= 0.05 * sum(good.values())
+
+
 def test_held_out_accuracy(spark):
     docs, labels = load_table(spark, SF_MID, "documents"), load_table(spark, SF_MID, "labels")
     half = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0
