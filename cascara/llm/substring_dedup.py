@@ -6,20 +6,22 @@ decides its anchor, so all occurrences of a window meet under one anchor, and
 the windows of one anchor in a text are consecutive: a segment.
 
 1. All segments: (anchor, segment hash, document, place). Anchors found in one
-   document only are done.
-2. An anchor with one distinct segment needs no search: its first document is
-   the first of each of its windows.
-3. The distinct segments of all other anchors are dealt by anchor into shards
-   of bounded size. Each shard becomes a generalised suffix automaton whose
-   states know the least document they occur in; the segments stream through
-   it, and the states of window length give each window's first document.
-4. Segments whose anchor has more distinct segments than a shard may hold are
-   dealt by the hash of each window instead, and meet in an aggregation.
-5. A window is removed where its document comes after its first one.
+   document only are done. Where a segment also occurs in a smaller document, all
+   of it goes.
+2. Of the other words of a window at least half lie on one side of its anchor.
+   So the distinct segments of an anchor are dealt by (anchor, side, the words
+   next to it there): two rows a segment, and all occurrences of a window still
+   meet. Groups of one segment or one document need no search.
+3. A group's segments stream, in order of their documents, past the suffix
+   automaton of a reference shard: the matching statistics tell the windows that
+   earlier documents have, the automaton's states the first of these. Words of
+   windows not met before join the shard. A shard that is full takes no more;
+   segments with windows still unmatched go to the next round, and the first of
+   them begin the next shard. There is one rule for groups of every size.
+4. A window is removed where its document comes after its first one.
 
 Sending every shard to every document would cost documents times shards. A
-document is sent past those shards only that hold one of its anchors; nothing
-is broadcast.
+segment is sent past the shards of its groups only; nothing is broadcast.
 """
 
 from __future__ import annotations
@@ -30,15 +32,19 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from cascara.llm.automaton import SuffixAutomaton
-from cascara.llm.common import load_table, map_rows, materialize, query, text_or_empty
+from cascara.llm.common import beside_text, load_table, map_rows, materialize, query, text_or_empty
 
 _LAST = (1 << 63) - 1
 _Q = 0x9E3779B97F4A7C15
 _P = pow(_Q, -1, 1 << 64)
 _SEGMENT = "anchor long, segment long, size int, doc long, copy long, place long"
-_RUNS = "anchor long, segment long, size int, runs array<struct<first:int,last:int,doc:long>>"
+_RUNS = "array<struct<first:int,last:int,doc:long>>"
+_TEXTS = "anchor long, segment long, size int, doc long, words binary, groups array<long>"
+_ROUND = f"g long, anchor long, segment long, size int, doc long, words binary, runs {_RUNS}, done boolean"
 
 
 class _Powers:
@@ -91,134 +97,139 @@ def segments(h: np.ndarray, window: int, gram: int):
             first, end - first)
 
 
-def _runs(first_docs: list[int]) -> list[dict]:
+def _runs(first_docs: list[int | None]) -> list[dict]:
+    """Runs of consecutive windows with the same first document, None left out."""
     out: list[dict] = []
     for i, doc in enumerate(first_docs):
-        if out and out[-1]["doc"] == doc:
+        if doc is None:
+            continue
+        if out and out[-1]["doc"] == doc and out[-1]["last"] == i - 1:
             out[-1]["last"] = i
         else:
             out.append({"first": i, "last": i, "doc": doc})
     return out
 
 
-def first_documents(rows: list[tuple[int, np.ndarray]], window: int) -> list[list[int]]:
-    """For (document, words) rows: the least document of each of their windows,
-    over all rows, from one automaton."""
-    sam = SuffixAutomaton()
-    numbers: dict[int, int] = {}
-    ids = [[numbers.setdefault(w, len(numbers)) for w in words.tolist()] for _, words in rows]
-    for sequence in ids:
-        sam.add(sequence)
-    paths = [sam.states(sequence) for sequence in ids]
-    best = [_LAST] * len(sam.link)
-    for (doc, _), path in zip(rows, paths):
-        for v in path:
-            if doc < best[v]:
-                best[v] = doc
-    order = sam.by_length()
-    at_window = [0] * len(sam.link)
-    for v in reversed(order):
-        up = sam.link[v]
-        if best[v] < best[up]:
-            best[up] = best[v]
-    for v in order:
-        if sam.length[v] >= window:
-            up = sam.link[v]
-            at_window[v] = v if sam.length[up] < window else at_window[up]
-    return [[best[at_window[v]] for v in path[window - 1:]] for path in paths]
-
-
-def _shard_runs(window: int, shard_words: int):
-    """Rows sorted by anchor to runs: whole anchors are gathered up to
-    ``shard_words``, then searched together."""
-    names = [f.split()[0] for f in "anchor long, segment long, size int".split(", ")]
-    schema = pa.schema([
-        ("anchor", pa.int64()), ("segment", pa.int64()), ("size", pa.int32()),
-        ("runs", pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("doc", pa.int64())])))])
-
-    def search(rows):
-        found = first_documents([(doc, np.frombuffer(w, dtype="<u8")) for _, _, _, doc, w in rows], window)
-        cols = dict(zip(names, map(list, zip(*[r[:3] for r in rows]))))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(cols[n], schema.field(n).type) for n in names]
-            + [pa.array([_runs(x) for x in found], schema.field("runs").type)], schema=schema)
+class References(SuffixAutomaton):
+    """The automaton of one shard. Its sequences come in order of their documents,
+    so the document that makes a state is the first to have its strings."""
+
+    def __init__(self, window: int):
+        super().__init__()
+        self.window, self.doc, self.words = window, _LAST, 0
+        self.first = [_LAST]
+
+    def _new(self, length, step, link):
+        self.first.append(self.doc)
+        return super()._new(length, step, link)
+
+    def _split(self, p, c, q):
+        clone = super()._split(p, c, q)
+        self.first[clone] = self.first[q]
+        return clone
+
+    def known(self, words: list[int]) -> list[int | None]:
+        """For each window of ``words`` its first document here, if it has one."""
+        out: list[int | None] = []
+        link, length, w = self.link, self.length, self.window
+        for v, n in self.matching(words):
+            if n < w:
+                out.append(None)
+            else:
+                while length[link[v]] >= w:
+                    v = link[v]
+                out.append(self.first[v])
+        return out[w - 1:]
+
+    def learn(self, doc: int, words: list[int], missing: list[bool]) -> None:
+        """Add the words of the windows that are ``missing``."""
+        self.doc = doc
+        for run in _runs([0 if m else None for m in missing]):
+            part = words[run["first"]:run["last"] + self.window]
+            self.add(part)
+            self.words += len(part)
+
+
+def _search(window: int, shard_words: int):
+    """Rows sorted by group and document to the same rows: done, with the runs of
+    windows that earlier documents have, or left for the next shard."""
+    schema = to_arrow_schema(T._parse_datatype_string(_ROUND))
 
     def run(batches):
-        held, words, last = [], 0, None
+        group, shard = None, None
         for batch in batches:
-            for row in zip(*(batch[c].to_pylist() for c in (*names, "doc", "words"))):
-                if row[0] != last and words >= shard_words:
-                    yield search(held)
-                    held, words = [], 0
-                held.append(row)
-                words += row[2]
-                last = row[0]
-        if held:
-            yield search(held)
+            out: dict[str, list] = {f.name: [] for f in schema}
+            for row in batch.to_pylist():
+                if row["g"] != group:
+                    group, shard = row["g"], References(window)
+                words = np.frombuffer(row["words"], dtype="<u8").tolist()
+                docs: list[int | None] = [None] * (row["size"] - window + 1)
+                for r in row["runs"]:
+                    docs[r["first"]:r["last"] + 1] = [r["doc"]] * (r["last"] - r["first"] + 1)
+                docs = [a if a is not None else b for a, b in zip(docs, shard.known(words))]
+                missing = [d is None for d in docs]
+                done = not any(missing) or shard.words < shard_words
+                if done and any(missing):
+                    shard.learn(row["doc"], words, missing)
+                row.update(runs=_runs(docs), done=done, words=None if done else row["words"])
+                for c, x in row.items():
+                    out[c].append(x)
+            yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in schema], schema=schema)
 
     return run
 
 
-def removal_runs(rows: DataFrame, found: DataFrame, window: int, shard_words: int,
-                 hot_segments: int) -> DataFrame:
-    """(anchor, segment, size, runs): runs of windows of a segment with their
-    least document. ``rows``: (_doc, _copy, _text). ``found``: their segments."""
-    distinct = (found.groupBy("anchor", "segment", "size")
-                .agg(F.min(F.struct("doc", "copy", "place")).alias("least"), F.max("doc").alias("last")))
-    distinct = materialize(distinct, "segments")
-    shared = (distinct.groupBy("anchor")
-              .agg(F.min("least.doc").alias("lo"), F.max("last").alias("hi"),
-                   F.count(F.lit(1)).alias("variants")).where("lo < hi").select("anchor", "variants"))
-    distinct = materialize(distinct.join(shared, "anchor"), "shared-segments")
-    alone = distinct.where("variants = 1").select("anchor", "segment", "size", F.array(F.struct(
-        F.lit(0).alias("first"), (F.col("size") - window).alias("last"),
-        F.col("least.doc").alias("doc"))).alias("runs"))
-
-    # The words of the other segments, from the first text that has each.
+def removal_runs(rows: DataFrame, distinct: DataFrame, window: int, gram: int, shard_words: int) -> DataFrame:
+    """(anchor, segment, size, runs): runs of windows that documents before the
+    segment's least one have. ``rows``: (_doc, _copy, _text). ``distinct``: the
+    segments of shared anchors, with least and variants."""
+    # The words of the segments, from the first text that has each.
     wanted = (distinct.where("variants > 1")
               .groupBy(F.col("least.doc").alias("_doc"), F.col("least.copy").alias("_copy"))
-              .agg(F.collect_list(F.struct("anchor", "segment", "size", "least.place", "variants"))
+              .agg(F.collect_list(F.struct("anchor", "segment", "size", "least.place"))
                    .alias("wanted")))  # one text's segments
+    near = (window - gram + 1) // 2
+
+    def groups(words: np.ndarray, anchor: int) -> list[int]:
+        sums = _sums(words)
+        at = np.arange(window - gram + 1)
+        p = int(_piece_hashes(sums, at, at + gram).argmin())
+        sides = [(b"l", words[p - near:p], p >= near), (b"r", words[p + gram:p + gram + near], len(words) - p - gram >= near)]
+        return [int(np.int64(np.uint64(xxhash.xxh64_intdigest(side + x.tobytes(), anchor & (1 << 64) - 1)).view(np.int64)))
+                for side, x, there in sides if there]
 
     def cut(batch):
         out = []
         for doc, text, wanted in zip(*(batch[c].to_pylist() for c in ("_doc", "_text", "wanted"))):
             h = word_hashes(text.encode().split()).astype("<u8")
-            out += [{**w, "doc": doc, "words": h[w["place"]:w["place"] + w["size"]].tobytes()}
-                    for w in wanted]
-        yield {c: [r[c] for r in out]
-               for c in ("anchor", "segment", "size", "variants", "doc", "words")}
-
-    texts = map_rows(rows.join(wanted, ["_doc", "_copy"]).dropDuplicates(["_doc", "_copy"]), cut,
-                     "anchor long, segment long, size int, variants long, doc long, words binary")
-    texts = materialize(texts, "segment-words")
-    searched = (texts.where(F.col("variants") <= hot_segments)
-                .select("anchor", "segment", "size", "doc", "words")
-                .repartition("anchor").sortWithinPartitions("anchor")
-                .mapInArrow(_shard_runs(window, shard_words), _RUNS))
-
-    def windows(batch):
-        for a, s, size, doc, words in zip(*(batch[c].to_pylist()
-                                            for c in ("anchor", "segment", "size", "doc", "words"))):
-            sums = _sums(np.frombuffer(words, dtype="<u8"))
-            at = np.arange(size - window + 1)
-            n = len(at)
-            yield {"anchor": [a] * n, "segment": [s] * n, "size": [size] * n, "doc": [doc] * n,
-                   "at": at, "w": _piece_hashes(sums, at, at + window).view(np.int64)}
-
-    each = map_rows(texts.where(F.col("variants") > hot_segments), windows,
-                    "anchor long, segment long, size int, doc long, at int, w long")
-    first = each.groupBy("anchor", "w").agg(F.min("doc").alias("first_doc"))
-    hot = (each.join(first, ["anchor", "w"]).groupBy("anchor", "segment", "size")
-           .agg(F.array_sort(F.collect_list(F.struct(  # one segment's windows
-               F.col("at").alias("first"), F.col("at").alias("last"),
-               F.col("first_doc").alias("doc")))).alias("runs")))
-    return alone.unionAll(searched).unionAll(hot)
+            for w in wanted:
+                words = h[w["place"]:w["place"] + w["size"]]
+                out.append({**w, "doc": doc, "words": words.tobytes(), "groups": groups(words, w["anchor"])})
+        yield {c: [r[c] for r in out] for c in ("anchor", "segment", "size", "doc", "words", "groups")}
+
+    texts = materialize(map_rows(rows.join(wanted, ["_doc", "_copy"]).dropDuplicates(["_doc", "_copy"]), cut, _TEXTS),
+                        "segment-words")
+    dealt = texts.withColumn("g", F.explode("groups")).drop("groups")
+    busy = (dealt.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("lo"), F.max("doc").alias("hi"))
+            .where("n > 1 AND lo < hi").select("g"))
+    left = dealt.join(busy, "g").select("g", "anchor", "segment", "size", "doc", "words",
+                                        F.array().cast(_RUNS).alias("runs"))
+    found = None
+    while True:
+        names = [f.split()[0] for f in _ROUND.split(", ")][:7]
+        one = materialize(left.select(*names).repartition("g").sortWithinPartitions("g", "doc", "segment")
+                          .mapInArrow(_search(window, shard_words), _ROUND), "shard")
+        done = one.where("done").select("anchor", "segment", "size", "runs")
+        found = done if found is None else found.unionAll(done)
+        left = one.where("NOT done")
+        if left.isEmpty():
+            break
+    # Two groups a segment at most.
+    return found.groupBy("anchor", "segment", "size").agg(F.flatten(F.collect_list("runs")).alias("runs"))
 
 
 def remove_repeats(docs: DataFrame, window: int = 50, gram: int = 12, id_col: str = "doc_id",
-                   text_col: str = "text", shard_words: int = 100_000,
-                   hot_segments: int = 1000) -> DataFrame:
+                   text_col: str = "text", shard_words: int = 100_000) -> DataFrame:
     """``docs`` plus n_words, n_removed, spans (structs start, end in words,
     merged) and kept (the words left, joined by one blank).
 
@@ -248,22 +259,33 @@ def remove_repeats(docs: DataFrame, window: int = 50, gram: int = 12, id_col: st
                            map(np.concatenate, zip(*parts))))
 
     found = materialize(map_rows(rows, cut, _SEGMENT), "anchors")
-    runs = removal_runs(rows, found, window, shard_words, hot_segments)
-    hits = (found.join(runs, ["anchor", "segment", "size"])
-            .select("doc", "copy", "place", F.explode("runs").alias("r")).where("r.doc < doc")
-            .groupBy(F.col("doc").alias("_doc"), F.col("copy").alias("_copy"))
-            .agg(F.collect_set(F.struct((F.col("place") + F.col("r.first")).alias("start"),  # one text's spans
-                                        (F.col("place") + F.col("r.last") + window).alias("end")))
-                 .alias("_spans")))
-    names = docs.columns
-    joined = (docs.select(F.struct(*names).alias("row"), rank.alias("_doc"),
-                          F.xxhash64(text).alias("_copy"), text.alias("_text"))
+    distinct = (found.groupBy("anchor", "segment", "size")
+                .agg(F.min(F.struct("doc", "copy", "place")).alias("least"), F.max("doc").alias("last")))
+    distinct = materialize(distinct, "segments")
+    shared = (distinct.groupBy("anchor")
+              .agg(F.min("least.doc").alias("lo"), F.max("last").alias("hi"),
+                   F.count(F.lit(1)).alias("variants")).where("lo < hi").select("anchor", "variants"))
+    distinct = materialize(distinct.join(shared, "anchor"), "shared-segments")
+    runs = removal_runs(rows, distinct, window, gram, shard_words)
+    told = (distinct.select("anchor", "segment", "size", F.col("least.doc").alias("least"))
+            .join(runs, ["anchor", "segment", "size"], "left"))
+    # Beyond its least document the whole segment goes, there what earlier ones have.
+    spans = F.when(F.col("doc") > F.col("least"), F.array(F.struct(
+        F.col("place").alias("start"), (F.col("place") + F.col("size")).alias("end")))).otherwise(
+        F.transform(F.filter("runs", lambda r: r["doc"] < F.col("doc")), lambda r: F.struct(
+            (F.col("place") + r["first"]).alias("start"), (F.col("place") + r["last"] + window).alias("end"))))
+    hits = (found.join(told, ["anchor", "segment", "size"])
+            .select(F.col("doc").alias("_doc"), F.col("copy").alias("_copy"), F.explode(spans).alias("span"))
+            .groupBy("_doc", "_copy").agg(F.collect_set("span").alias("_spans")))  # one text's spans
+    row, back = beside_text(docs, text_col)
+    joined = (docs.select(row.alias("row"), rank.alias("_doc"), F.xxhash64(text).alias("_copy"),
+                          F.col(text_col).alias("_text"))
               .join(hits, ["_doc", "_copy"], "left").select("row", "_text", "_spans"))
 
     def apply(batch):
         out: dict[str, list] = {c: [] for c in ("n_words", "n_removed", "spans", "kept")}
         for t, found in zip(batch["_text"].to_pylist(), batch["_spans"].to_pylist()):
-            words = t.encode().split()
+            words = (t or "").encode().split()
             spans, kept, at = [], [], 0
             for s in sorted((s["start"], s["end"]) for s in found or ()):
                 if spans and s[0] <= spans[-1][1]:
@@ -278,12 +300,12 @@ def remove_repeats(docs: DataFrame, window: int = 50, gram: int = 12, id_col: st
                                          [{"start": a, "end": b} for a, b in spans],
                                          b" ".join(kept).decode())):
                 out[name].append(value)
-        yield {"row": batch["row"], **out}
+        yield {"row": batch["row"], "_text": batch["_text"], **out}
 
     row_type = joined.schema["row"].dataType.simpleString()
-    done = map_rows(joined, apply, f"row {row_type}, n_words long, n_removed long, "
+    done = map_rows(joined, apply, f"row {row_type}, _text string, n_words long, n_removed long, "
                                    "spans array<struct<start:long,end:long>>, kept string")
-    return done.select("row.*", "n_words", "n_removed", "spans", "kept")
+    return done.select(*back, "n_words", "n_removed", "spans", "kept")
 
 
 _SQL = r"""

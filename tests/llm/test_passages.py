@@ -6,7 +6,7 @@ from hypothesis import given, settings, strategies as st
 
 from cascara.llm import decontaminate as dc
 from cascara.llm.automaton import SuffixAutomaton
-from cascara.llm.substring_dedup import remove_repeats
+from cascara.llm.substring_dedup import References, remove_repeats
 from cascara.sources.tables import load_table
 from llm_fixtures import docs, no_docs  # noqa: F401
 from conftest import SF_SMALL
@@ -46,8 +46,8 @@ def found_repeats(df, **options):
     return sorted(map(tuple, out.collect()), key=str)
 
 
-@pytest.mark.parametrize("shard_words,hot", [(100_000, 1000), (30, 3), (200, 1)])
-def test_repeats_equal_brute_force(spark, shard_words, hot):
+@pytest.mark.parametrize("shard_words", [100_000, 30, 1])
+def test_repeats_equal_brute_force(spark, shard_words):
     rng = random.Random(shard_words)
     pool = [[rng.choice("abc") * rng.randint(1, 2) for _ in range(rng.randint(4, 14))] for _ in range(12)]
     rows = []
@@ -57,11 +57,39 @@ def test_repeats_equal_brute_force(spark, shard_words, hot):
         rows.append((rng.choice([k, k, k, k // 2, None]), rng.choice([" ", "\n ", "\t"]).join(w for p in parts for w in p)))
     rows += [(3, None), (500, "a " * 70), (501, "a " * 40)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = found_repeats(df, window=7, gram=3, shard_words=shard_words, hot_segments=hot)
+    got = found_repeats(df, window=7, gram=3, shard_words=shard_words)
     assert got == brute_repeats(rows, 7)
     assert any(r[2] for r in got)
 
 
+def test_an_anchor_in_thousands_of_variants(spark):
+    """Copies of one passage, each with words of its own, and a phrase that all
+    share between other words: several shards for one group."""
+    rng = random.Random(8)
+    base, phrase = [f"b{i}" for i in range(70)], [f"p{i}" for i in range(14)]
+    rows = []
+    for k in range(2500):
+        copy = list(base)
+        copy[rng.randrange(70)] = f"x{k}"
+        other = [f"y{k}-{i}" for i in range(30)] + phrase + [f"z{k}-{i}" for i in range(30)]
+        rows.append((k, " ".join(copy + other)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    assert found_repeats(df, window=20, gram=6, shard_words=20_000) == brute_repeats(rows, 20)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 2), min_size=3, max_size=14), min_size=1, max_size=6))
+def test_references_know_the_first_document(sequences):
+    refs, first, w = References(3), {}, 3
+    for doc, words in enumerate(sequences):
+        windows = [tuple(words[i:i + w]) for i in range(len(words) - w + 1)]
+        got = refs.known(words)
+        assert got == [first.get(x) for x in windows]
+        refs.learn(doc, words, [g is None for g in got])
+        for x in windows:
+            first.setdefault(x, doc)
+
+
 def test_repeats_of_the_edge_cases(spark, docs, no_docs):
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
     out = remove_repeats(docs)
