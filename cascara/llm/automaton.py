@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from array import array
+
 
 class SuffixAutomaton:
     """Accepts exactly the substrings of the sequences added.
@@ -79,3 +81,38 @@ class SuffixAutomaton:
             if to is not None:
                 at, n = to, n + 1
             yield at, n
+
+
+class CompactAutomaton:
+    """A finished automaton in arrays, to be walked only: most states have one
+    transition, which takes eight bytes; a table holds those of the others."""
+
+    def __init__(self, sam: SuffixAutomaton):
+        self.link, self.length = array("i", sam.link), array("i", sam.length)
+        self.symbol, self.next = array("i", [-1] * len(sam.link)), array("i", [-1] * len(sam.link))
+        self.more: dict[int, dict[int, int]] = {}
+        for v, step in enumerate(sam.step):
+            if len(step) == 1:
+                (self.symbol[v], self.next[v]), = step.items()
+            elif step:
+                self.more[v] = step
+
+    @property
+    def nbytes(self) -> int:
+        """About what a process holds: the arrays, and the tables' entries."""
+        return 16 * len(self.link) + sum(350 + 100 * len(s) for s in self.more.values())
+
+    def matching(self, sequence):
+        """As :meth:`SuffixAutomaton.matching`."""
+        link, length, symbol, following, more = self.link, self.length, self.symbol, self.next, self.more
+        at = n = 0
+        for c in sequence:
+            while True:
+                to = following[at] if symbol[at] == c else more[at].get(c) if at in more else None
+                if to is not None or not at:
+                    break
+                at = link[at]
+                n = length[at]
+            if to is not None:
+                at, n = to, n + 1
+            yield at, n

@@ -9,17 +9,18 @@ remove, and a document hit beyond a share of its words is refused whole.
 from __future__ import annotations
 
 import re
+from array import array
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cascara.llm.automaton import SuffixAutomaton
+from cascara.llm.automaton import CompactAutomaton, SuffixAutomaton
 from cascara.llm.common import beside_text, load_table, map_rows, materialize, query
 
-#: Text of one automaton, in bytes. More test items make more automata, and
-#: the documents pass them one after the other.
-SHARD_BYTES = 4 << 20
+#: Text of one automaton and what it may take as built, in bytes. More test items
+#: make more automata, and the documents pass them one after the other.
+SHARD_BYTES, AUTOMATON_BYTES = 2 << 20, 96 << 20
 
 # Bytes that are not part of a word (ASCII but for digits and letters).
 _NOT_WORD = bytes([*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)])
@@ -39,7 +40,7 @@ class Items:
 
     def __init__(self, items: list[tuple[str, str | None]], window: int):
         self.window, self.vocabulary = window, {}
-        self.sam = sam = SuffixAutomaton()
+        sam = SuffixAutomaton()
         rows = []
         for item_id, text in items:
             ids = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words_of(text)]
@@ -54,15 +55,20 @@ class Items:
             if sam.length[v] >= window:
                 up = sam.link[v]
                 self.at_window[v] = v if sam.length[up] < window else self.at_window[up]
-        self.items: dict[int, set[str]] = {}
+        # The items of a window's state: mostly one, by its number.
+        self.names = [item_id for item_id, _ in rows]
+        self.one, self.many = array("i", [-1] * n), {}
         ends: dict[int, dict[int, set[str]]] = {}
-        for item_id, ids in rows:
+        for number, (item_id, ids) in enumerate(rows):
             states = sam.states(ids)
             if len(ids) < window:
                 ends.setdefault(states[-1], {}).setdefault(len(ids), set()).add(item_id)
             for v in states:
-                if self.at_window[v] >= 0:
-                    self.items.setdefault(self.at_window[v], set()).add(item_id)
+                at = self.at_window[v]
+                if at >= 0 and self.one[at] not in (-1, number):
+                    self.many.setdefault(at, {self.one[at]}).add(number)
+                elif at >= 0:
+                    self.one[at] = number
         # Whole short items among a state's suffixes: (length, items), own and
         # by the links.
         self.short: dict[int, list[tuple[int, set[str]]]] = {}
@@ -70,6 +76,15 @@ class Items:
             found = self.short.get(sam.link[v], []) + list(ends.get(v, {}).items())
             if found:
                 self.short[v] = found
+        self.at_window = array("i", self.at_window)
+        self.sam = CompactAutomaton(sam)
+
+    @property
+    def nbytes(self) -> int:
+        """About what a process holds."""
+        sets = sum(300 + 60 * len(x) for x in self.many.values()) + sum(300 * len(x) for x in self.short.values())
+        return (self.sam.nbytes + 8 * len(self.one) + 150 * len(self.vocabulary)
+                + sum(60 + len(x) for x in self.names) + sets)
 
     def scan(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
         """Merged spans [start, end) of hit words, and the items that hit."""
@@ -89,7 +104,8 @@ class Items:
             for i, (v, n) in enumerate(self.sam.matching(ids[a:b]), a + 1):
                 if n >= self.window:
                     spans.append((i - self.window, i))
-                    items |= self.items[self.at_window[v]]
+                    at = self.at_window[v]
+                    items.update(map(self.names.__getitem__, self.many.get(at) or (self.one[at],)))
                 for size, ids_of in self.short.get(v, ()):
                     if n >= size:
                         spans.append((i - size, i))
@@ -134,19 +150,28 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10,
     words is never refused.
 
     The items' size is summed first: each automaton holds at most about
-    ``shard_bytes`` of them, however many there are, and is what is broadcast.
+    ``shard_bytes`` of them, however many there are, and is what is broadcast, as
+    arrays. One that turns out larger than ``AUTOMATON_BYTES`` is not sent: its
+    items are dealt anew into more shards.
     """
     items = (benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("id"),
                               F.col(item_text_col).alias("text"))
              .where("text IS NOT NULL").distinct())
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = -(-total // shard_bytes) or 1
+    # (remainder, modulus) classes of the items' hashes, one automaton each.
+    n = -(-total // shard_bytes) or 1
+    classes = [(k, n) for k in range(n)]
     docs = docs.drop("n_words", "n_hit", "items", "spans", "clean", "refused")
 
-    def shard(k: int):
-        part = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(shards)) == k).sort("id", "text")
-        return docs.sparkSession.sparkContext.broadcast(
-            Items([(r["id"], r["text"]) for r in part.collect()], window))
+    def shard(k: int, n: int):
+        """The class's automaton, or None where it was split."""
+        part = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k).sort("id", "text")
+        rows = [(r["id"], r["text"]) for r in part.collect()]
+        built = Items(rows, window)
+        if built.nbytes > AUTOMATON_BYTES and len(rows) > 1:
+            classes.extend([(k, 2 * n), (k + n, 2 * n)])
+            return None
+        return docs.sparkSession.sparkContext.broadcast(built)
 
     row, back = beside_text(docs, text_col)
     packed = docs.select(row.alias("row"), F.col(text_col).alias("_text"))
@@ -163,9 +188,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10,
                 cols[name].append(value)
         return cols
 
-    if shards == 1:
-        known = shard(0)
-
+    known = shard(*classes.pop())
+    if known and not classes:
         def whole(batch):
             texts = batch["_text"].to_pylist()
             out = [known.value.scan(words_of(t)) for t in texts]
@@ -176,8 +200,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10,
     else:
         key = F.struct(F.xxhash64("_text").alias("a"), F.xxhash64(F.lit(1), "_text").alias("b"))
         hits = None
-        for k in range(shards):
-            known = shard(k)
+        while known or classes:
+            known = known or shard(*classes.pop())
+            if not known:
+                continue
 
             def scan(batch, known=known):
                 out = [known.value.scan(words_of(t)) for t in batch["_text"].to_pylist()]
@@ -191,6 +217,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10,
                 .where("size(spans) > 0").select(key.alias("_key"), "spans", "items").distinct(),
                 "shard-hits")
             known.destroy()
+            known = None
             hits = part if hits is None else hits.unionAll(part)
         hits = hits.groupBy("_key").agg(F.flatten(F.collect_list("spans")).alias("spans"),
                                         F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
@@ -205,7 +232,38 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10,
     return out.select(*back, *[f.split()[0] for f in result.split(", ")])
 
 
-@query("op10_decontaminate")
+_SQL = r"""
+WITH t AS (
+  SELECT 'd' AS kind, doc_id, NULL AS id, text FROM documents
+  UNION ALL SELECT DISTINCT 'i', NULL, coalesce(item_id::VARCHAR, ''), text FROM benchmark WHERE text IS NOT NULL
+), n AS (
+  SELECT kind, doc_id, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM t
+), i AS (
+  SELECT id, w, least(len(w), 10) AS size FROM n WHERE kind = 'i' AND len(w) > 0
+), iw AS (
+  SELECT DISTINCT id, size, array_to_string(w[k:k + size - 1], ' ') AS x
+  FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS k FROM i)
+), dw AS (
+  SELECT doc_id, size, k, array_to_string(w[k:k + size - 1], ' ') AS x
+  FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS k
+        FROM n, (SELECT DISTINCT size FROM i) WHERE kind = 'd' AND len(w) >= size)
+), h AS (
+  SELECT doc_id, k, size, id FROM dw JOIN iw USING (size, x)
+), s AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(k, k + size)) AS p FROM (SELECT DISTINCT doc_id, k, size FROM h)) GROUP BY doc_id
+), g AS (
+  SELECT doc_id, count(DISTINCT id) AS n_items, string_agg(DISTINCT id, ',' ORDER BY id) AS ids FROM h GROUP BY doc_id
+)
+SELECT n.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM n LEFT JOIN s ON n.doc_id = s.doc_id LEFT JOIN g ON n.doc_id = g.doc_id WHERE kind = 'd'
+"""
+
+
+@query("op10_decontaminate", _SQL)
 def op10(spark: SparkSession, d: str) -> DataFrame:
     docs = load_table(spark, d, "documents").select("doc_id", "text")
     out = decontaminate(docs, load_table(spark, d, "benchmark"))

@@ -198,27 +198,6 @@ def teach(fit, surest, rounds: int):
     return models
 
 
-def co_train(x: dict[str, list[np.ndarray]], y: np.ndarray, pool: dict[str, list[np.ndarray]],
-             sizes: dict[str, int], rounds: int, grow: int, sure: float) -> dict[str, Logistic]:
-    """``teach`` for a pool of feature numbers in memory."""
-    def fit(extra):
-        return {v: Logistic(sizes[v]).fit(x[v] + [pool[v][i] for i, _ in extra[v]],
-                                          np.concatenate([y, [label for _, label in extra[v]]]))
-                for v in VIEWS}
-
-    def surest(models, extra):
-        taken = {i for v in VIEWS for i, _ in extra[v]}
-        left = np.array([i for i in range(len(pool["content"])) if i not in taken], dtype=np.int64)
-        found = {}
-        for v in VIEWS:
-            p = _sigmoid(models[v].margin([pool[v][i] for i in left]))
-            found[v] = [(int(left[i]), label) for label, q in ((1.0, p), (0.0, 1 - p))
-                        for i in np.argsort(-q, kind="stable")[:grow] if q[i] >= sure]
-        return found
-
-    return teach(fit, surest, rounds)
-
-
 def _features(docs: DataFrame, text_col: str, source_col: str, lang_col: str, chars_col: str):
     """The columns the views read, under names of their own."""
     return (F.col(text_col).alias("_text"), F.col(source_col).cast("string").alias("_source"),
@@ -245,7 +224,9 @@ def fit_model(docs: DataFrame, labels: DataFrame, good, toxic, id_col: str = "do
     texts = texts.withColumn("key", F.xxhash64(*(
         x for c in texts.columns[1:] for x in (F.col(c).isNull(), F.col(c)))))
     # At most max_labelled ids: under 2 MB.
-    rows = texts.join(F.broadcast(chosen), "_id").dropDuplicates(["_id"])
+    rows = texts.join(F.broadcast(chosen), "_id")
+    # Of several texts of one id that of least hash.
+    rows = rows.groupBy("_id").agg(F.min_by(F.struct(*rows.columns[1:]), "key").alias("row")).select("_id", "row.*")
     arrays = "content array<long>, layout array<long>"
 
     def tokens(batch):

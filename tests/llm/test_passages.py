@@ -5,7 +5,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 
 from cascara.llm import decontaminate as dc
-from cascara.llm.automaton import SuffixAutomaton
+from cascara.llm.automaton import CompactAutomaton, SuffixAutomaton
 from cascara.llm.substring_dedup import References, remove_repeats
 from cascara.sources.tables import load_table
 from llm_fixtures import docs, no_docs  # noqa: F401
@@ -22,6 +22,7 @@ def test_matching_statistics(sequences, text):
     for i, (_, n) in enumerate(sam.matching(text), 1):
         assert n == max(k for k in range(i + 1) if tuple(text[i - k:i]) in there)
     assert len(sam.link) <= 2 * sum(map(len, sequences)) + 1
+    assert list(CompactAutomaton(sam).matching(text)) == list(sam.matching(text))
 
 
 def brute_repeats(rows, window):
@@ -140,6 +141,22 @@ def test_hits_of_tables(spark, docs, no_docs):
     assert dc.decontaminate(docs, bench.limit(0)).where("n_hit > 0").count() == 0
 
 
+def test_an_automaton_in_bounded_memory(monkeypatch, spark, docs):
+    """About 2 MB of items, and shards that are split where they measure too large."""
+    rng = random.Random(2)
+    words = [f"w{i}" for i in range(30_000)]
+    items = [(str(i), " ".join(rng.choices(words, k=120))) for i in range(2600)]
+    built = dc.Items(items, 10)
+    assert sum(len(t) for _, t in items) > 1.7e6 and built.nbytes < dc.AUTOMATON_BYTES
+    rows = [(i, " ".join(rng.choices(words, k=30)) + " " + items[i][1][:200]) for i in range(40)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(items[:60], "item_id string, text string")
+    whole = dc.decontaminate(table, bench).select("doc_id", "n_hit", "items").collect()
+    monkeypatch.setattr(dc, "AUTOMATON_BYTES", 400_000)
+    split = dc.decontaminate(table, bench).select("doc_id", "n_hit", "items").collect()
+    assert sorted(whole) == sorted(split) and all(r["n_hit"] for r in whole)
+
+
 def test_spans_leave_the_text(spark):
     items = [("q", "what is the capital of the old kingdom by the sea")]
     text = "Intro. What is the capital -- of the OLD kingdom, by the sea? Outro é."
