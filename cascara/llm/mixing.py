@@ -8,19 +8,41 @@ Each source rotates its documents' hashes so that what it takes is near its targ
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cascara.llm.common import WORD, hidden, load_table, materialize, query, text_or_empty
-from cascara.operators.ranking import global_row_number, sums_before
+from cascara.operators.ranking import global_row_number
 
-#: Targets are broadcast up to this many sources (under 8 MB), else joined.
-BROADCAST_SOURCES = 100_000
+#: Targets are broadcast up to this many bytes (summed first), else joined.
+BROADCAST_BYTES = 8 << 20
 #: Rotations tried for each source, by equal parts of the draws' range.
 SHIFTS = 32
 _RANGE = 1 << 32
 
 
+def sums_before(df: DataFrame, order: list[Column], names: dict[str, str]) -> DataFrame:
+    """``df`` plus, for each column and name of ``names``, the column's sum over
+    all rows earlier in ``order`` (a total order; 0 for the first). An action: rows
+    are written once with their range's number, summed inside the ranges, and one
+    row per range gives what is before it."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = materialize(df.repartitionByRange(n, *order)
+                         .withColumn("_pid", F.spark_partition_id()), "ranged")
+
+    def before(c: str, window) -> Column:
+        return F.coalesce(F.sum(c).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    inside = Window.partitionBy("_pid").orderBy(*order)
+    sizes = ranged.groupBy("_pid").agg(*[F.sum(c).alias(f"_sum_{x}") for c, x in names.items()])
+    offsets = sizes.select("_pid", *[before(f"_sum_{x}", Window.orderBy("_pid")).alias(f"_off_{x}")
+                                     for x in names.values()])
+    return (ranged.withColumns({x: before(c, inside) for c, x in names.items()})
+            .join(F.broadcast(offsets), "_pid")
+            .withColumns({x: F.col(x) + F.col(f"_off_{x}") for x in names.values()})
+            .drop("_pid", *[f"_off_{x}" for x in names.values()]))
+
+
 def source_targets(sizes: DataFrame, weights: tuple[int, ...], max_repeat: int) -> DataFrame:
     """(source, source_size, target): the fixed point of giving every source
     its weight's share and resharing what exceeds ``max_repeat`` x its size.
@@ -99,7 +121,8 @@ def mix_plan(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), max_repeat:
     sizes = rows.groupBy(F.col("_source").alias("source")).agg(F.sum("size").alias("source_size"))
     targets = materialize(source_targets(materialize(sizes, "source-sizes"), weights, max_repeat),
                           "mix-targets")
-    few = targets.count() <= BROADCAST_SOURCES
+    held = targets.agg(F.sum(40 + F.coalesce(F.octet_length(F.col("source").cast("string")), F.lit(0)))).first()[0]
+    few = (held or 0) <= BROADCAST_BYTES
     targets = materialize(with_shifts(rows, F.broadcast(targets) if few else targets), "mix-shifts")
     names = {c: hidden(c) for c in targets.columns}
     targets = targets.withColumnsRenamed(names)
