@@ -1,4 +1,4 @@
-"""Global 1-based row numbers and running sums without funnelling the table
+"""Global 1-based row numbers without funnelling the table
 through one task.
 
 ``row_number().over(Window.orderBy(...))`` with no partition moves every row
@@ -39,26 +39,3 @@ def global_row_number(
     return (local.join(F.broadcast(offsets), "_pid")
             .withColumn(name, F.col("_off") + F.col("_local").cast("bigint"))
             .drop("_pid", "_local", "_off"))
-
-
-def sums_before(df: DataFrame, order: list[Column], names: dict[str, str],
-                partitions: int | None = None) -> DataFrame:
-    """``df`` plus, for each column and name of ``names``, the column's sum over
-    all rows earlier in ``order`` (a total order; 0 for the first). An action, by
-    ranges and offsets like :func:`global_row_number`."""
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = materialize(df.repartitionByRange(n, *order)
-                         .withColumn("_pid", F.spark_partition_id()), "ranged")
-
-    def before(c: str, window) -> Column:
-        return F.coalesce(F.sum(c).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-
-    inside = Window.partitionBy("_pid").orderBy(*order)
-    sizes = ranged.groupBy("_pid").agg(*[F.sum(c).alias(f"_sum_{x}") for c, x in names.items()])
-    offsets = sizes.select("_pid", *[before(f"_sum_{x}", Window.orderBy("_pid")).alias(f"_off_{x}")
-                                     for x in names.values()])
-    return (ranged.withColumns({x: before(c, inside) for c, x in names.items()})
-            .join(F.broadcast(offsets), "_pid")
-            .withColumns({x: F.col(x) + F.col(f"_off_{x}") for x in names.values()})
-            .drop("_pid", *[f"_off_{x}" for x in names.values()]))
