@@ -209,3 +209,16 @@ def q_sorted_as_written(spark, d):
         one = order_faults(rows, keys).select(F.lit(name).alias("result"), "rows", "inversions")
         out = one if out is None else out.unionAll(one)
     return out
+
+
+@query("src_local_rows", """
+SELECT n_name AS name, count(c_custkey) AS customers FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey
+GROUP BY n_name
+""")
+def q_src_local_rows(spark, d):
+    """Rows from the driver (a result frame, a row per nation) as a table again."""
+    nation, customer = load_table(spark, d, "nation"), load_table(spark, d, "customer")
+    result = (nation.join(customer, F.col("c_nationkey") == F.col("n_nationkey"), "left").groupBy("n_name")
+              .agg(F.count("c_custkey").alias("customers")).toPandas())
+    return spark.createDataFrame(result).select(
+        F.col("n_name").alias("name"), F.col("customers").cast("bigint").alias("customers"))

@@ -6,7 +6,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cascara.functions import split_on
 from cascara.operators import itemsets as I
 from cascara.operators import tables as T
 from cascara.plans import standins as S
@@ -20,8 +19,7 @@ WANTED = ["Brand#4", "Brand#19"]
 
 
 def _baskets(spark, d):
-    b = S.brand_baskets(spark, d)
-    return b.select("basket_id", split_on("items_str", "-").alias("items"))
+    return S.brand_sets(spark, d)
 
 
 def _baskets_once(spark, d):

@@ -52,8 +52,8 @@ def items_with_tags(spark: SparkSession, d: str) -> DataFrame:
         split_on("p_name", " ").alias("tags"))
 
 
-def brand_baskets(spark: SparkSession, d: str) -> DataFrame:
-    """Baskets for mining: per order the distinct brands joined by '-'.
+def brand_sets(spark: SparkSession, d: str) -> DataFrame:
+    """Baskets for mining: per order the distinct brands, in order.
 
     lineitem x part is a large-large equi-join at scale (sort-merge, AQE may
     broadcast part when it is small). ``collect_set`` combines map-side, and
@@ -65,7 +65,7 @@ def brand_baskets(spark: SparkSession, d: str) -> DataFrame:
     part = load_table(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
     return (li.join(part, "l_partkey")
             .groupBy(F.col("l_orderkey").alias("basket_id"))
-            .agg(F.concat_ws("-", F.array_sort(F.collect_set("p_brand"))).alias("items_str")))
+            .agg(F.array_sort(F.collect_set("p_brand")).alias("items")))
 
 
 def part_profiles(spark: SparkSession, d: str) -> DataFrame:

@@ -114,6 +114,20 @@ def scratch_scope(spark: SparkSession):
             place.getFileSystem(conf).delete(place, True)
 
 
+_WATCHERS: list = []
+
+
+@contextmanager
+def watch_materialized(fn):
+    """Calls ``fn(df, name)`` before each intermediate table is written: plans can
+    be looked at although the write cuts them (tests, tools)."""
+    _WATCHERS.append(fn)
+    try:
+        yield
+    finally:
+        _WATCHERS.remove(fn)
+
+
 def materialize(df, name: str):
     """Cut lineage by writing ``df`` as parquet below the shared folder and
     reading it back: one job, files survive executor loss, and the read side
@@ -123,6 +137,8 @@ def materialize(df, name: str):
     for the action and again for the checkpoint write.)
     """
     spark = df.sparkSession
+    for fn in _WATCHERS:
+        fn(df, name)
     path = scratch_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
