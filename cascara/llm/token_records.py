@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 from cascara.llm.common import load_table, map_rows, query, scratch_path
 from cascara.llm.encode import default_tokenizer, encoder, in_slices
 
+# Fixed value: what masked checksums of record files add.
+MASK = 0xA282EAD8
 _HEAD = struct.Struct("<QI")
 _KEY = struct.Struct("<Bq")
 _CHECK = struct.Struct("<I")
@@ -41,7 +43,7 @@ def masked(data: bytes) -> int:
     """CRC-32, rotated and shifted so that stored checksums do not disturb the
     checksum of data that holds them."""
     crc = zlib.crc32(data)
-    return (((crc >> 15) | (crc << 17)) + 0xA282EAD8) & 0xFFFFFFFF
+    return (((crc >> 15) | (crc << 17)) + MASK) & 0xFFFFFFFF
 
 
 def frame(doc_id: int | None, ids: bytes) -> bytes:
@@ -96,10 +98,11 @@ def write_records(docs: DataFrame, path: str, tokenizer: str | None = None, end_
             yield {"frame": [frame(k, x + tail)
                              for k, x in zip(keys[a:b], encoder(tokenizer).encode(texts[a:b]))]}
 
-    # The text's hash spreads a doc_id that very many rows share.
-    ranged = (docs.withColumn("_h", F.xxhash64("text"))
-              .repartitionByRange(total // file_text_bytes + 1, "doc_id", "_h")
-              .sortWithinPartitions("doc_id", "_h", "text").drop("_h"))
+    # The text's hash spreads a doc_id that very many rows share, a number the
+    # rows that share the text too.
+    ranged = (docs.withColumns({"_h": F.xxhash64("text"), "_r": F.monotonically_increasing_id()})
+              .repartitionByRange(total // file_text_bytes + 1, "doc_id", "_h", "_r")
+              .sortWithinPartitions("doc_id", "_h", "text").drop("_h", "_r"))
     (map_rows(ranged, encode, "frame binary")
      .select(F.col("frame").cast("string").alias("value"))
      .write.option("lineSep", "\n").text(path))

@@ -124,3 +124,14 @@ def test_no_records_of_an_empty_table(spark, no_docs):
     path = scratch_path(spark, "records")
     write_records(no_docs, path)
     assert index_records(spark, path, path + "-index").count() == 0
+
+
+def test_repeated_rows_are_spread_over_files(spark):
+    path = scratch_path(spark, "records")
+    rows = spark.range(4000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("the same text " * 20).alias("text"))
+    write_records(rows.repartition(4), path, file_text_bytes=100_000)
+    index = index_records(spark, path, path + "-index")
+    sizes = [r["count"] for r in index.groupBy("file").count().collect()]
+    assert sum(sizes) == 4000 and len(sizes) >= 8 and max(sizes) < 1200
+    starts = [r["start"] for r in index.orderBy("start").collect()]
+    assert starts == [k * (starts[1] - starts[0]) for k in range(4000)]
