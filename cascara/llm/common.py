@@ -51,6 +51,8 @@ def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[dict | pa.Re
                 for out in fn(batch.slice(at, step)):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
+            del batch
+            pa.default_memory_pool().release_unused()  # a worker outlives its tasks
 
     return df.mapInArrow(run, struct)
 
