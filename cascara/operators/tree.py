@@ -155,7 +155,8 @@ def route(rows: DataFrame, nodes: DataFrame, features: list[str], depth: int,
                          F.col("_feature"))
     left = F.when(F.col("_set").isNotNull(), F.array_contains("_set", value)).otherwise(
         (value <= F.col("_threshold")) & ~F.isnan(value))
-    out = rows.withColumn("_node", F.lit(0))
+    # The root has the least id; a literal would turn the first join into a loop.
+    out = rows.withColumn("_node", nodes.agg(F.min("node_id")).scalar())
     for _ in range(depth):
         out = out.join(t, "_node").select(*rows.columns, F.when(F.col("_left").isNull(), F.col("_node")).when(
             F.coalesce(left, F.lit(False)), F.col("_left")).otherwise(F.col("_right")).alias("_node"))
