@@ -198,7 +198,7 @@ class Encoder:
     ``plain`` the strings of added tokens are ordinary text. ``limit`` bounds the
     pieces remembered."""
 
-    def __init__(self, path: str, plain: bool = False, limit: int = 1_000_000):
+    def __init__(self, path: str, plain: bool = False, limit: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -287,7 +287,7 @@ class Encoder:
 class PieceEncoder:
     """The same for a sentencepiece model, without begin and end."""
 
-    def __init__(self, path: str, limit: int = 1_000_000):
+    def __init__(self, path: str, limit: int = 500_000):
         import sentencepiece
 
         self.sp = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -336,7 +336,12 @@ def encoder(path: str, plain: bool = False) -> Encoder | PieceEncoder:
     return _ENCODERS[key]
 
 
-def in_slices(texts: list[str | None], chars: int = 500_000):
+def forget_encoders() -> None:
+    """Frees what the worker's encoders hold, where a later stage has no use for them."""
+    _ENCODERS.clear()
+
+
+def in_slices(texts: list[str | None], chars: int = 300_000):
     """Index ranges of about ``chars`` characters, so that the pieces held at
     once stay bounded whatever the batch holds."""
     start = size = 0

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cascara.llm.common import load_table, map_rows, query, scratch_path
-from cascara.llm.encode import default_tokenizer, encoder, in_slices
+from cascara.llm.encode import default_tokenizer, encoder, forget_encoders, in_slices
 
 # Fixed value: what masked checksums of record files add.
 MASK = 0xA282EAD8
@@ -118,6 +118,7 @@ def index_records(spark: SparkSession, path: str, index_path: str) -> DataFrame:
     (doc_id, file, file_no, offset, length, start, n_tokens, ids_crc32), where
     ``start`` counts the ids of all records before. Returns the written table."""
     def scan(batch):
+        forget_encoders()  # workers that wrote the records read them back
         for file, data in zip(batch["path"], batch["content"]):
             file, data = file.as_py(), data.as_py()
             no = int(re.search(r"part-(\d+)", file.rsplit("/", 1)[1])[1])
