@@ -19,7 +19,6 @@ import os
 import re
 
 import numpy as np
-import pandas as pd
 
 # Latin letters; every pattern engine classes them alike.
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
@@ -148,9 +147,7 @@ class Pieces:
         at = np.flatnonzero(self.cut(b, starts[:-1]))
         ends = np.append(at[1:], len(b))
         size = ends - at
-        codes, distinct = pd.factorize(self._hash(b, at))
-        # Codes count up in order of appearance: new highs are first ones.
-        first = np.flatnonzero(np.diff(np.maximum.accumulate(codes), prepend=-1))
+        distinct, first, codes = np.unique(self._hash(b, at), return_index=True, return_inverse=True)
         rows = self._find(distinct)
         if len(self.rows) + (rows < 0).sum() > self.limit:
             self._forget()

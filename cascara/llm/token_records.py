@@ -78,7 +78,7 @@ def frames(data: bytes, offset: int = 0, end: int | None = None):
 
 def write_records(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = 2,
                   id_col: str = "doc_id", text_col: str = "text",
-                  file_text_bytes: int = 24 << 20) -> None:
+                  file_text_bytes: int = 16 << 20) -> None:
     """Encode every whole text, append ``end_id`` and write the records in
     ascending order of ``id_col`` over the files' numbers.
 
@@ -120,7 +120,8 @@ def index_records(spark: SparkSession, path: str, index_path: str) -> DataFrame:
     def scan(batch):
         forget_encoders()  # workers that wrote the records read them back
         for file, data in zip(batch["path"], batch["content"]):
-            file, data = file.as_py(), data.as_py()
+            # The file as it lies in the batch: records are looked at, not copied.
+            file, data = file.as_py(), memoryview(data.as_buffer())
             no = int(re.search(r"part-(\d+)", file.rsplit("/", 1)[1])[1])
             rows, start = [], 0
             for offset, length, doc_id, ids in frames(data):
