@@ -159,8 +159,14 @@ class Pieces:
         rows = rows[codes]
         there = self.stops[rows]
         wrong = size != self.stops[rows + 1] - there
-        same = np.flatnonzero(~wrong)
-        wrong[same] = _different(b, at[same], self.bytes, there[same], size[same])
+        if wrong.any():
+            same = np.flatnonzero(~wrong)
+            wrong[same] = _different(b, at[same], self.bytes, there[same], size[same])
+        else:  # the pieces are the texts, end to end
+            place = np.arange(len(b), dtype=np.int32)
+            place += np.repeat((there - at).astype(np.int32), size)
+            other = np.flatnonzero(self.bytes[place] != b)
+            wrong[np.searchsorted(ends, other, side="right")] = True
         return rows, np.searchsorted(at, starts), np.flatnonzero(wrong)
 
     def encode(self, raw: list[bytes]) -> list[bytes | None]:
@@ -195,7 +201,7 @@ class Encoder:
     ``plain`` the strings of added tokens are ordinary text. ``limit`` bounds the
     pieces remembered."""
 
-    def __init__(self, path: str, plain: bool = False, limit: int = 500_000):
+    def __init__(self, path: str, plain: bool = False, limit: int = 800_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -284,7 +290,7 @@ class Encoder:
 class PieceEncoder:
     """The same for a sentencepiece model, without begin and end."""
 
-    def __init__(self, path: str, limit: int = 500_000):
+    def __init__(self, path: str, limit: int = 800_000):
         import sentencepiece
 
         self.sp = sentencepiece.SentencePieceProcessor(model_file=path)
