@@ -150,7 +150,8 @@ def silhouette(df: DataFrame, x: str | Column, cluster: str | Column,
     For a point x and cluster C with n points, sum s and sum of squared norms
     q, the mean squared distance from x to C is |x|^2 - 2 x.s/n + q/n. The
     own-cluster mean excludes x itself (times n/(n-1)); a point alone in its
-    cluster scores 0, and so does one whose two distances are both 0. Without
+    cluster scores 0, and so does one whose two distances are both 0. Only the
+    non-zero coordinates of a point are multiplied, as in :func:`nearest_centre`. Without
     ``dim`` the vectors' length is read from the data (a small action). The per-cluster statistics (one entry per cluster,
     bounded by the number of clusters) are a scalar subquery.
     """
@@ -166,13 +167,18 @@ def silhouette(df: DataFrame, x: str | Column, cluster: str | Column,
     table = stats.agg(F.collect_list(F.struct("c", "n", "s", "q"))).scalar()
     # The subquery is bound to a column first: higher-order functions may not
     # contain subqueries themselves.
-    pts = pts.withColumn("_stats", table).withColumn("_xx", _dot(F.col("x"), F.col("x")))
-    xx = F.col("_xx")
-    # Separate projections, each consumed more than once, so the optimizer
-    # keeps them as columns instead of inlining the distance array repeatedly.
-    pts = pts.withColumn("_d", F.transform("_stats", lambda t: F.struct(
-        t["c"].alias("c"), t["n"].alias("n"),
-        (xx - 2 * _dot(F.col("x"), t["s"]) / t["n"] + t["q"] / t["n"]).alias("d"))))
+    # A NULL coordinate stays, and so does a vector of another length as NULL: neither has distances.
+    at = F.filter(F.transform("x", lambda v, i: F.struct(i.alias("i"), v.alias("v"))),
+                  lambda e: ~e["v"].eqNullSafe(F.lit(0.0)))
+    # The optimizer would move what a lambda reads into it, to be worked out again
+    # for every cluster; the one element of an array is worked out once a row.
+    point = F.array(F.struct(_dot(F.col("x"), F.col("x")).alias("xx"), F.when(F.size("x") == dim, at).alias("at"),
+                             F.col("_stats").alias("stats")))
+    pts = pts.withColumn("_stats", table).withColumn("_d", F.transform(point, lambda p: F.transform(
+        p["stats"], lambda t: F.struct(
+            t["c"].alias("c"), t["n"].alias("n"),
+            (p["xx"] - 2 * F.aggregate(p["at"], F.lit(0.0), lambda s, e: s + e["v"] * F.get(t["s"], e["i"])) / t["n"]
+             + t["q"] / t["n"]).alias("d"))))[0])
     pts = pts.select(
         F.filter("_d", lambda t: t["c"] == F.col("c"))[0].alias("_own"),
         F.array_min(F.transform(F.filter("_d", lambda t: t["c"] != F.col("c")),

@@ -75,3 +75,22 @@ def test_kmeans_is_deterministic_and_centres_match(spark):
     cent = C.cluster_centres(a.transform(df), "prediction").collect()
     for r in cent:
         assert list(r["centre"].toArray()) == pytest.approx(list(a.clusterCenters()[r["cluster_id"]]))
+
+
+def test_silhouette_works_a_point_out_once(spark):
+    rows = [([float(i % 4 == j) for j in range(6)], i % 3) for i in range(40)]
+    df = spark.createDataFrame(rows, "x array<double>, c int")
+    out = C.silhouette(df, "x", "c", 6)
+    vec = df.select(array_to_vector("x").alias("features"), F.col("c").cast("double").alias("prediction"))
+    assert out.first()["silhouette"] == pytest.approx(C.silhouette_evaluator(vec), abs=1e-12)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    # What runs for every cluster multiplies no whole vectors.
+    each = plan.split(".stats, lambdafunction(")[1].split(" AS _d#")[0]
+    assert "aggregate(" in each and "zip_with" not in each.split(", array(")[0]
+
+
+def test_silhouette_of_odd_vectors(spark):
+    rows = [([0.0, 1.0], 0), ([0.0, 1.0], 0), ([4.0, 0.0], 1), ([4.0, 0.0], 1), ([None, 1.0], 0), (None, 1)]
+    df = spark.createDataFrame(rows, "x array<double>, c int")
+    got = C.silhouette(df, "x", "c", 2).first()["silhouette"]
+    assert 0.0 < got < 1.0  # rows without distances score 0 and count
