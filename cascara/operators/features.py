@@ -36,13 +36,15 @@ def one_hot_items(
     """One boolean column per named item, all in ONE projection.
     Columns are named ``prefix + item`` or, with ``name_by='rank'``,
     ``prefix + <1-based rank>``."""
-    arr = _col(items)
+    # The named items of a row are found once; each column then looks among them
+    # and not through the whole row again.
+    hot = F.filter(_col(items), lambda x: x.isin([n for n in names if n is not None]))
     cols = [
-        F.coalesce(F.array_contains(arr, F.lit(n).cast("string")), F.lit(False) if n is not None else
+        F.coalesce(F.array_contains("_hot", F.lit(n).cast("string")), F.lit(False) if n is not None else
                    F.lit(None)).alias(f"{prefix}{n if name_by == 'item' else i + 1}")
         for i, n in enumerate(names)
     ]
-    return rows.select("*", *cols)
+    return rows.withColumn("_hot", hot).select("*", *cols).drop("_hot")
 
 
 def one_hot_check(onehot: DataFrame, rows: DataFrame, items: str | Column,

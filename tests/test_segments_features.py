@@ -57,3 +57,17 @@ def test_sparse_one_hot_equals_wide_columns(spark):
     wide = E.assemble(E.one_hot_items(df, "items", names, "p_"), [f"p_{n}" for n in names], "w")
     both = E.one_hot_vector(wide, "items", names, "v").collect()
     assert all(list(r["w"].toArray()) == list(r["v"].toArray()) for r in both)
+
+
+def test_one_hot_looks_through_a_row_once(spark):
+    df = spark.createDataFrame([(["a", "b", None],), (["a", "z"],), ([],), (None,), ([None],)], "items array<string>")
+    oh = E.one_hot_items(df, "items", ["a", None, "b", "c"], "p_", name_by="rank")
+    assert oh.columns == ["items", "p_1", "p_2", "p_3", "p_4"]
+    assert [tuple(r)[1:] for r in oh.collect()] == [
+        (True, None, True, False), (True, None, False, False)] + [(False, None, False, False)] * 3
+    names = ["a", "b", "c"]
+    chk = E.one_hot_check(E.one_hot_items(df, "items", names, "p_"), df, "items", names, "p_")
+    assert sorted(tuple(r) for r in chk.collect()) == [(1, "a", 2, 2), (2, "b", 1, 1), (3, "c", 0, 0)]
+    # A column looks among the row's named items, not through the whole row.
+    plan = chk._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_contains(_hot" in plan and "array_contains(items" not in plan
