@@ -3,6 +3,7 @@ the places where lineage is cut."""
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from cascara.llm.encode import forget_encoders
 from cascara.session import materialize, scratch_path  # noqa: F401
 from cascara.sources.tables import load_table  # noqa: F401
 
@@ -35,24 +37,37 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+def hand_back() -> None:
+    """Hands the memory that a worker has freed back to the system: a worker
+    outlives its tasks, and what it keeps adds to what the next stage takes."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError, TypeError):  # only the GNU C library has it
+        pass
+
+
 def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[dict | pa.RecordBatch]],
-             schema: str) -> DataFrame:
+             schema: str, encodes: bool = False) -> DataFrame:
     """``mapInArrow`` for a function that turns a batch into column dicts.
 
     ``fn`` sees ``PART_BYTES`` of an Arrow batch at a time, so what it unpacks
-    is bounded in bytes however many rows a batch has."""
+    is bounded in bytes however many rows a batch has. Encoders that the worker
+    kept from an earlier stage are freed unless this one ``encodes``."""
     struct = T._parse_datatype_string(schema)
     arrow = to_arrow_schema(struct)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not encodes:
+            forget_encoders()
         for batch in batches:
             step = max(1, batch.num_rows * PART_BYTES // max(1, batch.nbytes))
             for at in range(0, batch.num_rows, step):
                 for out in fn(batch.slice(at, step)):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
-            del batch
-            pa.default_memory_pool().release_unused()  # a worker outlives its tasks
+            batch = out = None
+            hand_back()
 
     return df.mapInArrow(run, struct)
 

@@ -14,6 +14,7 @@ library whole. ``tests/llm`` holds the result against the plain library calls.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import os
 import re
@@ -341,7 +342,9 @@ def encoder(path: str, plain: bool = False) -> Encoder | PieceEncoder:
 
 def forget_encoders() -> None:
     """Frees what the worker's encoders hold, where a later stage has no use for them."""
-    _ENCODERS.clear()
+    if _ENCODERS:
+        _ENCODERS.clear()
+        gc.collect()  # an encoder and its pieces refer to each other
 
 
 def in_slices(texts: list[str | None], chars: int = 300_000):

@@ -39,7 +39,7 @@ def add_missing(docs: DataFrame, folder: str, tokenizer: str, text_col: str = "t
             yield {"content": keys[a:b],
                    "n_tokens": encoder(tokenizer).count(texts[a:b])}
 
-    map_rows(missing, count, _CACHE).write.mode("append").parquet(folder)
+    map_rows(missing, count, _CACHE, encodes=True).write.mode("append").parquet(folder)
 
 
 def token_counts(docs: DataFrame, cache_path: str, tokenizer: str | None = None,

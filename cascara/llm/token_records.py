@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cascara.llm.common import load_table, map_rows, query, scratch_path
-from cascara.llm.encode import default_tokenizer, encoder, forget_encoders, in_slices
+from cascara.llm.encode import default_tokenizer, encoder, in_slices
 
 # Fixed value: what masked checksums of record files add.
 MASK = 0xA282EAD8
@@ -103,7 +103,7 @@ def write_records(docs: DataFrame, path: str, tokenizer: str | None = None, end_
     ranged = (docs.withColumns({"_h": F.xxhash64("text"), "_r": F.monotonically_increasing_id()})
               .repartitionByRange(total // file_text_bytes + 1, "doc_id", "_h", "_r")
               .sortWithinPartitions("doc_id", "_h", "text").drop("_h", "_r"))
-    (map_rows(ranged, encode, "frame binary")
+    (map_rows(ranged, encode, "frame binary", encodes=True)
      .select(F.col("frame").cast("string").alias("value"))
      .write.option("lineSep", "\n").text(path))
 
@@ -118,7 +118,6 @@ def index_records(spark: SparkSession, path: str, index_path: str) -> DataFrame:
     (doc_id, file, file_no, offset, length, start, n_tokens, ids_crc32), where
     ``start`` counts the ids of all records before. Returns the written table."""
     def scan(batch):
-        forget_encoders()  # workers that wrote the records read them back
         for file, data in zip(batch["path"], batch["content"]):
             # The file as it lies in the batch: records are looked at, not copied.
             file, data = file.as_py(), memoryview(data.as_buffer())

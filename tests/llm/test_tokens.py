@@ -1,14 +1,19 @@
+import gc
 import struct
+import weakref
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
 from cascara.llm.alignment import default_model
-from cascara.llm.encode import Encoder, PieceEncoder, default_tokenizer
+from cascara.llm import encode
+from cascara.llm.common import map_rows
+from cascara.llm.encode import Encoder, PieceEncoder, default_tokenizer, encoder, forget_encoders
 from cascara.llm.token_counts import token_counts
 from cascara.llm.token_records import frame, frames, index_records, read_shuffled, write_records
 from cascara.session import scratch_path
@@ -135,3 +140,31 @@ def test_repeated_rows_are_spread_over_files(spark):
     assert sum(sizes) == 4000 and len(sizes) >= 8 and max(sizes) < 1200
     starts = [r["start"] for r in index.orderBy("start").collect()]
     assert starts == [k * (starts[1] - starts[0]) for k in range(4000)]
+
+
+@pytest.mark.parametrize("path", [default_tokenizer(), default_model()])
+def test_forgotten_encoders_are_gone_at_once(path):
+    held = weakref.ref(encoder(path))
+    gc.disable()
+    try:
+        forget_encoders()
+        assert held() is None
+    finally:
+        gc.enable()
+
+
+def test_a_stage_frees_the_encoders_of_the_stage_before(spark):
+    class Frame:
+        def mapInArrow(self, run, schema):
+            return run
+
+    def held(batch):
+        yield {"n": [len(encode._ENCODERS)]}
+
+    def seen(**options):
+        encoder(default_tokenizer())
+        batch = pa.RecordBatch.from_pydict({"id": [1]})
+        return next(map_rows(Frame(), held, "n long", **options)(iter([batch]))).to_pydict()["n"][0]
+
+    assert seen(encodes=True) > 0
+    assert seen() == 0
