@@ -23,8 +23,14 @@ ORACLE: dict[str, str] = {}
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: What a Python worker unpacks at once: part of a batch, at least one row.
+#: What a Python worker unpacks at once, and what Spark sends it as one batch: at
+#: least one row.
 PART_BYTES = 4 << 20
+#: Rows that a scan unpacks at once. Spark's own bounds for both (4,096 rows here,
+#: 10,000 a batch) are made for short rows and hold tens of MB of texts.
+SCAN_ROWS = 1024
+#: Batches after which a worker hands memory back, in bytes.
+HAND_BACK_BYTES = 32 << 20
 
 
 def query(name: str, sql: str | None = None):
@@ -47,27 +53,45 @@ def hand_back() -> None:
         pass
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Bounds what an executor holds of texts at once by ``PART_BYTES`` and
+    ``SCAN_ROWS``, for the session; where the caller has set a bound, that stands.
+    Rows stay the same."""
+    for key, most in (("spark.sql.execution.arrow.maxBytesPerBatch", PART_BYTES),
+                      ("spark.sql.parquet.columnarReaderBatchSize", SCAN_ROWS)):
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, most)
+
+
 def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[dict | pa.RecordBatch]],
              schema: str, encodes: bool = False) -> DataFrame:
     """``mapInArrow`` for a function that turns a batch into column dicts.
 
     ``fn`` sees ``PART_BYTES`` of an Arrow batch at a time, so what it unpacks
-    is bounded in bytes however many rows a batch has. Encoders that the worker
-    kept from an earlier stage are freed unless this one ``encodes``."""
+    is bounded in bytes however many rows a batch has, and so are the batches
+    (``bound_batches``). Encoders that the worker kept from an earlier stage are
+    freed unless this one ``encodes``."""
+    if isinstance(df, DataFrame):
+        bound_batches(df.sparkSession)
     struct = T._parse_datatype_string(schema)
     arrow = to_arrow_schema(struct)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not encodes:
             forget_encoders()
+        seen = 0
         for batch in batches:
+            seen += batch.nbytes
             step = max(1, batch.num_rows * PART_BYTES // max(1, batch.nbytes))
             for at in range(0, batch.num_rows, step):
                 for out in fn(batch.slice(at, step)):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
             batch = out = None
-            hand_back()
+            if seen >= HAND_BACK_BYTES:
+                hand_back()
+                seen = 0
+        hand_back()
 
     return df.mapInArrow(run, struct)
 

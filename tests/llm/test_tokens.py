@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 
 from cascara.llm.alignment import default_model
 from cascara.llm import encode
-from cascara.llm.common import map_rows
+from cascara.llm.common import PART_BYTES, SCAN_ROWS, map_rows
 from cascara.llm.encode import Encoder, PieceEncoder, default_tokenizer, encoder, forget_encoders
 from cascara.llm.token_counts import token_counts
 from cascara.llm.token_records import frame, frames, index_records, read_shuffled, write_records
@@ -168,3 +168,26 @@ def test_a_stage_frees_the_encoders_of_the_stage_before(spark):
 
     assert seen(encodes=True) > 0
     assert seen() == 0
+
+
+def test_a_worker_is_sent_few_long_rows_at_once(spark):
+    def sent(batch):  # a part lies in the buffer of the whole batch
+        yield {"n": [batch["text"].buffers()[2].size]}
+
+    keys = ("spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.parquet.columnarReaderBatchSize")
+    for key in keys:
+        spark.conf.unset(key)
+    rows = spark.range(0, 40, 1, 1).select(F.repeat(F.lit("x"), 1 << 20).alias("text"))
+    sizes = [r["n"] for r in map_rows(rows, sent, "n long").collect()]
+    assert max(sizes) <= 3 * PART_BYTES
+    assert [spark.conf.get(key) for key in keys] == [str(PART_BYTES), str(SCAN_ROWS)]
+
+
+def test_a_bound_of_the_caller_stands(spark):
+    key = "spark.sql.parquet.columnarReaderBatchSize"
+    spark.conf.set(key, "300")
+    try:
+        map_rows(spark.range(1), lambda batch: [{"id": batch["id"]}], "id long")
+        assert spark.conf.get(key) == "300"
+    finally:
+        spark.conf.unset(key)
