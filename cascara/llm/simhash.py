@@ -95,7 +95,9 @@ def links(fps: DataFrame, max_bits: int = 3) -> DataFrame:
         raise ValueError("the codes guarantee pairs of three differing bits at most")
     probes = map_rows(fps, _probes, "fp long, key int").withColumnRenamed("fp", "a")
     entries = map_rows(fps, _entries, "fp long, key int").withColumnRenamed("fp", "b")
-    return (probes.join(entries, (probes["key"] == entries["key"]) & (F.col("a") < F.col("b"))
+    # Spark takes either side for as many rows as ``fps`` has, and would broadcast up
+    # to 108 times what its limit allows.
+    return (probes.join(entries.hint("merge"), (probes["key"] == entries["key"]) & (F.col("a") < F.col("b"))
                         & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits))
             .select("a", "b").distinct())
 

@@ -7,6 +7,7 @@ import xxhash
 from cascara.llm.components import components
 from cascara.llm.golay import near, tables
 from cascara.llm.simhash import links, near_duplicates, one_of_each
+from cascara.session import materialize
 from cascara.sources.tables import load_table
 from llm_fixtures import docs, no_docs  # noqa: F401
 from conftest import SF_SMALL
@@ -50,6 +51,13 @@ def test_links_equal_brute_force(spark):
         assert got
 
 
+def test_links_broadcast_neither_side(spark):
+    # A fingerprint makes up to 108 keys, while Spark sizes them as one row.
+    fps = materialize(spark.createDataFrame([(1,), (2,)], "fp long"), "fps")  # a written table has a known size
+    plan = links(fps)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
+
+
 def union_find(nodes, pairs):
     root = {n: n for n in nodes}
 
