@@ -7,8 +7,9 @@ import xxhash
 from cascara.llm.components import components
 from cascara.llm.golay import near, tables
 from cascara.llm.simhash import links, near_duplicates, one_of_each
-from cascara.session import materialize
+from cascara.session import materialize, watch_materialized
 from cascara.sources.tables import load_table
+from corpus_pipeline import simhash_near_dedup
 from llm_fixtures import docs, no_docs  # noqa: F401
 from conftest import SF_SMALL
 
@@ -107,3 +108,11 @@ def test_groups_equal_brute_force(spark, docs, no_docs):
         assert len(kept) == len(set(root.values()))
         assert sorted(str(r["doc_id"]) for r in kept) == sorted(str(least.get(x)) for x in set(root.values()))
     assert near_duplicates(no_docs).count() == 0 and one_of_each(no_docs).count() == 0
+
+
+def test_pipeline_stage_broadcasts_no_links(spark, docs):
+    plans = {}
+    with watch_materialized(lambda df, name: plans.setdefault(
+            name, df._jdf.queryExecution().executedPlan().toString())):
+        simhash_near_dedup(spark, docs, SF_SMALL).collect()
+    assert "SortMergeJoin" in plans["edges"] and "BroadcastExchange" not in plans["edges"]
